@@ -19,7 +19,6 @@ TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 HOUR_FORMAT = "yyyy-MM-dd HH:00:00"
 
 _NO_DATES = "cast(array() as array<date>)"
-_RANGE = "struct<start:date,end:date>"
 
 
 def day_key(column: Column | str) -> Column:
@@ -69,16 +68,18 @@ def month_ranges(low: Column, high: Column) -> Column:
     drift by a day per range and by clamping, so they are folded, not computed
     from an index.
     """
-    steps = F.sequence(F.lit(0), F.greatest(F.ceil(F.months_between(high, low)).cast("int"), F.lit(0)))
+    months = F.ceil(F.months_between(high, low)).cast("int")
+    steps = F.sequence(F.lit(0), F.greatest(months, F.lit(0)))
 
-    def extend(found: Column, _step: Column) -> Column:
-        previous = F.try_element_at(found, F.lit(-1)).getField("start")
+    def next_start(starts: Column, _step: Column) -> Column:
+        previous = F.try_element_at(starts, F.lit(-1))
         start = F.coalesce(F.date_add(F.add_months(previous, 1), 1), low)
-        end = F.least(F.add_months(start, 1), high)
-        piece = F.struct(start.alias("start"), end.alias("end"))
-        return F.when(start <= high, F.concat(found, F.array(piece))).otherwise(found)
+        return F.when(start <= high, F.array_append(starts, start)).otherwise(starts)
 
-    return F.aggregate(steps, F.expr(f"cast(array() as array<{_RANGE}>)"), extend)
+    starts = F.aggregate(steps, F.expr(_NO_DATES), next_start)
+    return F.transform(starts, lambda s: F.struct(
+        s.alias("start"), F.least(F.add_months(s, 1), high).alias("end")
+    ))
 
 
 def request_windows(begin: Column, finish: Column, step: int = 60) -> Column:

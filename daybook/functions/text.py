@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 # What counts as blank space, the code replacement, the scrub patterns.
 SPACES = "".join(chr(code) for code in range(0x21))
 CODE_REPLACEMENTS = {"NORM ": "NORM"}
-RESERVED_LOWER = r"t\$(date|full|conf|user)"
-RESERVED_UPPER = r"T\$(DATE|FULL|CONF|USER)"
+LINE_CHARACTERS = "\n\r\t"
+RESERVED_SIGN = r"(?<=t)\$(?=date|full|conf|user)|(?<=T)\$(?=DATE|FULL|CONF|USER)"
 VENDOR_PREFIX = r"[tT]\$"
 PADDED_TOKEN = r':" *(\S+?) *"'
 
@@ -21,7 +21,7 @@ def blank_to_null(column: Column) -> Column:
 
 def clean_text(column: Column) -> Column:
     """Line breaks and tabs to spaces, trim every character up to U+0020, ``null`` to null."""
-    flat = F.translate(column, "\n\r\t", "   ")
+    flat = _replace_each(column, LINE_CHARACTERS, " ")
     return F.nullif(F.btrim(flat, F.lit(SPACES)), F.lit("null"))
 
 
@@ -47,9 +47,15 @@ def scrub_json_text(raw: Column) -> Column:
     Vendor prefixes become plain names, control characters go, spaces around
     one-word values go, and blank values become the text ``null``.
     """
-    text = F.regexp_replace(raw, RESERVED_LOWER, "t_$1")
-    text = F.regexp_replace(text, RESERVED_UPPER, "T_$1")
+    text = F.regexp_replace(raw, RESERVED_SIGN, "_")
     text = F.regexp_replace(text, VENDOR_PREFIX, "")
-    text = F.translate(text, "$\n\r\t", "_")
+    text = _replace_each(_replace_each(text, "$", "_"), LINE_CHARACTERS, "")
     text = F.regexp_replace(text, PADDED_TOKEN, ':"$1"')
     return F.replace(text, F.lit(':""'), F.lit(':"null"'))
+
+
+def _replace_each(column: Column, characters: str, by: str) -> Column:
+    """Replace single characters; plain replaces beat ``translate`` on long texts."""
+    for character in characters:
+        column = F.replace(column, F.lit(character), F.lit(by))
+    return column

@@ -11,38 +11,48 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD = 16
 HOT_ROWS = 1_000_000
 HOT_SHARE = 1_000
+HASH_BUCKETS = 16_384
 
 
-def broadcast_when_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a lookup for broadcast if its measured size allows it.
+def broadcast_when_small(*lookups: DataFrame, max_bytes: int = BROADCAST_BYTES) -> list[DataFrame]:
+    """Mark each lookup for broadcast if its measured size allows it.
 
-    One aggregate measures the bytes. A larger lookup is returned unmarked: Spark
-    then joins it by shuffle, and AQE splits skewed partitions of the fact side.
+    One job measures the bytes of all of them. A larger lookup is returned unmarked:
+    Spark then joins it by shuffle, and AQE splits skewed partitions of the fact side.
     """
-    row_bytes = reduce(
-        lambda total, name: total + F.coalesce(
-            F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)
-        ) + ROW_OVERHEAD,
-        df.columns,
-        F.lit(ROW_OVERHEAD).cast("bigint"),
-    )
-    size = df.agg(F.sum(row_bytes).alias("bytes")).first()["bytes"] or 0
-    return F.broadcast(df) if size <= max_bytes else df
+
+    def measured(df: DataFrame, position: int) -> DataFrame:
+        widths = " + ".join(
+            f"coalesce(octet_length(cast(`{c}` as string)), 0) + {ROW_OVERHEAD}" for c in df.columns
+        )
+        return df.selectExpr(f"sum(cast({widths} as bigint)) as bytes", f"{position} as position")
+
+    sizes = reduce(DataFrame.union, [measured(df, i) for i, df in enumerate(lookups)]).collect()
+    small = {r["position"] for r in sizes if (r["bytes"] or 0) <= max_bytes}
+    return [F.broadcast(df) if i in small else df for i, df in enumerate(lookups)]
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> list[tuple]:
     """Keys that hold very many rows, each with the number of slices to cut it into.
 
     A key is hot from ``max(min_rows, rows / 1000)`` rows on, so there are at most a
-    thousand of them however large the frame is. Rows are counted per key before
-    the shuffle; without a hot key only one summary row reaches the driver.
+    thousand of them however large the frame is. Rows are first counted per hash
+    bucket, which shuffles a few thousand counts and no keys. Only a bucket with
+    that many rows can hold a hot key, and only its keys are counted one by one.
     """
-    counts = df.where(_all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    summary = counts.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest")).first()
+    named = df.where(" and ".join(f"`{k}` is not null" for k in keys)).withColumn(
+        "_bucket", F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS))
+    )
+    buckets = named.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    summary = buckets.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest")).first()
     threshold = max(min_rows, (summary["total"] or 0) // HOT_SHARE)
     if (summary["largest"] or 0) < threshold:
         return []
-    found = counts.where(F.col("_rows") >= threshold).collect()
+    full = [r["_bucket"] for r in buckets.where(F.col("_rows") >= threshold).collect()]
+    found = (
+        named.where(F.col("_bucket").isin(full)).groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= threshold).collect()
+    )
     return [(*[r[k] for k in keys], -(-r["_rows"] // threshold)) for r in found]
 
 
@@ -94,6 +104,3 @@ def left_join_spread(
     split = left_slices.join(right_slices, matches & (F.col("_slice") == F.col("_deal")))
     return cold.unionByName(split.drop("_slice", "_deal"))
 
-
-def _all_present(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])

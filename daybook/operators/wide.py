@@ -21,16 +21,16 @@ def org_dimension(
     A unit without a match keeps a null category name, which is what the wide
     table holds; ``default_label`` fills both names instead.
     """
-    function = broadcast_when_small(functions.select(
+    function = functions.select(
         F.col("fid").alias("_function"),
         F.col("fname_l2").alias("systemcategory"),
         F.col("fnumber").alias("systemnumber"),
-    ))
-    category = broadcast_when_small(categories.select(
+    )
+    category = categories.select(
         F.col("fid").alias("_category"),
         F.col("fname_l2").alias("companycategory"),
         F.col("fnumber").alias("companynumber"),
-    ))
+    )
     org = (
         units.join(function, F.col("forgfunctionid") == F.col("_function"), "left")
         .join(category, F.col("freserveitemfirst") == F.col("_category"), "left")
@@ -92,12 +92,13 @@ def join_cards(facts: DataFrame, cards: DataFrame, hot_rows: int = HOT_ROWS) ->
     ).drop("_card", "_card_day")
 
 
-def join_shifts(facts: DataFrame, shifts: DataFrame) -> DataFrame:
+def shift_dimension(shifts: DataFrame) -> DataFrame:
+    return shifts.select(F.col("shiftcode").alias("_shift"), "shiftname")
+
+
+def join_shifts(facts: DataFrame, dimension: DataFrame) -> DataFrame:
     """The shift name of the card record's shift code."""
-    names = broadcast_when_small(
-        shifts.select(F.col("shiftcode").alias("_shift"), "shiftname")
-    )
-    return facts.join(names, F.col("shiftcode") == F.col("_shift"), "left").drop("_shift")
+    return facts.join(dimension, F.col("shiftcode") == F.col("_shift"), "left").drop("_shift")
 
 
 def department_dimension(departments: DataFrame, org: DataFrame) -> DataFrame:
@@ -110,9 +111,7 @@ def department_dimension(departments: DataFrame, org: DataFrame) -> DataFrame:
 
 
 def join_departments(facts: DataFrame, dimension: DataFrame, code: str) -> DataFrame:
-    return facts.join(
-        broadcast_when_small(dimension), F.col(code) == F.col("deptcode"), "left"
-    )
+    return facts.join(dimension, F.col(code) == F.col("deptcode"), "left")
 
 
 def wide_record(
@@ -143,9 +142,12 @@ def wide_record(
     needed = [*schemas.FACT_ID_COLUMNS, *values_kept, "date"]
     if department_code != "empdept" and department_code not in needed:
         needed.append(department_code)
+    shift, department = broadcast_when_small(
+        shift_dimension(shifts), department_dimension(departments, org)
+    )
     rows = known_members(join_snapshot(facts.select(*needed), snapshots))
-    rows = join_shifts(join_cards(rows, cards, hot_rows), shifts)
-    rows = join_departments(rows, department_dimension(departments, org), department_code)
+    rows = join_shifts(join_cards(rows, cards, hot_rows), shift)
+    rows = join_departments(rows, department, department_code)
     return rows.select(*schemas.wide_columns(values))
 
 
@@ -157,12 +159,10 @@ def org_name_fallback(
     A record takes its org columns from the unit with its code. Only a record
     without such a unit looks up ``root_level1_level2`` among the display names.
     """
-    by_code = broadcast_when_small(
-        org.select(F.col("fnumber").alias("_unit"), F.struct(*schemas.ORG_COLUMNS).alias("_by_code"))
-    )
-    by_name = broadcast_when_small(
+    by_code, by_name = broadcast_when_small(
+        org.select(F.col("fnumber").alias("_unit"), F.struct(*schemas.ORG_COLUMNS).alias("_by_code")),
         org.select(F.col("fdisplayname_l2").alias("_name"),
-                   F.struct(*schemas.ORG_COLUMNS).alias("_by_name"))
+                   F.struct(*schemas.ORG_COLUMNS).alias("_by_name")),
     )
     name = F.when(
         F.col("_unit").isNull(), F.concat_ws("_", F.lit(root), "deptnamel1", "deptnamel2")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from daybook import schemas
 from daybook.functions import dates, text
 from daybook.operators import filters, ids, incremental, shape, tables, wide
+from daybook.operators.joins import broadcast_when_small
 from daybook.plans import hr_views as hr
 from daybook.plans import jobs
 from daybook.session import scratch_database, workspace
@@ -106,7 +107,8 @@ def composite_key_left_join(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def chained_lookup_join(spark: SparkSession, sf: str) -> DataFrame:
     facts = hr.attendance(spark, sf).select("empid", "date", "value1")
-    return wide.join_shifts(wide.join_cards(facts, hr.cards(spark, sf)), hr.shifts(spark, sf))
+    shift, = broadcast_when_small(wide.shift_dimension(hr.shifts(spark, sf)))
+    return wide.join_shifts(wide.join_cards(facts, hr.cards(spark, sf)), shift)
 
 
 @query
@@ -824,7 +826,8 @@ def multi_table_load(spark: SparkSession, sf: str) -> DataFrame:
         return lambda: tables.full_overwrite(hr.table(spark, sf, name), f"{db}.{name}")
 
     writers = {name: copy(name) for name in names}
-    writers["missing"] = copy("no_such_table")
+    tables.full_overwrite(hr.table(spark, sf, "nation"), f"{db}.broken")
+    writers["broken"] = lambda: tables.append(hr.table(spark, sf, "region"), f"{db}.broken")
     jobs.load_many(spark, f"{db}.audit", writers)
     counts = reduce(DataFrame.unionByName, [
         spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("n_rows"))
