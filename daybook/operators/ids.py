@@ -27,16 +27,16 @@ def sequential_id(df: DataFrame, name: str, *order_by: str, partitions: int | No
     })
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [*order_by, "_tie", "_arrival"]
-    path = workspace(spark, "sequential-id")
-    (
+    ranged = (
         keyed.repartitionByRange(count, *order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", _ROW_BITS))
         .drop("_tie", "_arrival")
-        .write.parquet(path)
     )
-    numbered = spark.read.parquet(path)
+    path = workspace(spark, "sequential-id")
+    ranged.write.parquet(path)
+    numbered = spark.read.schema(ranged.schema).parquet(path)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))

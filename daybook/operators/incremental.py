@@ -81,7 +81,7 @@ def delta(
 
 def not_yet_loaded(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Resume: source rows whose key the target does not hold."""
-    return source.join(target.select(*keys), keys, "left_anti").select(*source.columns)
+    return source.join(target.select(*keys).distinct(), keys, "left_anti").select(*source.columns)
 
 
 def partition_row_count(df: DataFrame, column: str, value: str) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.session import ensure_skew_splits
+
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD = 16
 HOT_ROWS = 1_000_000
@@ -64,13 +66,14 @@ def left_join_spread(
 ) -> DataFrame:
     """Left outer equi-join that also stands a hot key on the right side.
 
-    AQE can split the left side of a left outer join, not the right one. Hot right
+    AQE splits the left side of a left outer join, but never the right one. Hot right
     keys are therefore joined apart: their right rows are dealt over slices and the
     left rows repeated per slice. Every hot key has right rows, so for these keys
     the inner join equals the left join and nothing is lost or added. Without hot
     keys the plan is the plain join. Column names must differ between the sides;
     the right side should be a table scan, so that a rerun task deals the same way.
     """
+    ensure_skew_splits(left.sparkSession)
     left_keys, right_keys = [l for l, _ in on], [r for _, r in on]
     matches = reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in on])
     hot = hot_keys(right, right_keys, min_rows)

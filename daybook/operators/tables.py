@@ -226,11 +226,13 @@ def upsert(
     """Old rows whose key is not among the new ones, and all new rows.
 
     Keys are unique in a keyed table. Where a batch may repeat a key,
-    ``latest_by`` names the column whose largest value wins.
+    ``latest_by`` names the column whose largest value wins. The new keys are made
+    distinct before they are shuffled, so a repeated key costs one row per task.
     """
     if latest_by:
         new = latest_per_key(new, keys, latest_by)
-    return old.join(new.select(*keys), keys, "left_anti").select(*old.columns).unionByName(new)
+    kept = old.join(new.select(*keys).distinct(), keys, "left_anti").select(*old.columns)
+    return kept.unionByName(new)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], latest_by: str) -> DataFrame:

@@ -72,11 +72,14 @@ def clean_departments(departments: DataFrame) -> DataFrame:
 
 
 def join_snapshot(facts: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Facts with the person's snapshot of exactly that day."""
+    """Facts with the person's snapshot of exactly that day.
+
+    The snapshots grow with people and days, so they are never broadcast.
+    """
     people = with_status(snapshots).select(
         F.col("empid").alias("_person"), F.col("date").alias("_person_day"),
         "empdept", *schemas.EMPLOYEE_COLUMNS,
-    )
+    ).hint("merge")
     return facts.join(
         people, (F.col("empid") == F.col("_person")) & (F.col("date") == F.col("_person_day")), "left"
     ).drop("_person", "_person_day")

@@ -15,12 +15,14 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SPLIT_SKEW = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 DYNAMIC_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -78,3 +80,9 @@ def ensure_dynamic_overwrite(spark: SparkSession) -> None:
     """
     if spark.conf.get(DYNAMIC_OVERWRITE).lower() != "dynamic":
         spark.conf.set(DYNAMIC_OVERWRITE, "dynamic")
+
+
+def ensure_skew_splits(spark: SparkSession) -> None:
+    """Let AQE split a skewed join even if the next join on the key then shuffles again."""
+    if spark.conf.get(SPLIT_SKEW).lower() != "true":
+        spark.conf.set(SPLIT_SKEW, "true")

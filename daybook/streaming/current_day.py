@@ -31,6 +31,7 @@ def stream_current_day(
 ) -> StreamingQuery:
     """Replace today's partition by the newest landed pull.
 
+    Pulls are numbered in order, and one lands in full before the next one starts.
     A batch only tells which pulls arrived. The newest of them is read back in full,
     so pages of one pull that fall into two batches are not lost, and a batch that
     is run again gives the same table.
