@@ -43,7 +43,7 @@ def stream_current_day(
         newest = batch.agg(F.max("pull").alias("pull")).first()["pull"]
         if newest is None:
             return
-        pull = read_pages(batch.sparkSession, f"{landing}/pull={newest}", item, envelope)
+        pull = read_pages(spark, f"{landing}/pull={newest}", item, envelope)
         replace_current_day(normalize_code(pull), table, key, today)
 
     return (

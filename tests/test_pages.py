@@ -1,0 +1,68 @@
+import json
+
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from daybook.sources import pages
+
+ITEM = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("name", T.StringType()), T.StructField("x", T.DoubleType()),
+])
+
+
+def write(folder, **documents):
+    for name, document in documents.items():
+        text = document if isinstance(document, str) else json.dumps(document)
+        (folder / f"{name}.json").write_text(text)
+    return str(folder)
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_page_kinds(spark, tmp_path):
+    path = write(
+        tmp_path,
+        full={"count": 2, "items": [{"id": 1, "name": "a", "x": 1}, {"id": 2, "name": "b", "x": 2.5}]},
+        empty={"count": 0, "items": []},
+        nulls={"count": 1, "items": [{"id": 3, "name": None, "x": None}]},
+        order={"count": 1, "items": [{"x": 4.0, "name": "d", "id": 4, "unknown": 1}]},
+        missing={"count": 0},
+    )
+    assert found(pages.read_pages(spark, path, ITEM).na.fill({"name": "-", "x": 0.0})) == [
+        (1, "a", 1.0), (2, "b", 2.5), (3, "-", 0.0), (4, "d", 4.0)]
+
+
+def test_broken_page_fails(spark, tmp_path):
+    path = write(tmp_path, good={"count": 0, "items": []}, bad='{"count": 1, "items": [{"id": ')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        pages.read_pages(spark, path, ITEM).collect()
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        pages.read_pages(spark, path, ITEM, scrub=True).collect()
+
+
+def test_overlapping_get_pages(spark, tmp_path):
+    row = {"id": 1, "name": "a", "x": 1.0}
+    path = write(tmp_path, a={"Count": 1, "Result": [row]},
+                 b={"Count": 2, "Result": [row, {"id": 2, "name": "b", "x": 2.0}]})
+    assert len(found(pages.read_pages(spark, path, ITEM, "get"))) == 3
+    assert found(pages.read_pages(spark, path, ITEM, "get", distinct=True)) == [(1, "a", 1.0), (2, "b", 2.0)]
+
+
+def test_scrubbed_page(spark, tmp_path):
+    path = write(tmp_path, p='{"count":1,"items":[{"T$id":7,"t$name":" a ","x":1.5}]}')
+    assert found(pages.read_pages(spark, path, ITEM, scrub=True)) == [(7, "a", 1.5)]
+
+
+def test_landed_pages_are_full(spark, tmp_path):
+    df = spark.range(23).select("id", F.lit(None).cast("string").alias("name"), F.lit(0.5).alias("x"))
+    path = str(tmp_path / "pages")
+    pages.land_pages(df, path, "id", page_rows=5)
+    counts = [json.loads(r["value"])["count"] for r in spark.read.text(path).collect()]
+    assert sorted(counts) == [3, 5, 5, 5, 5]
+    back = pages.read_pages(spark, path, ITEM)
+    assert back.exceptAll(df).count() == 0 and back.count() == 23

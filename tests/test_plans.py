@@ -1,0 +1,56 @@
+"""The physical plans that matter at scale."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from daybook.operators import tables, wide
+from daybook.operators.filters import known_members, look_back
+from daybook.plans import hr_views as hr
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_known_members_make_the_join_inner(spark):
+    facts = hr.attendance(spark, SF).select("empid", "date")
+    joined = wide.join_snapshot(facts, hr.snapshots(spark, SF))
+    assert "LeftOuter" in plan(joined)
+    assert "LeftOuter" not in plan(known_members(joined))
+
+
+def test_facts_are_shuffled_once_for_people_and_cards(spark, db):
+    facts = f"{db}.facts"
+    tables.full_overwrite(hr.attendance(spark, SF), facts, ["date"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = known_members(wide.join_snapshot(spark.table(facts), hr.snapshots(spark, SF)))
+        text = plan(wide.join_cards(joined, hr.cards(spark, SF)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_date_window_prunes_partitions(spark, db):
+    table = f"{db}.facts"
+    tables.full_overwrite(hr.attendance(spark, SF), table, ["date"])
+    text = plan(look_back(spark.table(table), dt.date(2024, 1, 25), 5).select("empid"))
+    assert "PartitionFilters: [isnotnull(date" in text
+    assert "ReadSchema: struct<empid:string>" in text
+
+
+@pytest.mark.parametrize("name", [n for n in queries() if n.startswith(("wide_record_c", "wide_record_h", "org_", "request"))])
+def test_no_cartesian_joins(spark, name):
+    text = plan(queries()[name](spark, SF))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    text = plan(queries()["delta_range"](spark, SF).select("l_orderkey", F.col("l_quantity")))
+    assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in text
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in text
