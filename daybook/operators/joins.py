@@ -11,7 +11,7 @@ from daybook.session import ensure_skew_splits
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD = 16
-HOT_ROWS = 1_000_000
+HOT_ROWS = 5_000_000
 HOT_SHARE = 1_000
 HASH_BUCKETS = 16_384
 
@@ -91,16 +91,22 @@ def left_join_spread(
             lambda a, b: a & b, [F.col(k) == F.col(f"_hot{i}") for i, k in enumerate(keys)]
         )
 
+    def near_hot(df: DataFrame, keys: list[str]) -> DataFrame:
+        """Every row of a hot key and few others; the literals reach the scan."""
+        for i, key in enumerate(keys):
+            df = df.where(F.col(key).isin(sorted({row[i] for row in hot})))
+        return df
+
     cold = left.join(hot_df, is_hot(left_keys), "left_anti").join(
         right.join(hot_df, is_hot(right_keys), "left_anti"), matches, "left"
     )
     left_slices = (
-        left.join(hot_df, is_hot(left_keys))
+        near_hot(left, left_keys).join(hot_df, is_hot(left_keys))
         .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slices") - 1)))
         .select(*left.columns, "_slice")
     )
     right_slices = (
-        right.withColumn("_arrival", F.monotonically_increasing_id())
+        near_hot(right, right_keys).withColumn("_arrival", F.monotonically_increasing_id())
         .join(hot_df, is_hot(right_keys))
         .select(*right.columns, F.pmod("_arrival", "_slices").alias("_deal"))
     )

@@ -38,10 +38,14 @@ def existing_partitions(spark: SparkSession, table: str) -> set[tuple[str, ...]]
 def drop_partitions(
     spark: SparkSession, table: str, columns: list[str], values: Iterable[tuple[str, ...]]
 ) -> None:
-    specs = [
-        "PARTITION (" + ", ".join(f"`{c}` = '{v}'" for c, v in zip(columns, value)) + ")"
-        for value in sorted(values)
-    ]
+    def spec(value: tuple[str, ...]) -> str:
+        terms = [
+            f"`{c}` = null" if v == NULL_PARTITION else f"`{c}` = '" + v.replace("'", "\\'") + "'"
+            for c, v in zip(columns, value)
+        ]
+        return f"PARTITION ({', '.join(terms)})"
+
+    specs = [spec(value) for value in sorted(values)]
     if specs:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
 

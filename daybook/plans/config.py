@@ -6,7 +6,6 @@ from dataclasses import dataclass, field
 from itertools import zip_longest
 
 from daybook.operators.incremental import DELTA_MODES, UPDATE_TYPES
-from daybook.operators.shape import DEFAULT_CASTS
 from daybook.operators.tables import derived_partition_names
 
 
@@ -35,7 +34,6 @@ class ImportConfig:
     partition_fields: list[str] = field(default_factory=list)
     delta_mode: str = ""
     keyed_target: bool = False
-    type_casts: dict[str, str] = field(default_factory=lambda: dict(DEFAULT_CASTS))
 
     def __post_init__(self) -> None:
         if self.update_type not in UPDATE_TYPES:

@@ -11,7 +11,7 @@ from threading import Lock
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.operators import incremental
+from daybook.operators import incremental, shape
 from daybook.plans.config import ImportConfig, TableTask
 from daybook.schemas import LOAD_AUDIT
 from daybook.sources import jdbc
@@ -110,11 +110,13 @@ def import_tables(
     finish: str | None = None,
     source: str = "",
     keys: dict[str, list[str]] | None = None,
+    metadata: DataFrame | None = None,
     at_once: int = 4,
 ) -> list[LoadResult]:
     """Import every configured table; ``read`` gets the task and its SQL condition.
 
-    Full loads read without a condition. Delta loads read an explicit range if both
+    Full loads read without a condition and take the column comments out of
+    ``metadata``, if there is such a table. Delta loads read an explicit range if both
     ends are given, else what lies beyond the target's watermark (T0) or the day
     before (T1), and the database filters.
     """
@@ -137,8 +139,12 @@ def import_tables(
 
     def writer(task: TableTask) -> Callable[[], None]:
         def write() -> None:
+            df = read(task, condition(task))
+            if metadata is not None and config.update_type.startswith("full"):
+                rows = shape.column_comments(metadata, task.source_table).collect()
+                df = shape.with_comments(df, {r["column_name"]: r["comment"] for r in rows})
             incremental.load(
-                read(task, condition(task)), task.target_table, config.update_type,
+                df, task.target_table, config.update_type,
                 task.partition_field, (keys or {}).get(task.target_table),
             )
         return write

@@ -70,7 +70,11 @@ def delta_condition(
 
     def literal(text: str) -> str:
         quoted = "'" + text.replace("'", "''") + "'"
-        return f"to_date({quoted}, 'yyyy-mm-dd hh24:mi:ss')" if source == "oracle" else quoted
+        if source != "oracle":
+            return quoted
+        if "." in text:
+            return f"to_timestamp({quoted}, 'yyyy-mm-dd hh24:mi:ss.ff')"
+        return f"to_date({quoted}, 'yyyy-mm-dd hh24:mi:ss')"
 
     if begin is None:
         return "1 = 1"

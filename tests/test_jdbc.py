@@ -25,6 +25,7 @@ def test_conditions():
     assert jdbc.delta_condition(["a"], None) == "1 = 1"
     assert jdbc.delta_condition(["a"], "o'x") == "a > 'o''x'"
     assert jdbc.delta_condition(["a"], "x", source="oracle") == "a > to_date('x', 'yyyy-mm-dd hh24:mi:ss')"
+    assert jdbc.delta_condition(["a"], "x.5", source="oracle") == "a > to_timestamp('x.5', 'yyyy-mm-dd hh24:mi:ss.ff')"
     assert jdbc.day_before(dt.date(2024, 3, 1)) == ("2024-02-29 00:00:00", "2024-03-01 00:00:00")
 
 

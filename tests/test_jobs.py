@@ -84,7 +84,12 @@ def test_import_into_an_empty_target_and_full(spark, db):
     jobs.import_tables(spark, config, read, audit, today)
     assert spark.table(target).count() == source.count()
     full = ImportConfig("fullpart", ["orders"], [target], partition_fields=["o_orderdate-year"])
-    jobs.import_tables(spark, full, read, audit, today)
+    metadata = spark.createDataFrame(
+        [("ORDERS", "o_orderkey", "the\nkey"), ("other", "o_orderdate", "no")],
+        "table_name string, column_name string, column_comment string")
+    jobs.import_tables(spark, full, read, audit, today, metadata=metadata)
+    described = {c.name: c.description for c in spark.catalog.listColumns(target)}
+    assert described["o_orderkey"] == "the,key" and described["o_orderdate"] is None
     assert tables.partition_columns(spark, target) == ["year"]
     assert seen == ["1 = 1", ""]
 

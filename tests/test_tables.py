@@ -130,6 +130,10 @@ def test_null_partition(spark, db):
     tables.full_overwrite(rows(spark, (1, "old", None), (2, "old", key(2))), table, ["date"])
     tables.full_refresh(rows(spark, (3, "new", None)), table)
     assert state(spark, table) == Counter([(3, "new", None)])
+    tables.full_refresh(rows(spark, (4, "new", "it's")), table)
+    assert state(spark, table) == Counter([(4, "new", "it's")])
+    tables.full_refresh(rows(spark, (5, "new", "x")), table)
+    assert state(spark, table) == Counter([(5, "new", "x")])
 
 
 def test_snapshot_backfill_and_stamp(spark, db):
