@@ -15,24 +15,27 @@ def sequential_id(df: DataFrame, name: str, *order_by: str, partitions: int | No
 
     Rows are range-partitioned and numbered inside their partition; each partition
     then gets the count of rows before it. Ties, even one value that most rows
-    share, are spread by a hash of the row and by arrival, so no task gets a whole
-    group of equal rows. The numbered rows are written once to the shared workspace,
-    so that counting and numbering see the same rows. The offsets table has one row
-    per partition, which bounds the broadcast.
+    share, are spread by a hash of the row and by their place in the input, so no
+    task gets a whole group of equal rows. Places are given in a sorted order, so a
+    task that is run again after a lost executor gives the same ones. The numbered
+    rows are written once to the shared workspace, so that counting and numbering
+    see the same rows. The offsets table has one row per partition, which bounds the
+    broadcast.
     """
     spark = df.sparkSession
-    keyed = df.withColumns({
-        "_tie": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
-        "_arrival": F.monotonically_increasing_id(),
-    })
+    keyed = (
+        df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        .sortWithinPartitions("_tie")
+        .withColumn("_place", F.monotonically_increasing_id())
+    )
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [*order_by, "_tie", "_arrival"]
+    order = [*order_by, "_tie", "_place"]
     ranged = (
         keyed.repartitionByRange(count, *order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_at", _ROW_BITS))
-        .drop("_tie", "_arrival")
+        .drop("_tie", "_place")
     )
     path = workspace(spark, "sequential-id")
     ranged.write.parquet(path)

@@ -69,9 +69,10 @@ def left_join_spread(
     AQE splits the left side of a left outer join, but never the right one. Hot right
     keys are therefore joined apart: their right rows are dealt over slices and the
     left rows repeated per slice. Every hot key has right rows, so for these keys
-    the inner join equals the left join and nothing is lost or added. Without hot
-    keys the plan is the plain join. Column names must differ between the sides;
-    the right side should be a table scan, so that a rerun task deals the same way.
+    the inner join equals the left join and nothing is lost or added. Rows are
+    dealt in a sorted order, so a task that is run again after a lost executor deals
+    them the same way. Without hot keys the plan is the plain join. Column names must
+    differ between the sides.
     """
     ensure_skew_splits(left.sparkSession)
     left_keys, right_keys = [l for l, _ in on], [r for _, r in on]
@@ -106,7 +107,8 @@ def left_join_spread(
         .select(*left.columns, "_slice")
     )
     right_slices = (
-        near_hot(right, right_keys).withColumn("_arrival", F.monotonically_increasing_id())
+        near_hot(right, right_keys).sortWithinPartitions(*right.columns)
+        .withColumn("_arrival", F.monotonically_increasing_id())
         .join(hot_df, is_hot(right_keys))
         .select(*right.columns, F.pmod("_arrival", "_slices").alias("_deal"))
     )

@@ -65,7 +65,10 @@ def create_tables(spark: SparkSession, db: str) -> None:
 def refresh_base_tables(
     spark: SparkSession, db: str, landing: str, today: dt.date, at_once: int = 5
 ) -> list[LoadResult]:
-    """Departments, shifts, today's employee snapshot, 32 days of cards, 50 of attendance."""
+    """Departments, shifts, today's employee snapshot, 32 days of cards, 50 of attendance.
+
+    Shift codes are normalised in the dated tables; the shift table lists them as such.
+    """
 
     def pages(name: str, item: T.StructType) -> DataFrame:
         return read_pages(spark, f"{landing}/{name}", item)
@@ -76,12 +79,12 @@ def refresh_base_tables(
         f"{db}.{SNAPSHOTS}": lambda: tables.write_snapshot(
             pages(SNAPSHOTS, schemas.EMPLOYEE), f"{db}.{SNAPSHOTS}", today),
         f"{db}.{SHIFTS}": lambda: tables.full_refresh(
-            normalize_code(pages(SHIFTS, schemas.SHIFT)), f"{db}.{SHIFTS}"),
+            pages(SHIFTS, schemas.SHIFT), f"{db}.{SHIFTS}"),
         f"{db}.{CARDS}": lambda: tables.replace_days(
             normalize_code(pages(CARDS, schemas.CARD_RECORD)),
             f"{db}.{CARDS}", "signdate", today, CARD_DAYS),
         f"{db}.{ATTENDANCE}": lambda: tables.replace_days(
-            pages(ATTENDANCE, schemas.ATTENDANCE),
+            normalize_code(pages(ATTENDANCE, schemas.ATTENDANCE)),
             f"{db}.{ATTENDANCE}", "date", today, ATTENDANCE_DAYS),
     }, at_once)
 
@@ -127,11 +130,14 @@ def refresh_later_tables(
 def refresh_current_cards(
     spark: SparkSession, db: str, landing: str, today: dt.date
 ) -> LoadResult:
-    """Today's card records, meant to run every half hour."""
+    """Today's card records as they come, meant to run every half hour.
+
+    Their codes are normalised when the base refresh next covers the day.
+    """
     return audited_load(
         spark, f"{db}.{AUDIT}", f"{db}.{CARDS}",
         lambda: tables.replace_current_day(
-            normalize_code(read_pages(spark, f"{landing}/{CARDS}", schemas.CARD_RECORD)),
+            read_pages(spark, f"{landing}/{CARDS}", schemas.CARD_RECORD),
             f"{db}.{CARDS}", "signdate", today),
     )
 

@@ -54,7 +54,7 @@ def land_pages(
     """Write a frame as page documents of at most ``page_rows`` rows."""
     _, count, array = ENVELOPES[envelope]
     numbered = sequential_id(df, "_row", *order_by)
-    page = F.floor((F.col("_row") - 1) / page_rows)
+    page = F.expr(f"(_row - 1) div {page_rows}")
     (
         numbered.groupBy(page.alias("_page"))
         .agg(F.collect_list(F.struct(*df.columns)).alias(array))

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from daybook.functions.text import normalize_code
 from daybook.operators.tables import replace_current_day
-from daybook.sources.pages import ENVELOPES, read_pages
+from daybook.sources.pages import read_pages
 
 
 def stream_current_day(
@@ -36,18 +35,15 @@ def stream_current_day(
     so pages of one pull that fall into two batches are not lost, and a batch that
     is run again gives the same table.
     """
-    build, _, _ = ENVELOPES[envelope]
-    schema = T.StructType([*build(item).fields, T.StructField("pull", T.LongType())])
-
     def refresh(batch: DataFrame, _batch_id: int) -> None:
         newest = batch.agg(F.max("pull").alias("pull")).first()["pull"]
         if newest is None:
             return
         pull = read_pages(spark, f"{landing}/pull={newest}", item, envelope)
-        replace_current_day(normalize_code(pull), table, key, today)
+        replace_current_day(pull, table, key, today)
 
     return (
-        spark.readStream.schema(schema).json(landing)
+        spark.readStream.schema("value string, pull long").text(landing)
         .writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

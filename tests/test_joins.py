@@ -36,6 +36,8 @@ def test_spread_join_equals_plain_join(sides):
     expected = Counter(map(tuple, left.join(right, left.k == right.rk, "left").collect()))
     spread = left_join_spread(left, right, [("k", "rk")], min_rows=20)
     assert "_slice" in plan(spread)
+    dealing = plan(spread).split("monotonically_increasing_id()")[1]
+    assert dealing.lstrip().split("\n")[1].strip(" :+-*()0123456789").startswith("Sort [rk")
     assert Counter(map(tuple, spread.collect())) == expected
     assert "_slice" not in plan(left_join_spread(left, right, [("k", "rk")]))
 
