@@ -19,7 +19,7 @@ def sequential_id(df: DataFrame, name: str, *order_by: str, partitions: int | No
     task gets a whole group of equal rows. Places are given in a sorted order, so a
     task that is run again after a lost executor gives the same ones. The numbered
     rows are written once to the shared workspace, so that counting and numbering
-    see the same rows. The offsets table has one row per partition, which bounds the
+    see the same rows; they stay there as long as the result is in use. The offsets table has one row per partition, which bounds the
     broadcast.
     """
     spark = df.sparkSession

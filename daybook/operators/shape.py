@@ -29,6 +29,7 @@ TYPE_NAMES = {
     "byte": "tinyint",
     "string": "string",
     "interval": "interval",
+    "calendarinterval": "interval",
     "calendar interval": "interval",
     "decimal": "decimal(38,18)",
 }

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from daybook.functions import dates
 from daybook.operators.filters import open_ended
-from daybook.session import ensure_dynamic_overwrite, workspace
+from daybook.session import ensure_dynamic_overwrite, scratch_database
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -85,17 +85,23 @@ def full_refresh(df: DataFrame, table: str, staged: bool = False) -> bool:
     """Replace every row, keep the table and its schema.
 
     ``staged`` writes the rows aside first; it is needed when they are read from
-    the table itself.
+    the table itself. The staged copy goes once the table is complete, so a refresh
+    that breaks off leaves it to start again from.
     """
     if not df.columns:
         return False
     spark = df.sparkSession
-    rows = _stage(align(df, table)) if staged else align(df, table)
+    if staged:
+        stage = scratch_database(spark, "stage")
+        align(df, table).write.saveAsTable(f"{stage}.stage_rows")
+        full_refresh(spark.table(f"{stage}.stage_rows"), table)
+        spark.sql(f"DROP DATABASE {stage} CASCADE")
+        return True
     keys = partition_columns(spark, table)
     if not keys:
-        rows.write.insertInto(table, overwrite=True)
+        align(df, table).write.insertInto(table, overwrite=True)
         return True
-    written = _overwrite_partitions(rows, table, keys)
+    written = _overwrite_partitions(df, table, keys)
     drop_partitions(spark, table, keys, existing_partitions(spark, table) - written)
     return True
 
@@ -273,12 +279,6 @@ def upsert_table(new: DataFrame, table: str, keys: list[str], latest_by: str | N
 
 # --- internals ---------------------------------------------------------------
 
-def _stage(df: DataFrame) -> DataFrame:
-    path = workspace(df.sparkSession, "stage")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _overwrite_partitions(df: DataFrame, table: str, keys: list[str]) -> set[tuple[str, ...]]:
     """Dynamic overwrite; returns the partitions that got rows, as text."""
     spark = df.sparkSession
