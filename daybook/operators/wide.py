@@ -11,6 +11,7 @@ from daybook import schemas
 from daybook.functions.text import blank_to_null
 from daybook.operators.filters import date_window, known_members
 from daybook.operators.joins import HOT_ROWS, broadcast_when_small, left_join_spread
+from daybook.session import ensure_skew_splits
 
 
 def org_dimension(
@@ -71,17 +72,33 @@ def clean_departments(departments: DataFrame) -> DataFrame:
     return departments.withColumns({c: blank_to_null(F.col(c)) for c in schemas.LEVEL_COLUMNS})
 
 
-def join_snapshot(facts: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Facts with the person's snapshot of exactly that day.
+def people_of_days(snapshots: DataFrame) -> DataFrame:
+    """Snapshots as a join side, with the status as of their day.
 
-    The snapshots grow with people and days, so they are never broadcast.
+    They grow with people and days, so the joins below never broadcast them.
     """
-    people = with_status(snapshots).select(
+    return with_status(snapshots).select(
         F.col("empid").alias("_person"), F.col("date").alias("_person_day"),
         "empdept", *schemas.EMPLOYEE_COLUMNS,
-    ).hint("merge")
+    )
+
+
+def join_snapshot(facts: DataFrame, snapshots: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Facts with the person's snapshot of exactly that day, if there is one."""
+    return left_join_spread(
+        facts, people_of_days(snapshots).hint("merge"), [("empid", "_person"), ("date", "_person_day")], hot_rows
+    ).drop("_person", "_person_day")
+
+
+def join_known_people(facts: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Facts of people known on that day: the left join and its filter in one inner join.
+
+    AQE can split either side of it, so hot keys need no search.
+    """
+    ensure_skew_splits(facts.sparkSession)
     return facts.join(
-        people, (F.col("empid") == F.col("_person")) & (F.col("date") == F.col("_person_day")), "left"
+        known_members(people_of_days(snapshots)).hint("merge"),
+        (F.col("empid") == F.col("_person")) & (F.col("date") == F.col("_person_day")),
     ).drop("_person", "_person_day")
 
 
@@ -148,7 +165,7 @@ def wide_record(
     shift, department = broadcast_when_small(
         shift_dimension(shifts), department_dimension(departments, org)
     )
-    rows = known_members(join_snapshot(facts.select(*needed), snapshots))
+    rows = join_known_people(facts.select(*needed), snapshots)
     rows = join_shifts(join_cards(rows, cards, hot_rows), shift)
     rows = join_departments(rows, department, department_code)
     return rows.select(*schemas.wide_columns(values))

@@ -808,11 +808,10 @@ def job_audit(spark: SparkSession, sf: str) -> DataFrame:
 
     jobs.audited_load(spark, f"{db}.audit", "orders", lambda: tables.full_overwrite(orders, f"{db}.orders"))
     jobs.audited_load(spark, f"{db}.audit", "broken", broken)
-    loaded = spark.table(f"{db}.orders").agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit("orders").alias("table_name"), "n_rows"
-    )
-    return spark.table(f"{db}.audit").join(loaded, "table_name", "left").select(
-        "table_name", "status", "info", F.col("end_time").isNotNull().alias("ended"), "n_rows"
+    n_rows = spark.table(f"{db}.orders").agg(F.count(F.lit(1))).scalar()
+    return spark.table(f"{db}.audit").select(
+        "table_name", "status", "info", F.col("end_time").isNotNull().alias("ended"),
+        F.when(F.col("table_name") == "orders", n_rows).alias("n_rows"),
     )
 
 

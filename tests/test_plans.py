@@ -22,6 +22,10 @@ def test_known_members_make_the_join_inner(spark):
     joined = wide.join_snapshot(facts, hr.snapshots(spark, SF))
     assert "LeftOuter" in plan(joined)
     assert "LeftOuter" not in plan(known_members(joined))
+    inner = wide.join_known_people(facts, hr.snapshots(spark, SF))
+    assert "BroadcastExchange" not in plan(inner)
+    assert inner.exceptAll(known_members(joined)).count() == 0
+    assert inner.count() == known_members(joined).count() > 0
 
 
 def test_facts_are_shuffled_once_for_people_and_cards(spark, db):
@@ -29,7 +33,7 @@ def test_facts_are_shuffled_once_for_people_and_cards(spark, db):
     tables.full_overwrite(hr.attendance(spark, SF), facts, ["date"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = known_members(wide.join_snapshot(spark.table(facts), hr.snapshots(spark, SF)))
+        joined = wide.join_known_people(spark.table(facts), hr.snapshots(spark, SF))
         text = plan(wide.join_cards(joined, hr.cards(spark, SF)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

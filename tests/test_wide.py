@@ -3,6 +3,9 @@ import itertools
 from pyspark.sql import functions as F
 
 from daybook.operators import wide
+from daybook.plans import hr_views as hr
+
+SF = "/root/testdata/sf0.001"
 
 DAY = "2024-01-10T00:00:00"
 EARLIER, LATER = "2024-01-09T00:00:00", "2024-01-11T00:00:00"
@@ -44,6 +47,18 @@ def test_cards_fan_out(spark):
     assert sorted((r["empid"], r["shiftcode"] or "") for r in rows) == [("a", "x")] * 3 + [("b", "")]
 
 
+def test_hot_cards_and_snapshots_join_the_same(spark):
+    facts = hr.attendance(spark, SF).select("empid", "date", "value1")
+    cards, people = hr.cards(spark, SF), hr.snapshots(spark, SF)
+    # A person and day with a third of all cards, another with a third of all snapshots.
+    cards = cards.unionAll(cards.limit(1).select("*", F.explode(F.sequence(F.lit(1), F.lit(200))).alias("n")).drop("n"))
+    people = people.unionAll(people.limit(1).select("*", F.explode(F.sequence(F.lit(1), F.lit(2000))).alias("n")).drop("n"))
+    for join, side in [(wide.join_cards, cards), (wide.join_snapshot, people)]:
+        plain, spread = join(facts, side), join(facts, side, hot_rows=100)
+        assert "_slice" in spread._jdf.queryExecution().optimizedPlan().toString()
+        assert spread.exceptAll(plain).count() == 0 and spread.count() == plain.count()
+
+
 def test_default_label(spark):
     units = spark.createDataFrame(
         [("1", "f", None, "L", "S", "n")],
