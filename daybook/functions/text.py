@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 SPACES = "".join(chr(code) for code in range(0x21))
 CODE_REPLACEMENTS = {"NORM ": "NORM"}
 LINE_CHARACTERS = "\n\r\t"
-RESERVED_SIGN = r"(?<=t)\$(?=date|full|conf|user)|(?<=T)\$(?=DATE|FULL|CONF|USER)"
+RESERVED_SIGN = r"\$(?:(?<=t\$)(?=date|full|conf|user)|(?<=T\$)(?=DATE|FULL|CONF|USER))"
 VENDOR_PREFIX = r"[tT]\$"
 PADDED_TOKEN = r':" *(\S+?) *"'
 

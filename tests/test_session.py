@@ -37,3 +37,17 @@ def test_settings_that_maintenance_needs(spark):
     session.ensure_skew_splits(spark)
     assert spark.conf.get(session.DYNAMIC_OVERWRITE) == "dynamic"
     assert spark.conf.get(session.SPLIT_SKEW) == "true"
+
+
+def test_job_session_is_stopped_even_on_failure(monkeypatch):
+    stops = []
+
+    class Session:
+        def stop(self):
+            stops.append(1)
+
+    monkeypatch.setattr(session, "build_session", lambda name, **settings: Session())
+    assert session.run_job("x", lambda spark: 5) == 5
+    with pytest.raises(ZeroDivisionError):
+        session.run_job("x", lambda spark: 1 / 0)
+    assert len(stops) == 2
