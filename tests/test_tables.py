@@ -177,3 +177,21 @@ def test_upsert_rewrites_only_touched_partitions(spark, days):
     assert {tuple(r) for r in spark.table(days).where(F.col("date") == key(5)).collect()} == {
         (5, "new", key(5)), (55, "new", key(5))}
     assert spark.table(days).count() == 11
+
+
+def test_hot_day_is_written_by_several_tasks(spark, db):
+    table = f"{db}.hot"
+    hot = spark.range(200_000).select(
+        "id", F.md5(F.col("id").cast("string")).alias("v"),
+        F.when(F.col("id") % 3 == 0, key(9)).otherwise(F.concat(F.lit("2024-01-"), F.col("id") % 9 + 10)).alias("date"),
+    )
+    tables.full_overwrite(hot.limit(0), table, ["date"])
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "500k")
+    try:
+        tables.replace_partitions(hot, table, "date", [key(9)])
+    finally:
+        spark.conf.unset(size)
+    files = spark.table(table).inputFiles()
+    assert len(files) > 3
+    assert spark.table(table).count() == hot.where(F.col("date") == key(9)).count()
