@@ -13,7 +13,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD = 16
 HOT_ROWS = 5_000_000
 HOT_SHARE = 1_000
-HASH_BUCKETS = 16_384
+HASH_BUCKETS = 4_096
 
 
 def broadcast_when_small(*lookups: DataFrame, max_bytes: int = BROADCAST_BYTES) -> list[DataFrame]:
@@ -39,8 +39,9 @@ def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> list[t
 
     A key is hot from ``max(min_rows, rows / 1000)`` rows on, so there are at most a
     thousand of them however large the frame is. Rows are first counted per hash
-    bucket, which shuffles a few thousand counts and no keys. Only a bucket with
-    that many rows can hold a hot key, and only its keys are counted one by one.
+    bucket, which shuffles at most a few thousand counts per task and no keys. Only a
+    bucket with that many rows can hold a hot key, and only its keys are counted one
+    by one.
     """
     named = df.where(" and ".join(f"`{k}` is not null" for k in keys)).withColumn(
         "_bucket", F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS))

@@ -21,16 +21,33 @@ SESSION_DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
+MIN_SHUFFLE_PARTITIONS = 200
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 SPLIT_SKEW = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 DYNAMIC_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for an input, so that one partition fits a task's memory.
+
+    AQE merges partitions that turn out small, but it never adds any for a plain join.
+    """
+    return max(MIN_SHUFFLE_PARTITIONS, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str, master: str | None = None, input_bytes: int | None = None, **settings: str
+) -> SparkSession:
+    """A session with the settings the jobs rely on, sized for its input if that is given."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_DEFAULTS, **settings}.items():
+    sized = {}
+    if input_bytes is not None:
+        sized["spark.sql.shuffle.partitions"] = str(shuffle_partitions(input_bytes))
+    for key, value in {**SESSION_DEFAULTS, **sized, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

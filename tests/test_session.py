@@ -51,3 +51,8 @@ def test_job_session_is_stopped_even_on_failure(monkeypatch):
     with pytest.raises(ZeroDivisionError):
         session.run_job("x", lambda spark: 1 / 0)
     assert len(stops) == 2
+
+
+def test_shuffle_partitions_follow_the_input():
+    assert session.shuffle_partitions(0) == 200
+    assert session.shuffle_partitions(100 * 1024**4) == 524_288
