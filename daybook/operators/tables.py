@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
@@ -270,8 +271,13 @@ def upsert_table(new: DataFrame, table: str, keys: list[str], latest_by: str | N
         touched = [tuple(r) for r in new.select(*parts).distinct().collect()]
         if not touched:
             return
-        named = spark.createDataFrame(touched, new.select(*parts).schema)
-        old = old.join(named, parts, "left_semi").select(*old.columns)
+        named = spark.createDataFrame(touched, new.select(*parts).schema).toDF(
+            *[f"_touched_{p}" for p in parts]
+        )
+        same = reduce(
+            lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_touched_{p}")) for p in parts]
+        )
+        old = old.join(named, same, "left_semi")
         _overwrite_partitions(upsert(old, new, keys, latest_by), table, parts)
     else:
         full_refresh(upsert(old, new, keys, latest_by), table, staged=True)

@@ -56,6 +56,10 @@ def test_base_and_wide_refresh(spark, db, base):
 
     assert not plan.backfill_wide_table(spark, db, first, first).failed
     assert spark.table(f"{db}.{plan.WIDE}").count() == expected.count()
+    window = plan.wide_window(spark, db, first, first)
+    text = window._jdf.queryExecution().executedPlan().toString()
+    # Facts, people and cards each read the days of the window only.
+    assert text.count("PartitionFilters: [isnotnull(") == 3
     history = plan.wide_window(spark, db, first, TODAY, history=True)
     assert history.columns == schemas.wide_columns(schemas.HISTORY_VALUE_COUNT)
 

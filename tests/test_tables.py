@@ -195,3 +195,23 @@ def test_hot_day_is_written_by_several_tasks(spark, db):
     files = spark.table(table).inputFiles()
     assert len(files) > 3
     assert spark.table(table).count() == hot.where(F.col("date") == key(9)).count()
+
+
+def test_upsert_keeps_the_rest_of_a_null_partition(spark, db):
+    table = f"{db}.nulls"
+    tables.full_overwrite(rows(spark, (1, "old", None), (2, "old", key(2))), table, ["date"])
+    tables.upsert_table(rows(spark, (3, "new", None)), table, ["id", "date"])
+    assert state(spark, table) == Counter([(1, "old", None), (2, "old", key(2)), (3, "new", None)])
+
+
+def test_refresh_of_derived_partitions(spark, db):
+    table = f"{db}.derived"
+
+    def dated(*texts):
+        df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").cast("date").alias("d"))
+        return tables.with_derived_partitions(df, "d-month")
+
+    tables.full_overwrite(dated("2023-12-01", "2024-01-01", "2024-02-01"), table, ["year", "month"])
+    tables.full_refresh(dated("2024-01-05", "2024-11-06"), table)
+    assert tables.existing_partitions(spark, table) == {("2024", "1"), ("2024", "11")}
+    assert {str(r["d"]) for r in spark.table(table).collect()} == {"2024-01-05", "2024-11-06"}
