@@ -59,7 +59,9 @@ def test_base_and_wide_refresh(spark, db, base):
     window = plan.wide_window(spark, db, first, first)
     text = window._jdf.queryExecution().executedPlan().toString()
     # Facts, people and cards each read the days of the window only.
-    assert text.count("PartitionFilters: [isnotnull(") == 3
+    for name, key in [(plan.ATTENDANCE, "date"), (plan.CARDS, "signdate"), (plan.SNAPSHOTS, "date")]:
+        scan = next(line for line in text.splitlines() if f"{db}.{name}[" in line)
+        assert "InMemoryFileIndex(1 paths)[" in scan and f"PartitionFilters: [isnotnull({key}#" in scan
     history = plan.wide_window(spark, db, first, TODAY, history=True)
     assert history.columns == schemas.wide_columns(schemas.HISTORY_VALUE_COUNT)
 
