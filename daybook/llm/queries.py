@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import exact_dedup
+from daybook.llm import exact_dedup, simhash
 from daybook.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,8 @@ select doc_id, min(doc_id) over (partition by norm) as keep_id,
        sha256(norm) as text_sha256
 from d
 """
+
+
+@query
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, radius=4)
