@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, simhash
+from daybook.llm import decontaminate, exact_dedup, simhash
 from daybook.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +42,47 @@ from d
 @query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), window=10
+    )
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op3_decontamination"] = r"""
+with w as (
+  select doc_id, text,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from documents
+), b as (
+  select item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+  from benchmark
+), iw as (
+  select distinct item_id, least(10, len(ws)) as n,
+         array_to_string(ws[i:i + least(10, len(ws)) - 1], ' ') as win
+  from (select item_id, ws, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) as i from b where len(ws) > 0)
+), dp as (
+  select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i
+  from w, (select distinct n from iw) where len(ws) >= n
+), h as (
+  select doc_id, i, dp.n, item_id from dp join iw on dp.n = iw.n and array_to_string(ws[i:i + dp.n - 1], ' ') = win
+), pos as (
+  select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from h) group by doc_id
+), its as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from h) group by doc_id
+)
+select w.doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from w left join pos using (doc_id) left join its using (doc_id)
+"""
