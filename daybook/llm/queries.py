@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontaminate, exact_dedup, simhash
+from daybook.llm import decontaminate, exact_dedup, quality, sentencepiece_viterbi, simhash
 from daybook.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,15 @@ select w.doc_id, cast(len(ws) as bigint) as n_words, coalesce(n_hit, 0) as n_hit
        sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from w left join pos using (doc_id) left join its using (doc_id)
 """
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), threshold=0.3
+    )
+
+
+@query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_viterbi.encode_documents(read_table(spark, sf_dir, "documents"))
