@@ -6,19 +6,44 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import exact_dedup
+from daybook.llm import decontaminate, exact_dedup, quality, sentencepiece_viterbi, simhash
 from daybook.llm.common import read_table, shared_folder
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.keep_good(docs, read_table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts one document stays."""
     return exact_dedup.keep_first(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates one document stays."""
+    return simhash.keep_one(docs, shingle=4, radius=4)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"), window=10)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document that is left."""
+    return sentencepiece_viterbi.encode_documents(docs)
+
+
 STAGES = [
+    ("quality classifier", classify),
     ("exact dedup", exact),
+    ("simhash near-dedup", near),
+    ("benchmark decontamination", decontaminated),
+    ("sentencepiece", encode),
 ]
 
+#: SQL cannot express trained rules, fingerprints or segmentation.
 ORACLE_SQL = None
 
 
