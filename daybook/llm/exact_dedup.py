@@ -92,7 +92,8 @@ def _collisions(texts: DataFrame, keys: DataFrame, slices: int) -> DataFrame:
     )
     members = staged(
         texts.withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
-        .join(groups, ["hash", "_slice"]),
+        # The same plan at every size: texts of groups are too large to count on a broadcast.
+        .join(groups.hint("merge"), ["hash", "_slice"]),
         "exact-members",
     )
     sha = F.unhex(F.sha2(F.col("norm").cast("binary"), 256))
