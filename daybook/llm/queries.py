@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontaminate, exact_dedup, quality, sentencepiece_viterbi, simhash
+from daybook.llm import (
+    decontaminate, exact_dedup, html_text, quality, secret_scan, sentencepiece_viterbi, simhash,
+    url_filter,
+)
 from daybook.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +101,105 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_viterbi.encode_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+def _number(value: Column, below: int) -> Column:
+    """A number that a text always gives: the first four hex digits of its MD5."""
+    return F.conv(F.substring(F.md5(value.cast("binary")), 1, 4), 16, 10).cast("int") % below
+
+
+def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures; the day of the fetch follows from the URL."""
+    return read_table(spark, sf_dir, "pages").select(
+        "page_id", "url",
+        F.date_add(F.lit("2023-01-01").cast("date"), _number(F.col("url"), 730)).alias("fetched_on"),
+    )
+
+
+def _list_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated list changes for every host of the pages, its parent domain and its sections.
+
+    A target is added, removed and added again; which list and when follows from its name.
+    """
+    url = F.col("url")
+    host, section = url_filter.host_of(url), url_filter.section_of(url)
+    targets = (
+        read_table(spark, sf_dir, "pages").select(F.explode(F.array(
+            host, F.regexp_replace(host, r"^[^.]*\.", ""), F.concat(host, F.lit("/"), section)
+        )).alias("target")).distinct()
+    )
+    start = F.date_add(F.lit("2022-07-01").cast("date"), _number(F.col("target"), 400))
+    days = _number(F.concat("target", F.lit("#days")), 300) + 1
+    return targets.select(
+        F.when(_number(F.concat("target", F.lit("#list")), 3) == 0, "allow").otherwise("block").alias("list"),
+        "target", F.inline(F.array(
+            F.struct(start.alias("at"), F.lit("add").alias("action")),
+            F.struct(F.date_add(start, days).alias("at"), F.lit("remove").alias("action")),
+            F.struct(F.date_add(start, days * 2).alias("at"), F.lit("add").alias("action")),
+        )),
+    )
+
+
+@query
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_filter.filter_captures(
+        _captures(spark, sf_dir), _list_changes(spark, sf_dir), time_col="fetched_on"
+    )
+    return found.withColumn("entries", F.array_join("entries", " "))
+
+
+ORACLE["op10_url_filters"] = r"""
+with c as (
+  select page_id, url, date '2023-01-01' + cast(('0x' || substr(md5(url), 1, 4))::int % 730 as int) as fetched_on,
+         regexp_replace(lower(regexp_replace(regexp_replace(
+           regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', '')),
+           '\.$', '') as host,
+         regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]+)', 1) as section,
+         row_number() over () as r
+  from pages
+), targets as (
+  select distinct unnest([host, regexp_replace(host, '^[^.]*\.', ''), host || '/' || section]) as target from c
+), dated as (
+  select target, case when ('0x' || substr(md5(target || '#list'), 1, 4))::int % 3 = 0 then 'allow' else 'block' end as list,
+         date '2022-07-01' + cast(('0x' || substr(md5(target), 1, 4))::int % 400 as int) as s,
+         cast(('0x' || substr(md5(target || '#days'), 1, 4))::int % 300 + 1 as int) as n
+  from targets
+), iv as (
+  select list, target, s as since, s + n as until from dated
+  union all select list, target, s + 2 * n, null from dated
+), labels as (
+  select r, page_id, url, fetched_on, host, section, string_split(host, '.') as l from c where host <> ''
+), asked as (
+  select r, fetched_on, array_to_string(l[i:], '.') as target
+  from (select *, unnest(range(1, len(l) + 1)) as i from labels)
+  union select r, fetched_on, host || '/' || section from labels where section <> ''
+), met as (
+  select distinct r, list, iv.target from asked join iv on asked.target = iv.target
+  where since <= fetched_on and (until is null or fetched_on < until)
+), best as (
+  select r, string_agg(list || ':' || target, ' ' order by list || ':' || target) as entries,
+         max({'n': length(target), 'a': list = 'allow', 't': target, 'l': list}) as b
+  from met group by r
+)
+select page_id, url, fetched_on, host, coalesce(entries, '') as entries, b.t as target, coalesce(b.l, 'none') as verdict
+from c left join best using (r)
+"""
+
+
+#: What a finding of a known form looks like: a key id, or a value assigned to a secret's name.
+KEY_ID = r"^AKIA[A-Z2-7]{16}$"
+ASSIGNED_SECRET = r"(?i)\b(token|password|secret|api_key)\s*[=:]\s*[\"']?$"
+
+
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table holds labelled findings: those of a known form count as labelled 1, others 0."""
+    known = F.col("candidate").rlike(KEY_ID) | F.col("before").rlike(ASSIGNED_SECRET)
+    return secret_scan.scan(
+        read_table(spark, sf_dir, "documents"), label=known.cast("int"), learn=~quality.held_out(F.col("id"))
+    )
