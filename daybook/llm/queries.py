@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm import (
     decontaminate, exact_dedup, html_text, quality, secret_scan, sentencepiece_viterbi, simhash,
-    url_filter,
+    suffix_dedup, url_filter,
 )
 from daybook.llm.common import read_table
 
@@ -203,3 +203,13 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(
         read_table(spark, sf_dir, "documents"), label=known.cast("int"), learn=~quality.held_out(F.col("id"))
     )
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeated_spans(read_table(spark, sf_dir, "documents"), length=400, keep_first=False)
+    removed = F.expr("aggregate(spans, 0L, (n, s) -> n + s.b - s.a)")
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
