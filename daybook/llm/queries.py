@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
-    decontaminate, exact_dedup, html_text, quality, secret_scan, sentencepiece_viterbi, simhash,
+    decontaminate, exact_dedup, html_text, lm, quality, secret_scan, sentencepiece_viterbi, simhash,
     suffix_dedup, url_filter,
 )
 from daybook.llm.common import read_table
@@ -213,3 +213,8 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         "kept_sha256",
     )
+
+
+@query
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(read_table(spark, sf_dir, "documents"))

@@ -1,0 +1,144 @@
+"""The recurrent model against numerical gradients, and scoring against plain counts."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from daybook.llm import gru, lm
+from daybook.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def small_model(seed=0):
+    shape = gru.Shape(inputs=7, state=3, classes=4, head_bounds=[0, 3, 5])
+    rng = np.random.default_rng(seed)
+    vector = rng.normal(0, 0.5, sum(int(np.prod(s)) for s in shape.parts().values()))
+    words = rng.integers(-2, 5, 20)
+    classes = np.where(words < 0, words + 4, np.where(words < 3, 0, 1))
+    inputs = np.where(words < 0, words + 7, words)
+    return shape, vector, inputs, classes, np.where(words < 0, -1, words)
+
+
+def direct(vector, shape, offsets, inputs, classes, words):
+    """Log probabilities token by token, without lanes or windows."""
+    w, size, out = gru.split(vector, shape), shape.state, []
+    for a, b in zip(offsets, offsets[1:]):
+        h = np.zeros(size)
+        for i in range(a, b):
+            logits = h @ w["to_class"] + w["class_bias"]
+            total = logits[classes[i]] - np.log(np.exp(logits).sum())
+            if words[i] >= 0:
+                low, high = shape.head_bounds[classes[i]:classes[i] + 2]
+                logits = w["to_word"][low:high] @ h + w["word_bias"][low:high]
+                total += logits[words[i] - low] - np.log(np.exp(logits).sum())
+            out.append(total)
+            x, g = w["gates"][inputs[i]], h @ w["again"]
+            z = 1 / (1 + np.exp(-x[:size] - g[:size]))
+            r = 1 / (1 + np.exp(-x[size:2 * size] - g[size:2 * size]))
+            n = np.tanh(x[2 * size:] + r * g[2 * size:])
+            h = (1 - z) * n + z * h
+    return np.array(out)
+
+
+@pytest.mark.parametrize("lanes, steps", [(1, 3), (2, 4), (3, 100)])
+def test_state_is_carried_across_windows(lanes, steps):
+    shape, vector, *tokens = small_model()
+    offsets = np.array([0, 9, 10, 17, 20])
+    found = gru.score(gru.split(vector.astype(np.float32), shape), shape, offsets, *tokens, lanes, steps)
+    assert np.allclose(found, direct(vector, shape, offsets, *tokens), atol=1e-4)
+
+
+def test_gradient_of_a_window():
+    shape, vector, inputs, classes, words = small_model(1)
+    offsets = np.array([0, 8, 20])
+    places, starts = gru.in_lanes(offsets, 2)
+    live, at = places >= 0, np.maximum(places, 0)
+    gradient = np.zeros(len(vector))
+    # float32 inside; compare with differences of the direct computation.
+    gru.window_gradient(gru.split(vector.astype(np.float32), shape), shape, np.zeros((2, 3), np.float32),
+                        inputs[at], starts, classes[at], words[at], live, gru.split(gradient, shape))
+    loss = lambda v: direct(v, shape, offsets, inputs, classes, words).mean()
+    for i in range(0, len(vector), 3):
+        step = np.zeros(len(vector))
+        step[i] = 1e-5
+        assert math.isclose((loss(vector + step) - loss(vector - step)) / 2e-5, gradient[i], abs_tol=2e-4)
+
+
+def test_training_learns_an_order():
+    shape = gru.Shape(inputs=3, state=8, classes=1, head_bounds=[0, 3])
+    vector = gru.initial(shape, np.zeros(1, np.float32), np.zeros(3, np.float32), 1)
+    trainer = gru.Trainer(vector, shape)
+    words = np.tile([0, 1, 2], 3000)
+    tokens = words, np.zeros_like(words), words
+    offsets = np.arange(0, 9001, 90)
+    for _ in range(3):
+        gru.train(trainer, offsets, *tokens, 16, 10)
+    assert gru.score(trainer.weights, shape, offsets, *tokens, 16, 10).mean() > -0.1
+
+
+def expected_base(rows, parts=10):
+    out = lambda i: i is not None and zlib.crc32(str(i).encode()) % parts == 0
+    tokens = lambda t: [*(t or "").encode().lower().split(), None]
+    counts = Counter(w for i, t in rows if i is not None and not out(i) for w in tokens(t))
+    n, v = sum(counts.values()), len(counts)
+    return [
+        (i, out(i), len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), n,
+         sum(math.log10((counts[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens(t)))
+        for i, t in rows
+    ]
+
+
+def check(found, rows):
+    key = lambda r: (str(r[0]), r[2], r[3])
+    for got, want in zip(sorted(found, key=key), sorted(expected_base(rows), key=key), strict=True):
+        assert tuple(got)[:5] == want[:5]
+        assert math.isclose(got.base_score, want[5], rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isfinite(got.score) and got.score <= 1e-6
+
+
+def test_query_counts_and_held_out_gain(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = QUERIES["op6_lm_scoring"](spark, SF_DIR).collect()
+    check(found, [(r.doc_id, r.text) for r in docs.collect()])
+    held = [r for r in found if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_words_beyond_the_known_ones(spark, monkeypatch):
+    monkeypatch.setattr(lm, "KNOWN_WORDS", 5)
+    monkeypatch.setattr(lm, "HEAD_WORDS", 3)
+    monkeypatch.setattr(lm, "COUNTER_WORDS", 4)
+    rows = [(i, f"The a b\tc{i % 7}, é{i % 3} the") for i in range(40)]
+    rows += [(None, "a zz"), (3, None), (3, ""), (50, "x " * 20_000), (51, "only-here"), (51, "only-here")]
+    frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n_tokens int")
+    check(lm.score_documents(frame).collect(), rows)
+
+
+def test_nothing_to_learn_from(spark):
+    rows = [(None, "a b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    check(lm.score_documents(frame).collect(), rows)
+    assert lm.score_documents(frame.where("false")).count() == 0
+
+
+def test_probabilities_add_up_to_one(spark):
+    """Over all words that were counted, and one for all that were not, after some text."""
+    texts = spark.createDataFrame([(i, f"w{i % 9} v{i % 4}, ü{i % 5} a a the") for i in range(60)],
+                                  "id string, text string")
+    plan = lm._plan(lm.word_counts(texts))
+    shape = gru.Shape(**lm._shape(plan))
+    weights = gru.split(gru.initial(shape, plan["class_log"], plan["word_log"], 2), shape)
+    total = 0.0
+    for _, kind, at, _, tail in plan["known"].values():
+        table = np.array([[0, 0, -1], [0, kind, at]])
+        log = gru.score(weights, shape, np.array([0, 2]), *(table[:, k] for k in range(3)), 1, 4)[1]
+        total += math.exp(log) * 10 ** tail
+    for kind in range(len(plan["bounds"]) - 1, plan["classes"]):
+        log = gru.score(weights, shape, np.array([0, 2]), np.array([0, 0]), np.array([0, kind]),
+                        np.array([-1, -1]), 1, 4)[1]
+        total += math.exp(log) * plan["share"][kind]
+    assert math.isclose(total, 1, rel_tol=1e-4)
