@@ -57,9 +57,12 @@ def union_of_filters(df: DataFrame, *conditions: Column) -> DataFrame:
     """One pull per condition, appended: a row that meets two conditions comes twice.
 
     Each row is emitted as often as it meets a condition, in one pass over the input.
+    Rows that meet none are filtered first, so the filter reaches the scan.
     """
     met = F.array_size(F.array_compact(F.array(*[F.when(c, F.lit(1)) for c in conditions])))
-    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), met))).drop("_copy")
+    return any_filter(df, *conditions).withColumn(
+        "_copy", F.explode(F.array_repeat(F.lit(0), met))
+    ).drop("_copy")
 
 
 def any_filter(df: DataFrame, *conditions: Column) -> DataFrame:

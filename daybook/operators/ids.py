@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.session import workspace
+from daybook.session import SHUFFLE_PARTITION_BYTES, SHUFFLE_PARTITIONS, estimated_bytes, workspace
 
 _ROW_BITS = 33
 
 
+def id_partitions(df: DataFrame) -> int:
+    """Partitions to number a frame in: by its size, at least the session's."""
+    have = int(df.sparkSession.conf.get(SHUFFLE_PARTITIONS))
+    return max(have, -(-estimated_bytes(df) // SHUFFLE_PARTITION_BYTES))
+
+
 def sequential_id(df: DataFrame, name: str, *order_by: str, partitions: int | None = None) -> DataFrame:
     """Add a 1-based ``bigint`` id that follows the given order.
 
@@ -19,8 +25,9 @@ def sequential_id(df: DataFrame, name: str, *order_by: str, partitions: int | No
     task gets a whole group of equal rows. Places are given in a sorted order, so a
     task that is run again after a lost executor gives the same ones. The numbered
     rows are written once to the shared workspace, so that counting and numbering
-    see the same rows; they stay there as long as the result is in use. The offsets table has one row per partition, which bounds the
-    broadcast.
+    see the same rows, and stay there until the workspaces are cleared. There are as many
+    partitions as the input's size asks for. The offsets table has one row per partition,
+    which bounds the broadcast.
     """
     spark = df.sparkSession
     keyed = (
@@ -28,7 +35,7 @@ def sequential_id(df: DataFrame, name: str, *order_by: str, partitions: int | No
         .sortWithinPartitions("_tie")
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or id_partitions(df)
     order = [*order_by, "_tie", "_place"]
     ranged = (
         keyed.repartitionByRange(count, *order)

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions.text import clean_text_columns
 from daybook.operators import tables
@@ -75,7 +76,9 @@ def delta(
     if mode == "T0":
         return newer_than_target(source, target, fields)
     if mode == "T1":
-        return previous_day(source, [s for s, _ in fields], today or dt.date.today())
+        if today is None:
+            raise ValueError("mode T1 needs today")
+        return previous_day(source, [s for s, _ in fields], today)
     raise ValueError(f"delta mode is one of {DELTA_MODES}, not {mode!r}")
 
 
@@ -93,10 +96,10 @@ def distinct_partitions(df: DataFrame, column: str) -> DataFrame:
 
 
 def prepare(df: DataFrame, table: str) -> DataFrame:
-    """Clean names and values, and cast to the target's schema."""
-    return cast_to_schema(
-        clean_text_columns(vendor_names(df)), df.sparkSession.table(table).schema
-    )
+    """Clean names and values, and cast to the target's schema (a key's bucket comes later)."""
+    target = df.sparkSession.table(table).schema
+    own = T.StructType([f for f in target.fields if f.name != tables.KEY_BUCKET])
+    return cast_to_schema(clean_text_columns(vendor_names(df)), own)
 
 
 def load(
@@ -105,12 +108,15 @@ def load(
     update_type: str,
     partition_field: str | None = None,
     keys: list[str] | None = None,
+    latest_by: str | None = None,
 ) -> None:
     """Save a frame by update type.
 
     ``full`` and ``fullpart`` create the table anew, ``delta`` and ``deltapart``
     clean, cast and append. With ``keys`` the table counts as keyed: ``full``
-    replaces all rows and ``delta`` upserts.
+    replaces all rows and ``delta`` upserts. A keyed table holds a key once: of rows with
+    the same key the one with the largest ``latest_by`` counts, and without that column a
+    repeated key is an error.
     """
     if update_type not in UPDATE_TYPES:
         raise ValueError(f"update type is one of {UPDATE_TYPES}, not {update_type!r}")
@@ -118,12 +124,14 @@ def load(
         if not partition_field or keys:
             raise ValueError("a partitioned load needs a partition field and no keys")
         df = tables.with_derived_partitions(df, partition_field)
-    if update_type == "full":
-        tables.replace_all_rows(df, table) if keys else tables.full_overwrite(df, table)
+    if update_type == "full" and keys:
+        tables.replace_all_rows(df, table, keys, latest_by)
+    elif update_type == "full":
+        tables.full_overwrite(df, table)
     elif update_type == "fullpart":
         tables.full_overwrite(df, table, tables.derived_partition_names(partition_field)[1])
     elif keys:
-        tables.upsert_table(prepare(df, table), table, keys)
+        tables.upsert_table(prepare(df, table), table, keys, latest_by)
     else:
         tables.append(prepare(df, table), table)
 

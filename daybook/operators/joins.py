@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from daybook.session import ensure_skew_splits
-
 BROADCAST_BYTES = 32 * 1024 * 1024
 ROW_OVERHEAD = 16
+#: Rows of one key, and of one slice of a split key, that a task takes.
 HOT_ROWS = 5_000_000
-HOT_SHARE = 1_000
 HASH_BUCKETS = 4_096
+#: Up to so many hot keys are literals of the plan; a longer list stays a frame.
+LISTED_KEYS = 1_000
 
 
 def broadcast_when_small(*lookups: DataFrame, max_bytes: int = BROADCAST_BYTES) -> list[DataFrame]:
@@ -34,29 +34,36 @@ def broadcast_when_small(*lookups: DataFrame, max_bytes: int = BROADCAST_BYTES)
     return [F.broadcast(df) if i in small else df for i, df in enumerate(lookups)]
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS) -> list[tuple]:
-    """Keys that hold very many rows, each with the number of slices to cut it into.
+def hot_keys(
+    df: DataFrame, keys: list[str], min_rows: int = HOT_ROWS
+) -> tuple[DataFrame, list[Row]] | None:
+    """Keys with at least ``min_rows`` rows, each with the slices to cut it into, or None.
 
-    A key is hot from ``max(min_rows, rows / 1000)`` rows on, so there are at most a
-    thousand of them however large the frame is. Rows are first counted per hash
-    bucket, which shuffles at most a few thousand counts per task and no keys. Only a
-    bucket with that many rows can hold a hot key, and only its keys are counted one
-    by one.
+    Returns a frame of the keys as ``_hot0``, … and ``_slices``, and its rows if they are
+    few, else no rows. A slice has at most ``min_rows`` rows. Both limits are rows that one task can hold and do not grow with the data. Rows
+    are first counted per hash bucket, in a scan of the key columns that shuffles a few
+    thousand counts per task and runs at once. Only a bucket with that many rows can hold
+    a hot key, and only the keys of such buckets are counted one by one.
     """
     named = df.where(" and ".join(f"`{k}` is not null" for k in keys)).withColumn(
         "_bucket", F.pmod(F.xxhash64(*keys), F.lit(HASH_BUCKETS))
     )
     buckets = named.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    summary = buckets.agg(F.sum("_rows").alias("total"), F.max("_rows").alias("largest")).first()
-    threshold = max(min_rows, (summary["total"] or 0) // HOT_SHARE)
-    if (summary["largest"] or 0) < threshold:
-        return []
-    full = [r["_bucket"] for r in buckets.where(F.col("_rows") >= threshold).collect()]
+    full = [r["_bucket"] for r in buckets.where(F.col("_rows") >= min_rows).collect()]
+    if not full:
+        return None
+    slices = F.ceil(F.col("_rows") / F.lit(min_rows)).cast("bigint")
     found = (
         named.where(F.col("_bucket").isin(full)).groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= threshold).collect()
+        .agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= min_rows)
+        .select(*[F.col(k).alias(f"_hot{i}") for i, k in enumerate(keys)], slices.alias("_slices"))
     )
-    return [(*[r[k] for k in keys], -(-r["_rows"] // threshold)) for r in found]
+    listed = found.limit(LISTED_KEYS + 1).collect()
+    if not listed:
+        return None
+    if len(listed) <= LISTED_KEYS:
+        return F.broadcast(df.sparkSession.createDataFrame(listed, found.schema)), listed
+    return broadcast_when_small(found)[0], []
 
 
 def left_join_spread(
@@ -75,18 +82,12 @@ def left_join_spread(
     them the same way. Without hot keys the plan is the plain join. Column names must
     differ between the sides.
     """
-    ensure_skew_splits(left.sparkSession)
     left_keys, right_keys = [l for l, _ in on], [r for _, r in on]
     matches = reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in on])
     hot = hot_keys(right, right_keys, min_rows)
-    if not hot:
+    if hot is None:
         return left.join(right, matches, "left")
-
-    spark = left.sparkSession
-    fields = ", ".join(
-        f"`_hot{i}` {right.schema[k].dataType.simpleString()}" for i, k in enumerate(right_keys)
-    )
-    hot_df = F.broadcast(spark.createDataFrame(hot, f"{fields}, _slices bigint"))
+    hot_df, listed = hot
 
     def is_hot(keys: list[str]) -> Column:
         return reduce(
@@ -94,9 +95,9 @@ def left_join_spread(
         )
 
     def near_hot(df: DataFrame, keys: list[str]) -> DataFrame:
-        """Every row of a hot key and few others; the literals reach the scan."""
-        for i, key in enumerate(keys):
-            df = df.where(F.col(key).isin(sorted({row[i] for row in hot})))
+        """Literals of a short list reach the scan; the join with the list is exact either way."""
+        for i, key in enumerate(keys if listed else []):
+            df = df.where(F.col(key).isin(sorted({row[i] for row in listed})))
         return df
 
     cold = left.join(hot_df, is_hot(left_keys), "left_anti").join(

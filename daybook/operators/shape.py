@@ -149,8 +149,12 @@ def comments_of(df: DataFrame) -> dict[str, str]:
 
 
 def epoch_to_timestamp(column):
-    """The first ten digits of an epoch number as a time of the fixed zone, in UTC."""
-    seconds = F.substring(column.cast("string"), 1, 10).try_cast("bigint")
+    """Epoch milliseconds, cut to the second, as a time of the fixed zone, in UTC.
+
+    Whole division, so times before 2001 and before 1970 are right too.
+    """
+    millis = column.try_cast("bigint")
+    seconds = ((millis - F.pmod(millis, F.lit(1000))) / 1000).cast("bigint")
     return F.to_utc_timestamp(F.from_unixtime(seconds), EPOCH_ZONE)
 
 

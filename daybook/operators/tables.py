@@ -12,8 +12,9 @@ from functools import reduce
 from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daybook.functions import dates
 from daybook.operators.filters import open_ended
@@ -21,6 +22,13 @@ from daybook.session import ensure_dynamic_overwrite, scratch_database
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+#: Partitions named in one statement.
+DROP_AT_ONCE = 500
+
+#: Partition column of a keyed table, and the table property with the number of buckets.
+KEY_BUCKET = "key_bucket"
+BUCKETS_PROPERTY = "daybook.key_buckets"
+
 
 # --- table facts -------------------------------------------------------------
 
@@ -47,8 +55,9 @@ def drop_partitions(
         return f"PARTITION ({', '.join(terms)})"
 
     specs = [spec(value) for value in sorted(values)]
-    if specs:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(specs)}")
+    for first in range(0, len(specs), DROP_AT_ONCE):
+        some = ", ".join(specs[first:first + DROP_AT_ONCE])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {some}")
 
 
 def align(df: DataFrame, table: str) -> DataFrame:
@@ -107,16 +116,32 @@ def full_refresh(df: DataFrame, table: str, staged: bool = False) -> bool:
     return True
 
 
-def replace_all_rows(df: DataFrame, table: str) -> bool:
-    """Keyed full replace: the table holds the new set and nothing else."""
+def replace_all_rows(
+    df: DataFrame, table: str, keys: list[str] | None = None, latest_by: str | None = None
+) -> bool:
+    """Keyed full replace: the table holds the new set and nothing else.
+
+    With ``keys`` a key is held once: the row with the largest ``latest_by`` stays, and
+    without that column a repeated key is an error.
+    """
+    if keys and latest_by:
+        df = latest_per_key(df, keys, latest_by)
+    elif keys and (twice := repeated_key(df, keys)) is not None:
+        raise ValueError(f"the new set holds the key {twice} more than once")
+    if keys and (buckets := key_buckets(df.sparkSession, table)):
+        df = with_key_bucket(df, keys, buckets)
     return full_refresh(df, table)
 
 
 # --- partition replacement ---------------------------------------------------
 
-def replace_partitions(df: DataFrame, table: str, key: str, window: list[str]) -> bool:
+def replace_partitions(
+    df: DataFrame, table: str, key: str, window: list[str], if_filled: list[str] | None = None
+) -> bool:
     """Replace the listed partitions by the frame's rows of those partitions.
 
+    Partitions ``if_filled`` are replaced too where the frame has rows of them, else kept.
+
     Dynamic overwrite swaps each partition that has new rows in one commit. A listed
     partition without new rows is dropped afterwards, as it would otherwise keep
     its old ones. Which partitions got rows is observed while writing, so the
@@ -125,7 +150,8 @@ def replace_partitions(df: DataFrame, table: str, key: str, window: list[str]) -
     if not df.columns:
         return False
     spark = df.sparkSession
-    written = _overwrite_partitions(df.where(F.col(key).isin(window)), table, [key])
+    rows = df.where(F.col(key).isin([*window, *(if_filled or [])]))
+    written = _overwrite_partitions(rows, table, [key])
     listed = {(v,) for v in window}
     drop_partitions(spark, table, [key], (existing_partitions(spark, table) & listed) - written)
     return True
@@ -152,12 +178,13 @@ def replace_current_day(df: DataFrame, table: str, key: str, today: dt.date) ->
 def replace_months(
     df: DataFrame, table: str, key: str, today: dt.date, months_back: int = 2
 ) -> bool:
-    """Replace the months from ``months_back`` ago to now, and next month if it has rows."""
-    following = dates.shift_month(today, 1)
-    has_following = not df.where(F.col(key) == dates.month_text(following)).isEmpty()
-    last = following if has_following else today
+    """Replace the months from ``months_back`` ago to now, and next month if it has rows.
+
+    Next month is written with the others but never emptied, so the source is read once.
+    """
+    window = dates.month_texts(dates.shift_month(today, -months_back), today)
     return replace_partitions(
-        df, table, key, dates.month_texts(dates.shift_month(today, -months_back), last)
+        df, table, key, window, [dates.month_text(dates.shift_month(today, 1))]
     )
 
 
@@ -236,14 +263,16 @@ def upsert(
 ) -> DataFrame:
     """Old rows whose key is not among the new ones, and all new rows.
 
-    Keys are unique in a keyed table. Where a batch may repeat a key,
-    ``latest_by`` names the column whose largest value wins. The new keys are made
-    distinct before they are shuffled, so a repeated key costs one row per task.
+    Keys are unique in a keyed table; a null in a key equals another null. Where a batch
+    may repeat a key, ``latest_by`` names the column whose largest value wins. The new
+    keys are made distinct before they are shuffled, so a repeated key costs one row per
+    task.
     """
     if latest_by:
         new = latest_per_key(new, keys, latest_by)
-    kept = old.join(new.select(*keys).distinct(), keys, "left_anti").select(*old.columns)
-    return kept.unionByName(new)
+    fresh = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    return old.join(fresh, same, "left_anti").unionByName(new)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], latest_by: str) -> DataFrame:
@@ -259,14 +288,46 @@ def latest_per_key(df: DataFrame, keys: list[str], latest_by: str) -> DataFrame:
     )
 
 
+def with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    return df.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def keyed_table(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
+    """Create a table partitioned by a hash bucket of its key.
+
+    An upsert then rewrites the buckets that get new rows instead of the whole table. The
+    bucket is a column of the table; its number is kept as a table property.
+    """
+    full_overwrite(with_key_bucket(df, keys, buckets), table, [KEY_BUCKET])
+    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{BUCKETS_PROPERTY}' = '{buckets}')")
+
+
+def key_buckets(spark: SparkSession, table: str) -> int | None:
+    """Number of buckets of a table made by :func:`keyed_table`, else None."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == BUCKETS_PROPERTY).collect()
+    return int(rows[0]["value"]) if rows else None
+
+
+def repeated_key(df: DataFrame, keys: list[str]) -> tuple | None:
+    """One key that more than one row has, if there is any."""
+    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").first()
+    return tuple(row[k] for k in keys) if row else None
+
+
 def upsert_table(new: DataFrame, table: str, keys: list[str], latest_by: str | None = None) -> None:
     """Upsert into a catalog table.
 
-    If the partition columns are part of the key, only the partitions that get new
-    rows are rewritten; otherwise the new state is staged and swapped in.
+    If the partition columns are part of the key, or the bucket of a keyed table, only the
+    partitions that get new rows are rewritten; otherwise the new state is staged and
+    swapped in. Without ``latest_by`` a repeated key in the batch is an error, as the
+    table would hold it twice.
     """
     spark = new.sparkSession
+    if latest_by is None and (twice := repeated_key(new, keys)) is not None:
+        raise ValueError(f"the batch holds the key {twice} more than once; name a latest_by column")
     old, parts = spark.table(table), partition_columns(spark, table)
+    if parts == [KEY_BUCKET] and (buckets := key_buckets(spark, table)):
+        new, keys = with_key_bucket(new, keys, buckets), [*keys, KEY_BUCKET]
     if parts and set(parts) <= set(keys):
         touched = [tuple(r) for r in new.select(*parts).distinct().collect()]
         if not touched:
@@ -285,11 +346,31 @@ def upsert_table(new: DataFrame, table: str, keys: list[str], latest_by: str | N
 
 # --- internals ---------------------------------------------------------------
 
+def _as_stored(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
+    """The frame aligned to the table, with partition keys in the type the table has.
+
+    So their text is the catalog's text. A blank text is stored as the null partition.
+    """
+    target = df.sparkSession.table(table).schema
+
+    def stored(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        if name not in keys:
+            return value
+        value = value.cast(target[name].dataType)
+        if isinstance(target[name].dataType, T.StringType):
+            value = F.when(value != "", value)
+        return value.alias(name)
+
+    rows = align(df, table)
+    return rows.select(*[stored(c) for c in rows.columns])
+
+
 def _overwrite_partitions(df: DataFrame, table: str, keys: list[str]) -> set[tuple[str, ...]]:
     """Dynamic overwrite; returns the partitions that got rows, as text."""
     spark = df.sparkSession
     ensure_dynamic_overwrite(spark)
-    rows = align(df, table)
+    rows = _as_stored(df, table, keys)
     seen = F.collect_set(F.array(*[F.coalesce(F.col(k).cast("string"), F.lit(NULL_PARTITION)) for k in keys]))
     watch = Observation()
     rows.observe(watch, seen.alias("partitions")).hint("rebalance", *keys).write.insertInto(
@@ -298,6 +379,9 @@ def _overwrite_partitions(df: DataFrame, table: str, keys: list[str]) -> set[tup
     try:
         found = watch.get["partitions"]
     except Py4JJavaError:
-        # The observation is optimised away when the frame turns out to be empty.
-        found = rows.agg(seen.alias("partitions")).first()["partitions"]
+        # The observation is optimised away when the frame turns out to be empty. Without
+        # one of a frame with rows nobody knows what was written: then nothing is dropped.
+        if not rows.isEmpty():
+            raise
+        return set()
     return {tuple(p) for p in found}

@@ -11,7 +11,6 @@ from daybook import schemas
 from daybook.functions.text import blank_to_null
 from daybook.operators.filters import date_window, known_members
 from daybook.operators.joins import HOT_ROWS, broadcast_when_small, left_join_spread
-from daybook.session import ensure_skew_splits
 
 
 def org_dimension(
@@ -95,7 +94,6 @@ def join_known_people(facts: DataFrame, snapshots: DataFrame) -> DataFrame:
 
     AQE can split either side of it, so hot keys need no search.
     """
-    ensure_skew_splits(facts.sparkSession)
     return facts.join(
         known_members(people_of_days(snapshots)).hint("merge"),
         (F.col("empid") == F.col("_person")) & (F.col("date") == F.col("_person_day")),

@@ -250,11 +250,14 @@ ORACLE: dict[str, str] = {
     "aligned_append": with_views([], "select * from old union all select * from fresh", DAYS),
     "full_overwrite": "select * from customer",
     "full_refresh": with_views([], "select * from fresh", DAYS),
+    "full_refresh_typed_keys": """select l_orderkey, l_linenumber, l_linestatus,
+        cast(year(l_shipdate) as int) as year, nullif(l_returnflag, 'N') as flag from lineitem""",
     "replace_all_rows": "select * from customer where c_mktsegment <> 'BUILDING'",
     "partition_replace": replaced(between("2023-12-24", "2024-01-24")),
     "partition_replace_one_day": replaced("date = '2024-01-24T00:00:00'"),
     "current_day_refresh": replaced("date = '2024-01-25T00:00:00'"),
     "current_day_refresh_stream": replaced("date = '2024-01-25T00:00:00'"),
+    "current_day_refresh_two_pulls": replaced("date = '2024-01-25T00:00:00'"),
     "observed_partition_replace": with_views([], """select * from old
         where date not in (select date from fresh where date >= '2024-01-11T00:00:00')
         union all select * from fresh where date >= '2024-01-11T00:00:00'""", DAYS),
@@ -271,11 +274,11 @@ ORACLE: dict[str, str] = {
         cast(month(o_orderdate) as int) as month from orders""",
     "derived_partitions_day": """select *, cast(year(ts) as int) as year, cast(month(ts) as int) as month,
         cast(day(ts) as int) as day from events""",
-    "upsert_by_key": f"""with new as (select o_custkey as c_custkey,
-            cast(sum({money('o_totalprice')}) as double) as balance from orders
-            where o_orderpriority = '1-URGENT' and o_orderstatus = 'F' group by 1)
-        select c_custkey, c_acctbal as balance from customer
-        where c_mktsegment <> 'BUILDING' and c_custkey not in (select c_custkey from new)
+    "upsert_by_key": f"""with new as (select nullif(o_custkey, 10) as c_custkey,
+            cast(sum({money('o_totalprice')}) as double) as balance from orders group by 1),
+        old as (select nullif(c_custkey, 10) as c_custkey, c_acctbal as balance from customer)
+        select * from old where not exists (
+            select 1 from new where new.c_custkey is not distinct from old.c_custkey)
         union all select * from new""",
     "delta_watermark": "select strftime(max(ts), '%Y-%m-%d %H:%M:%S') as watermark from events",
     "partition_row_count": with_views(
@@ -291,11 +294,16 @@ ORACLE: dict[str, str] = {
     "load_full": "select * from orders",
     "load_fullpart": "select *, cast(year(o_orderdate) as int) as year from orders",
     "load_delta": NEW_ORDERS,
+    "load_delta_keyed": """select o_custkey as custkey, max(o_orderkey) as orderkey,
+            max_by(o_orderstatus, o_orderkey) as status from orders group by o_custkey
+        union all select c_custkey, 0, 'none' from customer
+        where c_custkey not in (select o_custkey from orders)""",
     "load_deltapart": f"select *, cast(year(t_date) as int) as year from ({NEW_ORDERS})",
     "safe_union": """select event_id as id, ts, user_id, cast(null as double) as price from events
         union all select o_orderkey, o_orderdate, null, o_totalprice from orders""",
     "safe_union_epoch": """select event_id as id,
-        strftime(date_trunc('second', ts) - interval 8 hour, '%Y-%m-%d %H:%M:%S') as ts from events
+        strftime(date_trunc('second', t) - interval 8 hour, '%Y-%m-%d %H:%M:%S') as ts
+        from (select event_id, unnest([ts, ts - interval 25 year, ts - interval 65 year]) as t from events)
         union all select o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') from orders""",
     "page_union_skip_empty": with_views([], "select * from d", DAYS),
     "sequential_id": "select *, row_number() over (order by user_id, event_id) as row_id from events",
@@ -319,8 +327,9 @@ ORACLE: dict[str, str] = {
         {money('l_extendedprice')} as l_extendedprice, try_cast(l_returnflag as double) as l_returnflag
         from lineitem""",
     "column_comments": r"""select 'c' || doc_id as column_name,
-        coalesce(trim(regexp_replace(case when n_chars > 300 then text end, '[\r\n\t]', ',', 'g')), '') as comment
-        from documents where lower(source) = 'src1' and lang = 'en'""",
+        coalesce(trim(regexp_replace(text, '[\r\n\t]', ',', 'g')), '') as comment
+        from documents where lower(source) = 'src1' and lang = 'en'
+        union all select 'n' || doc_id, '' from documents where lower(source) = 'src1' and lang = 'en'""",
     "date_series": f"""select o_orderkey, {day('d')} as day from (select o_orderkey,
         unnest(generate_series(date_trunc('day', o_orderdate), date_trunc('day', o_orderdate)
         + to_days(cast(substr(o_orderpriority, 1, 1) as int) - 2), interval 1 day)) as d from orders)""",
@@ -352,9 +361,13 @@ ORACLE: dict[str, str] = {
             '%Y-%m-%d %H:%M:%S') as start_time from events""",
     "page_json_ingest": ITEMS,
     "page_json_ingest_get": ITEMS,
+    "page_count_check": """select case page % 3 when 0 then held when 1 then held + 1 end as declared, held,
+            page % 3 <> 1 as complete, count(*) as n_pages
+        from (select event_id // 500 as page, cast(count(*) as int) as held from events group by 1)
+        group by all""",
     "landing_to_table": "select doc_id as docid, text, lang from documents",
     "jdbc_slice_predicates": """select o_orderkey, 1 as n_slices,
-        cast(case when o_custkey = 7 then 0 else abs(o_custkey - 500) % 10 end as int) as slice from orders""",
+        cast(case when o_custkey = 7 then 0 else cast(floor(abs(o_custkey - 499.75)) as bigint) % 10 end as int) as slice from orders""",
     "jdbc_delta_condition": """select * from events
         where ts >= timestamp '2024-01-24' and ts < timestamp '2024-01-25'""",
     "size_tier": _tiers(),

@@ -1,7 +1,9 @@
 """The refresh jobs: base tables, later tables, current cards, the wide table.
 
 Tables live in one database under the names below. Sources are folders of landed
-pages under one root, one folder per table.
+pages under one root, one folder per table. A folder may hold its pages directly, or one
+folder ``pull=<number>`` per pull: then the newest pull is read and no other. Every job
+sizes its shuffles by the bytes it is going to read.
 """
 
 from __future__ import annotations
@@ -15,9 +17,10 @@ from pyspark.sql import types as T
 from daybook import schemas
 from daybook.functions.text import normalize_code
 from daybook.operators import tables, wide
-from daybook.operators.filters import rename_headings, union_of_filters
+from daybook.operators.filters import date_window, rename_headings, union_of_filters
 from daybook.plans.jobs import LoadResult, audited_load, create_audit_table, load_many
-from daybook.sources.pages import read_pages
+from daybook.session import ensure_skew_splits, estimated_bytes, size_shuffles
+from daybook.sources.pages import newest_pull, read_pages
 
 # Look-back of each refresh in days, and of rosters in months.
 WIDE_DAYS = 50
@@ -62,6 +65,24 @@ def create_tables(spark: SparkSession, db: str) -> None:
     create_audit_table(spark, f"{db}.{AUDIT}")
 
 
+def _landed(
+    spark: SparkSession, landing: str, name: str, item: T.StructType, envelope: str = "post"
+) -> DataFrame:
+    """The pages of a table's newest pull."""
+    return read_pages(spark, newest_pull(spark, f"{landing}/{name}"), item, envelope)
+
+
+def _has_landed(spark: SparkSession, landing: str, name: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{landing}/{name}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _prepare(spark: SparkSession, *inputs: DataFrame) -> None:
+    """Settings that a job needs: shuffles as wide as its input, and skewed joins split."""
+    size_shuffles(spark, estimated_bytes(*inputs))
+    ensure_skew_splits(spark)
+
+
 def refresh_base_tables(
     spark: SparkSession, db: str, landing: str, today: dt.date, at_once: int = 5
 ) -> list[LoadResult]:
@@ -71,8 +92,14 @@ def refresh_base_tables(
     """
 
     def pages(name: str, item: T.StructType) -> DataFrame:
-        return read_pages(spark, f"{landing}/{name}", item)
-
+        return _landed(spark, landing, name, item)
+
+    _prepare(spark, *[
+        pages(n, s) for n, s in ((DEPARTMENTS, schemas.DEPARTMENT), (SNAPSHOTS, schemas.EMPLOYEE),
+                                 (SHIFTS, schemas.SHIFT), (CARDS, schemas.CARD_RECORD),
+                                 (ATTENDANCE, schemas.ATTENDANCE))
+        if _has_landed(spark, landing, n)
+    ])
     return load_many(spark, f"{db}.{AUDIT}", {
         f"{db}.{DEPARTMENTS}": lambda: tables.full_refresh(
             pages(DEPARTMENTS, schemas.DEPARTMENT), f"{db}.{DEPARTMENTS}"),
@@ -106,7 +133,7 @@ def refresh_later_tables(
     """
 
     def pages(name: str, envelope: str = "post") -> DataFrame:
-        return read_pages(spark, f"{landing}/{name}", items[name], envelope)
+        return _landed(spark, landing, name, items[name], envelope)
 
     def observed(name: str, key: str) -> Callable[[], bool]:
         return lambda: tables.replace_observed(pages(name), f"{db}.{name}", key, today, LATER_DAYS)
@@ -137,7 +164,7 @@ def refresh_current_cards(
     return audited_load(
         spark, f"{db}.{AUDIT}", f"{db}.{CARDS}",
         lambda: tables.replace_current_day(
-            read_pages(spark, f"{landing}/{CARDS}", schemas.CARD_RECORD),
+            _landed(spark, landing, CARDS, schemas.CARD_RECORD),
             f"{db}.{CARDS}", "signdate", today),
     )
 
@@ -159,11 +186,20 @@ def wide_window(
     )
 
 
+def _wide_inputs(spark: SparkSession, db: str, low: dt.date, high: dt.date) -> list[DataFrame]:
+    """The partitions of the three large tables that a window of the wide table reads."""
+    return [
+        date_window(spark.table(f"{db}.{name}"), low, high, key)
+        for name, key in ((ATTENDANCE, "date"), (CARDS, "signdate"), (SNAPSHOTS, "date"))
+    ]
+
+
 def refresh_wide_table(
     spark: SparkSession, db: str, today: dt.date, days: int = WIDE_DAYS
 ) -> LoadResult:
     """Rebuild the last ``days`` days of the wide table, ending yesterday."""
     low, high = today - dt.timedelta(days=days), today - dt.timedelta(days=1)
+    _prepare(spark, *_wide_inputs(spark, db, low, high))
     return audited_load(
         spark, f"{db}.{AUDIT}", f"{db}.{WIDE}",
         lambda: tables.replace_days(
@@ -175,6 +211,7 @@ def backfill_wide_table(
     spark: SparkSession, db: str, low: dt.date, high: dt.date, mode: str = "replace"
 ) -> LoadResult:
     """Build a configured range, replacing it or (``append``) adding to it."""
+    _prepare(spark, *_wide_inputs(spark, db, low, high))
     return audited_load(
         spark, f"{db}.{AUDIT}", f"{db}.{WIDE}",
         lambda: tables.backfill_days(

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from daybook.functions.dates import date_series, day_key
 
@@ -16,15 +15,9 @@ CARD_TYPES = ["click", "error"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
-_known_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A test table; its schema is read from the file once."""
-    path = f"{sf}/{name}.parquet"
-    if path not in _known_schemas:
-        _known_schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_known_schemas[path]).parquet(path)
+    """A test table."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def text(column: Column | str) -> Column:

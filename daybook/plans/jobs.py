@@ -103,20 +103,21 @@ def failed_tables(results: list[LoadResult]) -> list[str]:
 def import_tables(
     spark: SparkSession,
     config: ImportConfig,
-    read: Callable[[TableTask, str], DataFrame],
+    source: jdbc.Source,
     audit_table: str,
     today: dt.date,
     begin: str | None = None,
     finish: str | None = None,
-    source: str = "",
     keys: dict[str, list[str]] | None = None,
+    latest_by: dict[str, str] | None = None,
     metadata: DataFrame | None = None,
     at_once: int = 4,
 ) -> list[LoadResult]:
-    """Import every configured table; ``read`` gets the task and its SQL condition.
+    """Import every configured table out of a source; see :class:`daybook.sources.jdbc.Source`.
 
-    Full loads read without a condition and take the column comments out of
-    ``metadata``, if there is such a table. Delta loads read an explicit range if both
+    Full loads read without a condition and take the column comments of the source's owner
+    out of its metadata, or out of ``metadata`` with the same columns. ``keys`` and
+    ``latest_by`` name the key of a keyed target and the column by which a row wins. Delta loads read an explicit range if both
     ends are given, else what lies beyond the target's watermark (T0) or the day
     before (T1), and the database filters.
     """
@@ -126,26 +127,30 @@ def import_tables(
             return ""
         fields = list(task.source_delta_fields)
         if begin and finish:
-            return jdbc.delta_condition(fields, begin, finish, source)
+            return jdbc.delta_condition(fields, begin, finish, source.kind)
         if config.delta_mode == "T1":
-            return jdbc.delta_condition(fields, *jdbc.day_before(today), source)
+            return jdbc.delta_condition(fields, *jdbc.day_before(today), source.kind)
         marks = incremental.watermarks(
             spark.table(task.target_table), list(task.target_delta_fields)
         )
         return " and ".join(
-            jdbc.delta_condition([s], marks[t], None, source)
+            jdbc.delta_condition([s], marks[t], None, source.kind)
             for s, t in zip(task.source_delta_fields, task.target_delta_fields)
         )
 
     def writer(task: TableTask) -> Callable[[], None]:
         def write() -> None:
-            df = read(task, condition(task))
-            if metadata is not None and config.update_type.startswith("full"):
-                rows = shape.column_comments(metadata, task.source_table).collect()
+            df = source.read(spark, task.source_table, condition(task))
+            if config.update_type.startswith("full"):
+                known = source.metadata(spark) if metadata is None else metadata
+                rows = shape.column_comments(
+                    known, task.source_table, source.owner, **source.comment_columns()
+                ).collect()
                 df = shape.with_comments(df, {r["column_name"]: r["comment"] for r in rows})
             incremental.load(
                 df, task.target_table, config.update_type,
                 task.partition_field, (keys or {}).get(task.target_table),
+                (latest_by or {}).get(task.target_table),
             )
         return write
 

@@ -270,11 +270,30 @@ def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(target)
 
 
+@query
+def full_refresh_typed_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Partition keys that come in other types than the table's, or blank."""
+    target = f"{scratch_database(spark, 'refresh_typed')}.lines"
+    lines = hr.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_linestatus", F.year("l_shipdate").alias("year"),
+        F.col("l_returnflag").alias("flag"), F.to_date("l_shipdate").alias("shipped"),
+    )
+    columns = ["l_orderkey", "l_linenumber", "l_linestatus", "year", "flag"]
+    tables.full_overwrite(lines.select(columns).withColumn("l_linestatus", F.lit("stale")), target, ["year", "flag"])
+    fresh = lines.select(
+        "l_orderkey", "l_linenumber", "l_linestatus", F.col("year").cast("decimal(12,2)").alias("year"),
+        F.when(F.col("flag") == "N", "").otherwise(F.col("flag")).alias("flag"),
+    )
+    tables.full_refresh(fresh, target)
+    return spark.table(target)
+
+
 @query
 def replace_all_rows(spark: SparkSession, sf: str) -> DataFrame:
     target = f"{scratch_database(spark, 'replace_all')}.customer"
     customers = hr.table(spark, sf, "customer")
     tables.full_overwrite(customers.withColumn("c_acctbal", F.lit(-1.0)), target)
+    # A new set without one segment, so that rows of the old set have to go.
     tables.replace_all_rows(customers.where(F.col("c_mktsegment") != "BUILDING"), target)
     return spark.table(target)
 
@@ -313,6 +332,18 @@ def current_day_refresh_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(target)
 
 
+@query
+def current_day_refresh_two_pulls(spark: SparkSession, sf: str) -> DataFrame:
+    """The day refreshed after each of three pulls; only the newest one counts."""
+    target, fresh = _day_table(spark, sf, "two_pulls")
+    landing = workspace(spark, "two-pulls")
+    for pull, rows in (("002", fresh), ("9", _stale(fresh)), ("010", fresh)):
+        pages.land_pages(rows, f"{landing}/pull={pull}", "event_id")
+        newest = pages.read_pages(spark, pages.newest_pull(spark, landing), fresh.schema)
+        tables.replace_current_day(newest, target, "date", TODAY)
+    return spark.table(target)
+
+
 @query
 def observed_partition_replace(spark: SparkSession, sf: str) -> DataFrame:
     target, fresh = _day_table(spark, sf, "observed")
@@ -394,13 +425,14 @@ def derived_partitions_day(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """All customers; those with orders get a new balance, and a null key meets a null key."""
     target = f"{scratch_database(spark, 'upsert')}.balance"
-    customers = hr.table(spark, sf, "customer").where(F.col("c_mktsegment") != "BUILDING")
-    tables.full_overwrite(customers.select("c_custkey", F.col("c_acctbal").alias("balance")), target)
-    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")
+    key = F.nullif(F.col("c_custkey"), F.lit(10)).alias("c_custkey")
+    customers = hr.table(spark, sf, "customer").select(key, F.col("c_acctbal").alias("balance"))
+    tables.full_overwrite(customers, target)
     changes = (
-        hr.table(spark, sf, "orders").where(urgent)
-        .groupBy(F.col("o_custkey").alias("c_custkey"))
+        hr.table(spark, sf, "orders")
+        .groupBy(F.nullif(F.col("o_custkey"), F.lit(10)).alias("c_custkey"))
         .agg(F.sum(hr.money("o_totalprice")).cast("double").alias("balance"))
     )
     tables.upsert_table(changes, target, ["c_custkey"])
@@ -506,6 +538,23 @@ def load_delta(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(target)
 
 
+@query
+def load_delta_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch that repeats keys, into a keyed table of hash buckets: the newest row wins."""
+    target = f"{scratch_database(spark, 'load_keyed')}.latest_order"
+    orders = hr.table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("orderkey"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    customers = hr.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("custkey"), F.lit(0).cast("bigint").alias("orderkey"),
+        F.lit("none").alias("status"),
+    )
+    tables.keyed_table(customers, target, ["custkey"], buckets=8)
+    incremental.load(orders, target, "delta", keys=["custkey"], latest_by="orderkey")
+    return spark.table(target).drop(tables.KEY_BUCKET)
+
+
 @query
 def load_deltapart(spark: SparkSession, sf: str) -> DataFrame:
     target = f"{scratch_database(spark, 'load_deltapart')}.orders"
@@ -531,9 +580,11 @@ def safe_union(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def safe_union_epoch(spark: SparkSession, sf: str) -> DataFrame:
-    left = hr.table(spark, sf, "events").select(
-        F.col("event_id").alias("id"), F.unix_millis(F.col("ts").cast("timestamp")).alias("ts")
-    )
+    """Epochs of this decade, of the nineties and, 40 years earlier, before 1970."""
+    left = hr.table(spark, sf, "events").select("event_id", F.explode(F.array(
+        F.col("ts").cast("timestamp"), F.expr("timestamp(ts - interval 25 years)"),
+        F.expr("timestamp(ts - interval 65 years)"),
+    )).alias("at")).select(F.col("event_id").alias("id"), F.unix_millis("at").alias("ts"))
     right = hr.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("ts")
     )
@@ -629,10 +680,15 @@ def cast_by_type_name(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def column_comments(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text is the comment of a column; a second column per document has none."""
     metadata = hr.table(spark, sf, "documents").select(
         F.upper("source").alias("table_name"), F.col("lang").alias("table_schema"),
-        F.concat(F.lit("c"), hr.text("doc_id")).alias("column_name"),
-        F.when(F.col("n_chars") > 300, F.col("text")).alias("column_comment"),
+        F.inline(F.array(
+            F.struct(F.concat(F.lit("c"), hr.text("doc_id")).alias("column_name"),
+                     F.col("text").alias("column_comment")),
+            F.struct(F.concat(F.lit("n"), hr.text("doc_id")).alias("column_name"),
+                     F.lit(None).cast("string").alias("column_comment")),
+        )),
     )
     return shape.column_comments(metadata, "src1", owner="en")
 
@@ -747,6 +803,23 @@ def page_json_ingest_get(spark: SparkSession, sf: str) -> DataFrame:
     return pages.read_pages(spark, f"{landing}/*", items.schema, envelope="get", distinct=True)
 
 
+@query
+def page_count_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages whose count is right, too large, or not there; read back as declared and held."""
+    items = _event_items(spark, sf)
+    landing = workspace(spark, "page-counts")
+    page = F.expr("(event_id - event_id % 500) div 500").alias("page")
+    declared = F.expr("case page % 3 when 0 then size(items) when 1 then size(items) + 1 end")
+    (
+        items.groupBy(page).agg(F.array_sort(F.collect_list(F.struct(*items.columns))).alias("items"))
+        .select(F.to_json(F.struct(declared.alias("count"), "items")).alias("value"))
+        .write.text(landing)
+    )
+    return pages.page_counts(spark, landing, items.schema).groupBy("declared", "held", "complete").agg(
+        F.count(F.lit(1)).alias("n_pages")
+    )
+
+
 @query
 def landing_to_table(spark: SparkSession, sf: str) -> DataFrame:
     items = hr.table(spark, sf, "documents").select(
@@ -761,10 +834,10 @@ def landing_to_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def jdbc_slice_predicates(spark: SparkSession, sf: str) -> DataFrame:
-    """Which slices of a JDBC read each row meets: always exactly one."""
+    """Which slices of a JDBC read each row meets, by a decimal key: always exactly one."""
     met = [
         F.when(F.expr(p), F.lit(i))
-        for i, p in enumerate(jdbc.slice_predicates("nullif(o_custkey, 7) - 500"))
+        for i, p in enumerate(jdbc.slice_predicates("(nullif(o_custkey, 7) - 500 + 0.25)"))
     ]
     slices = F.array_compact(F.array(*met))
     return hr.table(spark, sf, "orders").select(

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable
 from typing import TypeVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
 
@@ -23,9 +23,12 @@ SESSION_DEFAULTS = {
 
 SHUFFLE_PARTITION_BYTES = 200 * 1024 * 1024
 MIN_SHUFFLE_PARTITIONS = 200
+#: Spark takes an input without statistics to be larger than this.
+UNKNOWN_BYTES = 1 << 60
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 SPLIT_SKEW = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 DYNAMIC_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -53,16 +56,24 @@ def build_session(
 
 
 def run_job(app_name: str, job: Callable[[SparkSession], T], **settings: str) -> T:
-    """Open a session, run the job, and stop the session whatever happens."""
+    """Open a session, run the job, and clear up and stop the session whatever happens."""
     spark = build_session(app_name, **settings)
     try:
         return job(spark)
     finally:
-        spark.stop()
+        try:
+            clear_workspaces(spark)
+        finally:
+            spark.stop()
+
+
+#: What this process made and has not dropped yet.
+_databases: set[str] = set()
+_folders: set[str] = set()
 
 
 def workspace(spark: SparkSession, label: str) -> str:
-    """A new, unused folder path for staged data.
+    """A new, unused folder path for staged data; see :func:`clear_workspaces`.
 
     It lies in the shared folder named by ``spark.checkpoint.dir``, so that every
     executor can read what another one wrote. Only a local session without that
@@ -73,20 +84,56 @@ def workspace(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="daybook-")
-    return f"{base.rstrip('/')}/daybook/{label}-{uuid.uuid4().hex[:12]}"
+    folder = f"{base.rstrip('/')}/daybook/{label}-{uuid.uuid4().hex[:12]}"
+    _folders.add(folder)
+    return folder
 
 
 def scratch_database(spark: SparkSession, label: str) -> str:
     """Create a database of its own under the workspace and return its name."""
     name = f"daybook_{label}_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{workspace(spark, label)}'")
+    _databases.add(name)
     return name
 
 
 def drop_scratch_databases(spark: SparkSession) -> None:
-    """Drop every database made by :func:`scratch_database` in this catalog."""
-    for db in spark.catalog.listDatabases("daybook_*"):
-        spark.sql(f"DROP DATABASE IF EXISTS {db.name} CASCADE")
+    """Drop the databases that :func:`scratch_database` made in this process, and no other."""
+    while _databases:
+        spark.sql(f"DROP DATABASE IF EXISTS {_databases.pop()} CASCADE")
+
+
+def clear_workspaces(spark: SparkSession) -> None:
+    """Drop this process's scratch databases and delete its workspace folders.
+
+    Frames that read from them cannot be used any more, so this ends a job.
+    """
+    drop_scratch_databases(spark)
+    while _folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def estimated_bytes(*frames: DataFrame) -> int:
+    """Bytes that the frames read, by Spark's statistics of their inputs: no job is run.
+
+    Partitions that a filter prunes do not count, inputs of unknown size count nothing.
+    """
+    total = 0
+    for df in frames:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+        total += sum(s for s in sizes if s < UNKNOWN_BYTES)
+    return total
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the session's shuffle partitions to what an input needs; never lowers them."""
+    have = int(spark.conf.get(SHUFFLE_PARTITIONS))
+    need = max(have, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+    if need > have:
+        spark.conf.set(SHUFFLE_PARTITIONS, str(need))
+    return need
 
 
 def ensure_dynamic_overwrite(spark: SparkSession) -> None:

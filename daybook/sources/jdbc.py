@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +15,17 @@ RANGE_BOUNDS = (1, 10_000)
 SIZE_TIERS = [(10_000, 1), (1_000_000, 10), (10_000_000, 100), (20_000_000, 500)]
 LARGEST_TIER = 1000
 VIEW_ROWS = 1_000_000
-UNKNOWN_ROWS = 100
+#: Rows of one partition beyond the largest tier: as many as where it begins.
+TIER_ROWS = SIZE_TIERS[-1][0] // LARGEST_TIER
 
 
 def slice_predicates(key: str, slices: int = SLICES) -> list[str]:
-    """One predicate per slice of a stable key; every row meets exactly one.
+    """One predicate per slice of a stable numeric key; every row meets exactly one.
 
-    Negative keys go by their absolute value, rows without a key to slice 0.
+    Negative keys go by their absolute value, a fraction is cut off, and rows without a
+    key go to slice 0.
     """
-    predicates = [f"mod(abs({key}), {slices}) = {i}" for i in range(slices)]
+    predicates = [f"mod(floor(abs({key})), {slices}) = {i}" for i in range(slices)]
     predicates[0] = f"({predicates[0]} or {key} is null)"
     return predicates
 
@@ -105,23 +108,74 @@ def write_table(df: DataFrame, url: str, table: str, overwrite: bool = False, **
 
 
 def size_tier(rows: Column) -> Column:
-    """Number of partitions for a row count."""
+    """Number of partitions for a row count; beyond the largest tier it grows with the rows."""
     tier = F.when(rows < SIZE_TIERS[0][0], F.lit(SIZE_TIERS[0][1]))
     for limit, partitions in SIZE_TIERS[1:]:
         tier = tier.when(rows < limit, F.lit(partitions))
-    return tier.otherwise(F.lit(LARGEST_TIER))
+    return tier.otherwise(
+        F.greatest(F.lit(LARGEST_TIER), F.ceil(rows / F.lit(TIER_ROWS)).cast("int"))
+    )
 
 
-def row_estimate(name: str, counted: int | None) -> int:
-    """A view counts as a million rows, a table without a count as a hundred."""
-    if "view" in name.lower():
-        return VIEW_ROWS
-    return UNKNOWN_ROWS if counted is None else counted
+def row_estimate(name: str, counted: int | None) -> int | None:
+    """A view counts as a million rows; a table without a count stays unknown."""
+    return VIEW_ROWS if "view" in name.lower() else counted
 
 
 def partitions_for(rows: int) -> int:
-    return next((p for limit, p in SIZE_TIERS if rows < limit), LARGEST_TIER)
+    return next((p for limit, p in SIZE_TIERS if rows < limit),
+                max(LARGEST_TIER, -(-rows // TIER_ROWS)))
+
+
+def repartition_by_size(df: DataFrame, rows: int | None) -> DataFrame:
+    """Deal a table over the partitions of its size; without a known count it stays as read."""
+    return df if rows is None else df.repartition(partitions_for(rows))
+
 
+# Where each kind of database keeps its column comments.
+METADATA = {
+    "oracle": {"table": "all_col_comments", "owner_column": "owner", "table_column": "table_name",
+               "name_column": "column_name", "comment_column": "comments"},
+    "mysql": {"table": "INFORMATION_SCHEMA.COLUMNS", "owner_column": "table_schema",
+              "table_column": "table_name", "name_column": "column_name",
+              "comment_column": "column_comment"},
+}
+METADATA["sqlserver"] = METADATA["mysql"]
+
+
+@dataclass(frozen=True)
+class Source:
+    """A database to import from: its kind, address, and how tables are cut for reading.
+
+    ``slice_keys`` and ``range_columns`` name the column of a table that a sliced or a
+    ranged read goes by; any other table is read in one piece, and dealt over partitions
+    afterwards if ``rows`` knows its size. ``owner`` is the schema whose metadata counts.
+    """
 
-def repartition_by_size(df: DataFrame, rows: int) -> DataFrame:
-    return df.repartition(partitions_for(rows))
+    kind: str
+    url: str
+    owner: str | None = None
+    properties: dict[str, str] = field(default_factory=dict)
+    slice_keys: dict[str, str] = field(default_factory=dict)
+    range_columns: dict[str, str] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        if self.kind not in METADATA:
+            raise ValueError(f"the kind of a source is one of {tuple(METADATA)}, not {self.kind!r}")
+
+    def read(self, spark: SparkSession, table: str, condition: str = "") -> DataFrame:
+        """A table, or its rows that meet a condition which the database itself applies."""
+        asked = subquery(table, condition, self.kind)
+        if table in self.slice_keys:
+            return read_sliced(spark, self.url, asked, self.slice_keys[table], **self.properties)
+        if table in self.range_columns:
+            return read_ranged(spark, self.url, asked, self.range_columns[table], **self.properties)
+        df = read_table(spark, self.url, asked, **self.properties)
+        return repartition_by_size(df, None if condition else row_estimate(table, self.rows.get(table)))
+
+    def metadata(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.url, METADATA[self.kind]["table"], **self.properties)
+
+    def comment_columns(self) -> dict[str, str]:
+        return {k: v for k, v in METADATA[self.kind].items() if k != "table"}

@@ -14,6 +14,8 @@ from daybook.operators.tables import full_overwrite
 
 # Fixed value: rows per page.
 PAGE_ROWS = 5000
+#: What a folder that holds one pull of a table is called, before its number.
+PULL = "pull="
 
 ENVELOPES = {
     "post": (schemas.post_envelope, "count", "items"),
@@ -32,22 +34,79 @@ def read_pages(
     """All rows of all pages under ``path``.
 
     The schema is declared, so an empty page, an all-null column or another column
-    order changes nothing. A page that is not valid fails the load instead of
-    losing its rows. ``scrub`` repairs the raw text first; ``distinct`` drops the
-    repeats of overlapping GET pages.
+    order changes nothing. A page that is not valid, or whose count differs from its
+    rows, fails the load instead of losing rows. A boolean may be landed as text; one that
+    is neither true nor false is null. ``scrub`` repairs the raw text first; ``distinct``
+    drops the repeats of overlapping GET pages.
     """
-    build, _, array = ENVELOPES[envelope]
-    schema = build(item)
-    if scrub:
-        pages = spark.read.text(path).select(
-            F.from_json(scrub_json_text(F.col("value")), schema, {"mode": "FAILFAST"}).alias("page")
-        ).select("page.*")
-    else:
-        pages = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    rows = pages.select(F.inline(array))
+    _, count, array = ENVELOPES[envelope]
+    pages = _pages(spark, path, item, envelope, scrub)
+    held = F.coalesce(F.array_size(array), F.lit(0))
+    whole = F.when(F.coalesce(F.col(count) == held, F.lit(True)), F.col(array)).otherwise(
+        F.raise_error(F.concat(
+            F.lit("page "), "_page", F.lit(" has "), held.cast("string"), F.lit(" rows, but says "),
+            F.col(count).cast("string"),
+        ))
+    )
+    rows = pages.select(F.inline(whole)).select([
+        F.col(f"`{f.name}`").try_cast("boolean").alias(f.name) if _is_boolean(f) else F.col(f"`{f.name}`")
+        for f in item.fields
+    ])
     return rows.distinct() if distinct else rows
 
 
+def page_counts(
+    spark: SparkSession, path: str, item: T.StructType, envelope: str = "post", scrub: bool = False
+) -> DataFrame:
+    """One row per page: page (its file), declared, held, complete.
+
+    A page without a count declares nothing and counts as complete.
+    """
+    _, count, array = ENVELOPES[envelope]
+    held = F.coalesce(F.array_size(array), F.lit(0))
+    return _pages(spark, path, item, envelope, scrub).select(
+        F.col("_page").alias("page"), F.col(count).alias("declared"), held.alias("held"),
+        F.coalesce(F.col(count) == held, F.lit(True)).alias("complete"),
+    )
+
+
+def _is_boolean(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.BooleanType)
+
+
+def _pages(spark: SparkSession, path: str, item: T.StructType, envelope: str, scrub: bool) -> DataFrame:
+    """The envelopes under a path, and the file each comes from; booleans still as text."""
+    as_text = T.StructType([
+        T.StructField(f.name, T.StringType()) if _is_boolean(f) else f for f in item.fields
+    ])
+    schema = ENVELOPES[envelope][0](as_text)
+    if scrub:
+        return spark.read.text(path).select(
+            F.from_json(scrub_json_text(F.col("value")), schema, {"mode": "FAILFAST"}).alias("page"),
+            F.col("_metadata.file_path").alias("_page"),
+        ).select("page.*", "_page")
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path).select(
+        *schema.names, F.col("_metadata.file_path").alias("_page")
+    )
+
+
+def newest_pull(spark: SparkSession, path: str) -> str:
+    """The folder of the newest pull of a landing folder, or the folder itself without pulls.
+
+    Pulls are folders ``pull=<number>``, compared as numbers and named as they are, leading
+    zeros and all. Only folder names are listed; no page is read.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return path
+    names = [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+    pulls = [n for n in names if n.removeprefix(PULL).isdigit() and n.startswith(PULL)]
+    if not pulls:
+        return path
+    return f"{path}/{max(pulls, key=lambda n: (int(n.removeprefix(PULL)), n))}"
+
+
 def land_pages(
     df: DataFrame, path: str, *order_by: str, envelope: str = "post", page_rows: int = PAGE_ROWS
 ) -> None:

@@ -10,12 +10,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from daybook.operators.tables import replace_current_day
-from daybook.sources.pages import read_pages
+from daybook.sources.pages import newest_pull, read_pages
 
 
 def stream_current_day(
@@ -31,19 +30,19 @@ def stream_current_day(
     """Replace today's partition by the newest landed pull.
 
     Pulls are numbered in order, and one lands in full before the next one starts.
-    A batch only tells which pulls arrived. The newest of them is read back in full,
-    so pages of one pull that fall into two batches are not lost, and a batch that
-    is run again gives the same table.
+    A batch only tells that pages arrived. The newest of all landed pulls is then read
+    back in full: pages of one pull that fall into two batches are not lost, a late page
+    of an older pull does not bring that pull back, and a batch that is run again gives
+    the same table.
     """
     def refresh(batch: DataFrame, _batch_id: int) -> None:
-        newest = batch.agg(F.max("pull").alias("pull")).first()["pull"]
-        if newest is None:
+        if batch.isEmpty():
             return
-        pull = read_pages(spark, f"{landing}/pull={newest}", item, envelope)
+        pull = read_pages(spark, newest_pull(spark, landing), item, envelope)
         replace_current_day(pull, table, key, today)
 
     return (
-        spark.readStream.schema("value string, pull long").text(landing)
+        spark.readStream.schema("value string, pull string").text(landing)
         .writeStream.foreachBatch(refresh)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

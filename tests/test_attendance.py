@@ -10,6 +10,7 @@ from daybook import schemas
 from daybook.functions.dates import day_text
 from daybook.operators import tables
 from daybook.plans import attendance as plan
+from daybook.plans import cli
 from daybook.plans import hr_views as hr
 from daybook.plans import jobs
 from daybook.queries import _wide
@@ -115,3 +116,37 @@ def test_later_tables(spark, db, tmp_path):
     assert ids("leave") == ids("overtime") == ids("card_correction") == ["2", "3"]
     assert ids("leave_type") == ["a", "b"]
     assert ids("pending_leave") == ["D", "P", "P", "P"]
+
+
+def test_only_the_newest_pull_counts(spark, db, tmp_path):
+    landing = str(tmp_path / "landing")
+    plan.create_tables(spark, db)
+    people = hr.people(spark, SF).withColumn("isleave", F.col("isleave").try_cast("boolean"))
+    frames = {
+        plan.CARDS: (hr.cards(spark, SF), "empid"), plan.SNAPSHOTS: (people, "empid"),
+        plan.DEPARTMENTS: (hr.departments(spark, SF), "deptcode"), plan.SHIFTS: (hr.shifts(spark, SF), "shiftcode"),
+        plan.ATTENDANCE: (hr.attendance(spark, SF), "recordid"),
+    }
+    counts = []
+    for pull in ("1", "002"):
+        for name, (frame, order) in frames.items():
+            land_pages(frame, f"{landing}/{name}/pull={pull}", order)
+        assert jobs.failed_tables(plan.refresh_base_tables(spark, db, landing, TODAY)) == []
+        assert not plan.refresh_current_cards(spark, db, landing, TODAY).failed
+        counts.append([spark.table(f"{db}.{name}").count() for name in frames])
+    assert counts[0] == counts[1] and all(counts[0])
+    assert counts[0][1] == people.count() and counts[0][2] == frames[plan.DEPARTMENTS][0].count()
+
+
+def test_jobs_as_programs(spark, db, base, capsys):
+    landing, _ = base
+    parse = cli.parser().parse_args
+    day = ["--today", str(TODAY)]
+    assert cli.run(spark, parse(["cards", "--db", db, "--landing", landing, *day])) == 0
+    assert cli.run(spark, parse(["cards", "--db", db, "--landing", landing + "/none", *day])) == 1
+    assert "failed" in capsys.readouterr().out
+    assert cli.run(spark, parse(["wide", "--db", db, *day])) == 0
+    assert cli.run(spark, parse(["backfill", "--db", db, "--low", "2024-01-03", "--high", "2024-01-04"])) == 0
+    assert cli.run(spark, parse(["base", "--db", db, "--landing", landing, *day])) == 0
+    with pytest.raises(SystemExit):
+        parse(["wide", "--db", db])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from daybook.operators import tables
 from daybook.plans import jobs
 from daybook.plans.config import ImportConfig
+from daybook.sources import jdbc
 
 
 def fail(message):
@@ -39,6 +40,23 @@ def test_many_loads_side_by_side(spark, db):
     assert jobs.load_many(spark, audit, {}) == []
 
 
+class Frames(jdbc.Source):
+    """A source whose tables are frames; keeps the conditions it is asked with."""
+
+    def of(kind, table, metadata=None, owner=None):
+        source = Frames(kind, "url", owner=owner)
+        object.__setattr__(source, "frames", (table, metadata))
+        object.__setattr__(source, "asked", [])
+        return source
+
+    def read(self, spark, table, condition=""):
+        self.asked.append(condition)
+        return self.frames[0].where(condition or "true")
+
+    def metadata(self, spark):
+        return self.frames[1]
+
+
 def orders(spark):
     return spark.read.parquet("/root/testdata/sf0.001/orders.parquet").select("o_orderkey", "o_orderdate")
 
@@ -58,8 +76,7 @@ def test_import_delta(spark, db, mode, span, low, high):
         low = old.agg(F.max("o_orderdate").cast("string")).first()[0] if span[0] is None else low
     config = ImportConfig("delta", ["orders"], [target], ["o_orderdate"], ["o_orderdate"], delta_mode=mode)
     results = jobs.import_tables(
-        spark, config, lambda task, condition: source.where(condition or "true"), audit,
-        dt.date(1999, 5, 5), *span)
+        spark, config, Frames.of("mysql", source), audit, dt.date(1999, 5, 5), *span)
     assert not jobs.failed_tables(results)
     operator = ">" if mode == "T0" and span[0] is None else ">="
     expected = source.where(f"o_orderdate {operator} '{low}' and o_orderdate < '{high}'")
@@ -73,25 +90,37 @@ def test_import_into_an_empty_target_and_full(spark, db):
     jobs.create_audit_table(spark, audit)
     source = orders(spark)
     tables.full_overwrite(source.limit(0), target)
-    seen = []
-
-    def read(task, condition):
-        seen.append(condition)
-        return source.where(condition or "true")
-
+    metadata = spark.createDataFrame(
+        [("hr", "ORDERS", "o_orderkey", "the\nkey"), ("hr", "other", "o_orderdate", "no"),
+         ("old", "ORDERS", "o_orderkey", "of another schema")],
+        "owner string, table_name string, column_name string, comments string")
+    read = Frames.of("oracle", source, metadata, owner="hr")
     today = dt.date(2024, 1, 1)
     config = ImportConfig("delta", ["orders"], [target], ["o_orderdate"], ["o_orderdate"], delta_mode="T0")
     jobs.import_tables(spark, config, read, audit, today)
     assert spark.table(target).count() == source.count()
     full = ImportConfig("fullpart", ["orders"], [target], partition_fields=["o_orderdate-year"])
-    metadata = spark.createDataFrame(
-        [("ORDERS", "o_orderkey", "the\nkey"), ("other", "o_orderdate", "no")],
-        "table_name string, column_name string, column_comment string")
-    jobs.import_tables(spark, full, read, audit, today, metadata=metadata)
+    jobs.import_tables(spark, full, read, audit, today)
     described = {c.name: c.description for c in spark.catalog.listColumns(target)}
     assert described["o_orderkey"] == "the,key" and described["o_orderdate"] is None
     assert tables.partition_columns(spark, target) == ["year"]
-    assert seen == ["1 = 1", ""]
+    assert read.asked == ["1 = 1", ""]
+
+
+def test_import_into_a_keyed_table(spark, db):
+    audit, target = f"{db}.audit", f"{db}.keyed"
+    jobs.create_audit_table(spark, audit)
+    rows = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (None, 5, "n")], "k long, at long, v string")
+    tables.keyed_table(spark.createDataFrame([(1, 0, "old"), (2, 0, "old"), (None, 0, "old")], rows.schema),
+                       target, ["k"], 4)
+    config = ImportConfig("delta", ["s"], [target], ["at"], ["at"], delta_mode="T0", keyed_target=True)
+    source, today = Frames.of("mysql", rows), dt.date(2024, 1, 1)
+    failed = jobs.import_tables(spark, config, source, audit, today, keys={target: ["k"]})
+    assert jobs.failed_tables(failed) == [target] and "more than once" in failed[0].info
+    done = jobs.import_tables(spark, config, source, audit, today, keys={target: ["k"]}, latest_by={target: "at"})
+    assert not jobs.failed_tables(done)
+    found = {(r.k, r.at, r.v) for r in spark.table(target).collect()}
+    assert found == {(1, 2, "b"), (2, 0, "old"), (None, 5, "n")} and spark.table(target).count() == 3
 
 
 @pytest.mark.parametrize("settings, message", [

@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.operators import joins
 from daybook.operators.joins import broadcast_when_small, hot_keys, left_join_spread
 
 
@@ -27,8 +28,31 @@ def sides(spark):
 
 def test_hot_keys_are_found_exactly(sides):
     _, right = sides
-    assert hot_keys(right, ["rk"], min_rows=200) == [(7, 2)]
-    assert hot_keys(right, ["rk"], min_rows=1_000) == []
+    frame, listed = hot_keys(right, ["rk"], min_rows=200)
+    assert [tuple(r) for r in listed] == [(7, 2)] == [tuple(r) for r in frame.collect()]
+    assert hot_keys(right, ["rk"], min_rows=1_000) is None
+
+
+def test_limit_of_a_slice_does_not_grow_with_the_data(spark):
+    # One key just under a thousandth of the rows.
+    right = spark.range(3_000_000).select(F.when(F.col("id") < 2_999, -1).otherwise(F.col("id")).alias("rk"))
+    _, listed = hot_keys(right, ["rk"], min_rows=50)
+    assert [tuple(r) for r in listed] == [(-1, 60)]
+    left = spark.createDataFrame([(-1,), (5_000,)], "k long")
+    joined = left_join_spread(left, right, [("k", "rk")], min_rows=50)
+    assert joined.groupBy("k").count().orderBy("k").collect() == [(-1, 2_999), (5_000, 1)]
+    deal = F.pmod(F.monotonically_increasing_id(), F.lit(60))
+    sizes = right.where("rk = -1").coalesce(1).groupBy(deal.alias("deal")).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 50
+
+
+def test_long_list_of_hot_keys_stays_a_frame(sides, monkeypatch):
+    left, right = sides
+    monkeypatch.setattr(joins, "LISTED_KEYS", 2)
+    frame, listed = hot_keys(right, ["rk"], min_rows=15)
+    assert listed == [] and frame.count() > 2
+    expected = Counter(map(tuple, left.join(right, left.k == right.rk, "left").collect()))
+    assert Counter(map(tuple, left_join_spread(left, right, [("k", "rk")], min_rows=15).collect())) == expected
 
 
 def test_spread_join_equals_plain_join(sides):

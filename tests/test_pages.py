@@ -66,3 +66,30 @@ def test_landed_pages_are_full(spark, tmp_path):
     assert sorted(counts) == [3, 5, 5, 5, 5]
     back = pages.read_pages(spark, path, ITEM)
     assert back.exceptAll(df).count() == 0 and back.count() == 23
+
+
+def test_short_page_is_named(spark, tmp_path):
+    path = write(tmp_path, good={"count": 1, "items": [{"id": 1}]}, short={"count": 5, "items": [{"id": 2}]},
+                 free={"items": [{"id": 3}]})
+    with pytest.raises((PySparkException, Py4JJavaError), match="short.json has 1 rows, but says 5"):
+        pages.read_pages(spark, path, ITEM).collect()
+    counts = {r["page"].rsplit("/", 1)[1]: tuple(r)[1:] for r in pages.page_counts(spark, path, ITEM).collect()}
+    assert counts == {"good.json": (1, 1, True), "short.json": (5, 1, False), "free.json": (None, 1, True)}
+
+
+@pytest.mark.parametrize("scrub", [False, True])
+def test_booleans_may_be_text(spark, tmp_path, scrub):
+    item = T.StructType([T.StructField("id", T.LongType()), T.StructField("isleave", T.BooleanType())])
+    values = [True, "true", "FALSE", False, "perhaps", None]
+    path = write(tmp_path, p={"count": 6, "items": [{"id": i, "isleave": v} for i, v in enumerate(values)]})
+    back = pages.read_pages(spark, path, item, scrub=scrub)
+    assert back.schema == item
+    assert [r["isleave"] for r in back.orderBy("id").collect()] == [True, True, False, False, None, None]
+
+
+def test_newest_pull(spark, tmp_path):
+    assert pages.newest_pull(spark, str(tmp_path / "none")) == str(tmp_path / "none")
+    assert pages.newest_pull(spark, str(tmp_path)) == str(tmp_path)
+    for name in ("pull=9", "pull=010", "pull=2", "pull=x", "other"):
+        (tmp_path / name).mkdir()
+    assert pages.newest_pull(spark, str(tmp_path)) == f"{tmp_path}/pull=010"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from daybook.operators import tables, wide
+from daybook.operators import filters, tables, wide
 from daybook.operators.filters import known_members, look_back
 from daybook.plans import hr_views as hr
 
@@ -58,3 +58,11 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = plan(queries()["delta_range"](spark, SF).select("l_orderkey", F.col("l_quantity")))
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in text
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in text
+
+
+def test_filters_of_a_union_reach_the_scan(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    both = filters.union_of_filters(df, F.col("o_orderstatus") == "F", F.col("o_totalprice") > 1000)
+    text = both._jdf.queryExecution().executedPlan().toString()
+    pushed = next(line for line in text.splitlines() if "PushedFilters" in line)
+    assert "EqualTo(o_orderstatus,F)" in pushed and "GreaterThan(o_totalprice,1000.0)" in pushed

@@ -24,5 +24,9 @@ def test_each_trigger_takes_the_newest_pull(spark, db, tmp_path):
     land_pages(cards("a", "norm "), f"{landing}/pull=2", "shiftcode", page_rows=1)
     assert trigger() == ["a", "norm "]
     assert trigger() == ["a", "norm "]
-    land_pages(cards("c"), f"{landing}/pull=10", "shiftcode")
+    land_pages(cards("c"), f"{landing}/pull=010", "shiftcode")
+    assert trigger() == ["c"]
+    # A late page of an older pull does not bring that pull back.
+    cards("late").selectExpr("1 as count", "array(struct(*)) as items").write.mode("append").json(
+        f"{landing}/pull=2")
     assert trigger() == ["c"]

@@ -215,3 +215,103 @@ def test_refresh_of_derived_partitions(spark, db):
     tables.full_refresh(dated("2024-01-05", "2024-11-06"), table)
     assert tables.existing_partitions(spark, table) == {("2024", "1"), ("2024", "11")}
     assert {str(r["d"]) for r in spark.table(table).collect()} == {"2024-01-05", "2024-11-06"}
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("decimal(12,2)", ["2023", "2024"]), ("double", ["2023", "2024"]), ("string", ["2023", "2024"]),
+])
+def test_refresh_with_keys_of_another_type(spark, db, kind, values):
+    table = f"{db}.years"
+    tables.full_overwrite(spark.createDataFrame([(0, 2022), (0, 2023)], "id long, year int"), table, ["year"])
+    fresh = spark.createDataFrame([(i, v) for i, v in enumerate(values, 1)], "id long, year string").select(
+        "id", F.col("year").cast(kind).alias("year"))
+    tables.full_refresh(fresh, table)
+    assert sorted(tuple(r) for r in spark.table(table).collect()) == [(1, 2023), (2, 2024)]
+
+
+@pytest.mark.parametrize("kind, texts", [
+    ("date", ["2024-01-01", "2024-02-01"]), ("timestamp", ["2024-01-01 00:00:00", "2024-02-01 10:30:00"]),
+])
+def test_refresh_with_dates_and_times_as_keys(spark, db, kind, texts):
+    table = f"{db}.moments"
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, at string")
+    tables.full_overwrite(rows.select("id", F.col("at").cast(kind).alias("at")), table, ["at"])
+    tables.full_refresh(rows, table)
+    assert sorted(r["id"] for r in spark.table(table).collect()) == [0, 1]
+
+
+def test_blank_keys_are_the_null_partition(spark, db):
+    table = f"{db}.blanks"
+    rows = spark.createDataFrame([(1, ""), (2, "a"), (3, None)], "id long, k string")
+    tables.full_overwrite(rows.select("id", F.lit("old").alias("k")), table, ["k"])
+    for _ in range(2):
+        tables.full_refresh(rows, table)
+        assert sorted((r["id"], r["k"]) for r in spark.table(table).collect()) == [(1, None), (2, "a"), (3, None)]
+
+
+def test_unknown_partitions_drop_nothing(spark, days, monkeypatch):
+    class Broken:
+        def get(self):
+            raise tables.Py4JJavaError("gone", None)
+        get = property(get)
+
+    fresh = rows(spark, (90, "new", key(9)))
+    monkeypatch.setattr(tables.Py4JJavaError, "__init__", lambda self, *args: None)
+    monkeypatch.setattr(tables.Py4JJavaError, "__str__", lambda self: "gone")
+    real = tables.Observation
+    monkeypatch.setattr(tables, "Observation", lambda: type("Watch", (real,), {"get": Broken.get})())
+    with pytest.raises(tables.Py4JJavaError):
+        tables.full_refresh(fresh, days)
+    assert spark.table(days).count() >= 9
+
+
+def test_many_partitions_are_dropped_in_parts(spark, days, monkeypatch):
+    monkeypatch.setattr(tables, "DROP_AT_ONCE", 3)
+    tables.full_refresh(rows(spark, (1, "new", key(1))), days)
+    assert state(spark, days) == Counter([(1, "new", key(1))])
+
+
+def test_null_keys_are_keys(spark, db):
+    table = f"{db}.pairs"
+    old = spark.createDataFrame([(1, None, "old"), (1, 2, "old")], "a long, b long, v string")
+    new = spark.createDataFrame([(1, None, "new")], old.schema)
+    tables.full_overwrite(old, table)
+    for _ in range(2):
+        tables.upsert_table(new, table, ["a", "b"])
+        assert Counter(map(tuple, spark.table(table).collect())) == Counter([(1, None, "new"), (1, 2, "old")])
+
+
+def test_repeated_key_needs_an_order(spark, db):
+    table = f"{db}.keyed"
+    tables.full_overwrite(spark.createDataFrame([(1, 0)], "k long, at long"), table)
+    twice = spark.createDataFrame([(1, 1), (1, 2)], "k long, at long")
+    with pytest.raises(ValueError, match="more than once"):
+        tables.upsert_table(twice, table, ["k"])
+    tables.upsert_table(twice, table, ["k"], latest_by="at")
+    assert [tuple(r) for r in spark.table(table).collect()] == [(1, 2)]
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, db):
+    table = f"{db}.buckets"
+    tables.keyed_table(spark.range(1000).select("id", F.lit("old").alias("v")), table, ["id"], 16)
+    files = lambda: {r.f for r in spark.table(table).select(F.input_file_name().alias("f")).collect()}
+    before = files()
+    tables.upsert_table(spark.createDataFrame([(5, "new"), (5000, "new")], "id long, v string"), table, ["id"])
+    kept = before & files()
+    assert 14 <= len({f.split("key_bucket=")[1].split("/")[0] for f in kept})
+    assert spark.table(table).where("v = 'new'").count() == 2 and spark.table(table).count() == 1001
+
+
+def test_months_read_the_source_once(spark, db):
+    table = f"{db}.once"
+    reads = spark.sparkContext.accumulator(0)
+    rows_ = spark.createDataFrame([(1, "202312"), (2, "202401")], "id long, ym string")
+    tables.full_overwrite(rows_, table, ["ym"])
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    tables.replace_months(rows_.mapInArrow(seen, rows_.schema), table, "ym", TODAY)
+    assert reads.value == 2
