@@ -15,7 +15,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(oracle_sql()))
 def test_query(spark, duck, name):
     sql = oracle_sql()[name]
     assert difference(queries()[name](spark, SF_DIR), duck, sql) is None
