@@ -128,18 +128,22 @@ def _plan(counts: DataFrame) -> dict:
     class_n = [sum(counted[i] for i in head[a:b]) for a, b in zip(bounds, bounds[1:])]
     class_n += [tail_n[k] + 0.1 * (tail_v[k] + 1) for k in range(first_tail, classes)]
     number = {words[i]: at for at, i in enumerate(head)}
-    known = {}
+    # Of a word: input of the model, class, head word, log10 of the base and of its share in the class.
+    rows = []
     for word, spelling, c in zip(words, spellings, counted):
         at = number.get(word, -1)
         kind = int(np.searchsorted(bounds, at, "right")) - 1 if at >= 0 else tail_of[spelling]
-        # input of the model, class, head word, log10 of the base and of the share in its class
-        known[word] = (
+        rows.append((
             at if at >= 0 else len(head) + kind - first_tail, kind, at,
             math.log10((c + 0.1) / (total + 0.1 * (distinct + 1))),
             0.0 if at >= 0 else math.log10((c + 0.1) * share[kind] / 0.1),
-        )
+        ))
+    # All other words of a tail class share a row; what counts say of them comes from a join.
+    rows += [(len(head) + k - first_tail, k, -1, 0.0, 0.0) for k in range(first_tail, classes)]
+    table = np.array(rows, np.float64)
     return {
-        "total": total or 0, "distinct": distinct, "known": known, "tail_of": tail_of, "head": len(head),
+        "total": total or 0, "distinct": distinct, "known": {w: i for i, w in enumerate(words)},
+        "ids": table[:, :3].astype(np.int32), "logs": table[:, 3:], "tail_of": tail_of, "head": len(head),
         "bounds": bounds, "classes": classes, "share": share,
         "class_log": np.log(np.maximum(class_n, 0.1)).astype(np.float32),
         "word_log": np.log([counted[i] for i in head] or [1]).astype(np.float32)[:len(head)],
@@ -166,25 +170,27 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[byte
             yield ids, texts
 
 
-def _encoded(texts: list[bytes], known: dict, tail_of: list[int], head: int, first_tail: int):
-    """Tokens of the texts as one array of rows like those of ``known``, and the tail words."""
-    rows, offsets, unknown = [], [0], []
+def _encoded(texts: list[bytes], plan: dict) -> tuple[np.ndarray, np.ndarray, list[dict[bytes, int]]]:
+    """Rows of the plan's tables for all tokens, where each text ends, and its other words."""
+    get, tail_of = plan["known"].get, plan["tail_of"]
+    other_rows = len(plan["known"]) - len(plan["bounds"]) + 1
+    parts, offsets, others = [], [0], []
     for text in texts:
+        words = _tokens(text)
+        rows = np.array([get(w, -1) for w in words], np.int32)
         other: dict[bytes, int] = {}
-        for word in _tokens(text):
-            row = known.get(word)
-            if row is None:
-                kind = tail_of[signature(word)]
-                row = (head + kind - first_tail, kind, -1, 0.0, 0.0)
-                other[word] = other.get(word, 0) + 1
-            rows.append(row)
-        offsets.append(len(rows))
-        unknown.append(other)
-    return np.array(rows, np.float64).reshape(-1, 5), np.array(offsets), unknown
+        for i in np.flatnonzero(rows < 0).tolist():
+            word = words[i]
+            rows[i] = other_rows + tail_of[signature(word)]
+            other[word] = other.get(word, 0) + 1
+        parts.append(rows)
+        offsets.append(offsets[-1] + len(rows))
+        others.append(other)
+    return np.concatenate(parts), np.array(offsets), others
 
 
-def _ints(table: np.ndarray):
-    return (table[:, k].astype(np.int32) for k in range(3))
+def _ids(plan: dict, rows: np.ndarray) -> list[np.ndarray]:
+    return [plan["ids"][rows, k] for k in range(3)]
 
 
 def _training(broadcast, weights):
@@ -193,10 +199,8 @@ def _training(broadcast, weights):
         shape = gru.Shape(**_shape(plan))
         trainer = gru.Trainer(weights.value, shape)
         for _, texts in _groups(batches):
-            table, offsets, _ = _encoded(
-                texts, plan["known"], plan["tail_of"], plan["head"], len(plan["bounds"]) - 1
-            )
-            gru.train(trainer, offsets, *_ints(table), LANES, STEPS)
+            rows, offsets, _ = _encoded(texts, plan)
+            gru.train(trainer, offsets, *_ids(plan, rows), LANES, STEPS)
         if trainer.tokens:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([trainer.tokens], pa.int64()),
@@ -250,11 +254,10 @@ def _scoring(broadcast, weights):
         model = gru.split(weights.value, shape)
         tail_of = plan["tail_of"]
         for ids, texts in _groups(batches):
-            table, offsets, unknown = _encoded(
-                texts, plan["known"], tail_of, plan["head"], len(plan["bounds"]) - 1
-            )
-            logs = gru.score(model, shape, offsets, *_ints(table), LANES, STEPS) / math.log(10)
-            sums = [np.add.reduceat(v, offsets[:-1]) for v in (table[:, 3], logs + table[:, 4])]
+            rows, offsets, unknown = _encoded(texts, plan)
+            logs = gru.score(model, shape, offsets, *_ids(plan, rows), LANES, STEPS) / math.log(10)
+            base, share = plan["logs"][rows, 0], plan["logs"][rows, 1]
+            sums = [np.add.reduceat(v, offsets[:-1]) for v in (base, logs + share)]
             counts = np.diff(offsets)
             missing = np.array([sum(u.values()) for u in unknown])
             yield pa.RecordBatch.from_arrays([

@@ -133,7 +133,8 @@ def test_probabilities_add_up_to_one(spark):
     shape = gru.Shape(**lm._shape(plan))
     weights = gru.split(gru.initial(shape, plan["class_log"], plan["word_log"], 2), shape)
     total = 0.0
-    for _, kind, at, _, tail in plan["known"].values():
+    for row in plan["known"].values():
+        (_, kind, at), (_, tail) = plan["ids"][row], plan["logs"][row]
         table = np.array([[0, 0, -1], [0, kind, at]])
         log = gru.score(weights, shape, np.array([0, 2]), *(table[:, k] for k in range(3)), 1, 4)[1]
         total += math.exp(log) * 10 ** tail
