@@ -71,6 +71,10 @@ def validity(changes: DataFrame) -> DataFrame:
     )
 
 
+def _month(time: Column) -> Column:
+    return F.year(time) * 12 + F.month(time)
+
+
 def filter_captures(captures: DataFrame, changes: DataFrame, id_col: str = "page_id", url_col: str = "url",
                     time_col: str = "fetched_at") -> DataFrame:
     """One row per capture: id, url, time, host, entries, target, verdict.
@@ -83,7 +87,8 @@ def filter_captures(captures: DataFrame, changes: DataFrame, id_col: str = "page
     * Ids may be null and rows may be repeated: each row gets a row of its own.
     * Without captures there are no rows, without changes every verdict is ``none``. Other
       columns are ignored.
-    * Captures of a hot target are dealt over slices, and its intervals go to each slice.
+    * Captures of a hot target are dealt over slices, and its intervals go to each slice. A
+      capture meets only the intervals of its own month, however many a target has.
     """
     rows = staged(
         captures.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(time_col).alias("time"))
@@ -91,13 +96,19 @@ def filter_captures(captures: DataFrame, changes: DataFrame, id_col: str = "page
         "url-captures",
     )
     slices = slices_for(rows.count())
+    first, last = rows.agg(F.min(_month(F.col("time"))), F.max(_month(F.col("time")))).first()
     asked = rows.where("time is not null").select(
-        "row", "time", F.explode(targets_of(F.col("url"))).alias("target"),
+        "row", "time", _month(F.col("time")).alias("month"), F.explode(targets_of(F.col("url"))).alias("target"),
         F.pmod(F.xxhash64("row"), F.lit(slices)).cast("int").alias("slice"),
     )
-    slots = asked.select("target", "slice").distinct()
-    dealt = slots.join(validity(changes), "target")
-    met = asked.join(dealt, ["target", "slice"]).where(
+    # An interval once per month of the captures that it touches.
+    months = validity(changes).withColumns({
+        "_from": F.greatest(_month(F.col("since")), F.lit(first)),
+        "_to": F.least(F.coalesce(_month(F.col("until")), F.lit(last)), F.lit(last)),
+    }).where("_from <= _to").withColumn("month", F.explode(F.sequence("_from", "_to"))).drop("_from", "_to")
+    slots = asked.select("target", "slice", "month").distinct()
+    dealt = slots.join(months, ["target", "month"])
+    met = asked.join(dealt, ["target", "slice", "month"]).where(
         "since <= time and (until is null or time < until)"
     )
     found = met.groupBy("row").agg(
