@@ -10,8 +10,11 @@ from pyspark.sql import types as T
 SPACES = "".join(chr(code) for code in range(0x21))
 CODE_REPLACEMENTS = {"NORM ": "NORM"}
 LINE_CHARACTERS = "\n\r\t"
-RESERVED_SIGN = r"\$(?:(?<=t\$)(?=date|full|conf|user)|(?<=T\$)(?=DATE|FULL|CONF|USER))"
-VENDOR_PREFIX = r"[tT]\$"
+VENDOR_PREFIXES = [
+    (r"t\$(date|full|conf|user)", "t_$1"),
+    (r"T\$(DATE|FULL|CONF|USER)", "T_$1"),
+    (r"[tT]\$", ""),
+]
 PADDED_TOKEN = r':" *(\S+?) *"'
 
 
@@ -47,8 +50,9 @@ def scrub_json_text(raw: Column) -> Column:
     Vendor prefixes become plain names, control characters go, spaces around
     one-word values go, and blank values become the text ``null``.
     """
-    text = F.regexp_replace(raw, RESERVED_SIGN, "_")
-    text = F.regexp_replace(text, VENDOR_PREFIX, "")
+    text = raw
+    for pattern, by in VENDOR_PREFIXES:
+        text = F.regexp_replace(text, pattern, by)
     text = _replace_each(_replace_each(text, "$", "_"), LINE_CHARACTERS, "")
     text = F.regexp_replace(text, PADDED_TOKEN, ':"$1"')
     return F.replace(text, F.lit(':""'), F.lit(':"null"'))

@@ -150,16 +150,20 @@ def clean(x: str) -> str:
     return rf"nullif(regexp_replace(regexp_replace({x}, '[\n\r\t]', ' ', 'g'), {TRIM}, '', 'g'), 'null')"
 
 
+# The scrub patterns, in order.
+SCRUB_PATTERNS = [
+    (r"t\$(date|full|conf|user)", r"t_\1"),
+    (r"T\$(DATE|FULL|CONF|USER)", r"T_\1"),
+    (r"[tT]\$", ""),
+    (r"\$", "_"),
+    (r"[\n\r\t]", ""),
+    (r':" *(\S+?) *"', r':"\1"'),
+    (r':""', r':"null"'),
+]
+
+
 def scrub(x: str) -> str:
-    for pattern, to in [
-        (r"t\$(date|full|conf|user)", r"t_\1"),
-        (r"T\$(DATE|FULL|CONF|USER)", r"T_\1"),
-        (r"[tT]\$", ""),
-        (r"\$", "_"),
-        (r"[\n\r\t]", ""),
-        (r':" *(\S+?) *"', r':"\1"'),
-        (r':""', r':"null"'),
-    ]:
+    for pattern, to in SCRUB_PATTERNS:
         x = f"regexp_replace({x}, '{pattern}', '{to}', 'g')"
     return x
 
@@ -190,7 +194,8 @@ def _tiers() -> str:
              "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
     counts = " union all ".join(f"select count(*) as n_rows, '{n}' as table_name from {n}" for n in names)
     return f"""select n_rows, table_name, cast(case when n_rows < 10000 then 1 when n_rows < 1000000 then 10
-        when n_rows < 10000000 then 100 when n_rows < 20000000 then 500 else 1000 end as int) as partitions
+        when n_rows < 10000000 then 100 when n_rows < 20000000 then 500
+        else greatest(1000, ceil(n_rows / 20000)) end as int) as partitions
         from ({counts})"""
 
 

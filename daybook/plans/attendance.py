@@ -138,6 +138,10 @@ def refresh_later_tables(
     def observed(name: str, key: str) -> Callable[[], bool]:
         return lambda: tables.replace_observed(pages(name), f"{db}.{name}", key, today, LATER_DAYS)
 
+    _prepare(spark, *[
+        pages(n, "get" if n == "pending_leave" else "post")
+        for n in items if _has_landed(spark, landing, n)
+    ])
     writers: dict[str, Callable[[], object]] = {
         "roster": lambda: tables.replace_months(
             pages("roster"), f"{db}.roster", "ym", today, ROSTER_MONTHS),
@@ -161,6 +165,8 @@ def refresh_current_cards(
 
     Their codes are normalised when the base refresh next covers the day.
     """
+    if _has_landed(spark, landing, CARDS):
+        _prepare(spark, _landed(spark, landing, CARDS, schemas.CARD_RECORD))
     return audited_load(
         spark, f"{db}.{AUDIT}", f"{db}.{CARDS}",
         lambda: tables.replace_current_day(
