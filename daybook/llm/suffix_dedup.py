@@ -191,7 +191,7 @@ def _slices(length: int):
 
 def _finer(length: int, anchor: int):
     """Pieces to the smaller pieces that longer anchors cut them into."""
-    kinds = {"data": pa.binary(), "n": pa.int32(), "again": pa.bool_()}
+    kinds = {"data": pa.binary(), "n": pa.int32(), "again": pa.bool_(), "at": pa.list_(pa.int64())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,14 +201,21 @@ def _finer(length: int, anchor: int):
             for i, text in enumerate(data):
                 array = np.frombuffer(text, np.uint8)
                 _, at, n, key, again = anchor_runs(array, np.array([len(array)]), length, anchor)
-                rows["owner_key"] += [columns["key"][i]] * len(at)
-                rows["owner_content"] += [columns["content"][i]] * len(at)
-                rows["at"] += at.tolist()
-                rows["n"] += n.tolist()
-                rows["key"] += key.view(np.int64).tolist()
-                rows["content"] += _contents(array, at, n, length).view(np.int64).tolist()
-                rows["again"] += again.tolist()
-                rows["data"] += [text[a:a + c + length - 1] for a, c in zip(at.tolist(), n.tolist())]
+                content = _contents(array, at, n, length).view(np.int64).tolist()
+                places: dict[tuple[int, int], list[int]] = {}
+                for j, own in enumerate(zip(key.view(np.int64).tolist(), content)):
+                    places.setdefault(own, []).append(j)
+                # A text that goes round and round has the same piece many times: one row.
+                for (own_key, own_content), found in places.items():
+                    first, count = int(at[found[0]]), int(n[found[0]])
+                    rows["owner_key"].append(columns["key"][i])
+                    rows["owner_content"].append(columns["content"][i])
+                    rows["at"].append(at[found].tolist())
+                    rows["n"].append(count)
+                    rows["key"].append(own_key)
+                    rows["content"].append(own_content)
+                    rows["again"].append(bool(again[found[0]]))
+                    rows["data"].append(text[first:first + count + length - 1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(v, kinds.get(c, pa.int64())) for c, v in rows.items()], list(rows),
             )
@@ -262,15 +269,18 @@ def _full() -> Column:
 
 
 def _repeats(pieces: DataFrame, fetch, length: int, anchor: int, keep_first: bool) -> DataFrame:
-    """The windows that are to go: owner, at, runs, of pieces (owner, at, n, key, content, again, ord).
+    """The windows that are to go: owner, at, n, runs.
 
+    ``pieces`` has owner, at, n, key, content, again, times (how often the owner has the
+    piece) and ord (its first place). ``runs`` holds for that first place and may be null;
+    any further place of the owner goes whole.
     ``fetch`` gives the bytes of distinct pieces (key, content, n, first).
     """
     rows = pieces.count()
     slices = slices_for(rows)
     dealt = pieces.withColumn("_slice", F.pmod(F.xxhash64("ord"), F.lit(slices)).cast("int"))
     parts = dealt.groupBy("key", "content", "_slice").agg(
-        F.count(F.lit(1)).alias("c"), F.min("ord").alias("first"), F.min("n").alias("n"),
+        F.sum("times").alias("c"), F.min("ord").alias("first"), F.min("n").alias("n"),
         F.max("again").alias("again"),
     )
     distinct = parts.groupBy("key", "content").agg(
@@ -299,14 +309,14 @@ def _repeats(pieces: DataFrame, fetch, length: int, anchor: int, keep_first: boo
         found = found.union(_split(many, length, anchor, keep_first))
     found = staged(found, "suffix-found")
 
-    again = distinct.join(found, ["key", "content"], "left").where("c > 1 or runs is not null")
+    again = distinct.join(found.hint("merge"), ["key", "content"], "left").where("c > 1 or runs is not null")
     back = again.select("key", "content", "c", "first", "runs", F.explode("slices").alias("_slice"))
-    met = dealt.join(back, ["key", "content", "_slice"])
+    met = dealt.join(back.hint("merge"), ["key", "content", "_slice"])
     if keep_first:
         runs = F.when(F.col("ord") == F.col("first"), F.col("runs")).otherwise(_full())
     else:
         runs = F.when(F.col("c") > 1, _full()).otherwise(F.col("runs"))
-    return met.select("owner", "at", runs.alias("runs")).where("runs is not null")
+    return met.select("owner", "at", "n", "times", runs.alias("runs")).where("runs is not null or times > 1")
 
 
 def _split(many: DataFrame, length: int, anchor: int, keep_first: bool) -> DataFrame:
@@ -314,37 +324,46 @@ def _split(many: DataFrame, length: int, anchor: int, keep_first: bool) -> DataF
     finer = length - (length - anchor) // 4
     smaller = staged(
         many.select("key", "content", "data").mapInArrow(
-            _finer(length, finer), "owner_key long, owner_content long, at long, n int, key long, "
+            _finer(length, finer), "owner_key long, owner_content long, at array<long>, n int, key long, "
             "content long, again boolean, data binary"
         ).join(
-            many.select(F.col("key").alias("owner_key"), F.col("content").alias("owner_content"), "first"),
-            ["owner_key", "owner_content"],
+            many.select(
+                F.col("key").alias("owner_key"), F.col("content").alias("owner_content"), "first"
+            ).hint("merge"), ["owner_key", "owner_content"],
         ).select(
             F.struct(F.col("owner_key").alias("key"), F.col("owner_content").alias("content")).alias("owner"),
-            "at", "n", "key", "content", "again", "data",
-            F.col("first").withField("place", F.col("first.place") + F.col("at")).alias("ord"),
+            "at", "n", "key", "content", "again", "data", F.size("at").cast("long").alias("times"),
+            F.col("first").withField("place", F.col("first.place") + F.col("at")[0]).alias("ord"),
         ),
         "suffix-finer",
     )
     # Anchors that occur once hold no repeat.
-    seen = smaller.groupBy("key").agg(
-        F.count(F.lit(1)).alias("c"), F.max("again").alias("again")
-    ).where("c > 1 or again").select("key")
-    kept = staged(smaller.join(seen.hint("merge"), "key", "left_semi"), "suffix-kept")
+    kept = staged(
+        with_group_totals(
+            smaller, ["key"], {"seen": ("sum", F.col("times")), "any": ("max", F.col("again"))},
+            ["ord"], slices_for(smaller.count()),
+        ).where("seen > 1 or any").drop("seen", "any"),
+        "suffix-kept",
+    )
 
     def fetch(wanted: DataFrame) -> DataFrame:
         bytes_of = kept.select("key", "content", "ord", "data").withColumnRenamed("ord", "first")
+        # Files of much alike pieces are small: no measure for a broadcast.
         return wanted.join(
-            bytes_of.dropDuplicates(["key", "content", "first"]), ["key", "content", "first"]
+            bytes_of.dropDuplicates(["key", "content", "first"]).hint("merge"), ["key", "content", "first"]
         )
 
     gone = _repeats(kept, fetch, length, finer, keep_first)
-    moved = F.transform("runs", lambda r: F.struct(
-        (r["a"] + F.col("at")).cast("int").alias("a"), (r["b"] + F.col("at")).cast("int").alias("b")
+    moved = lambda runs, at: F.transform(runs, lambda r: F.struct(
+        (r["a"] + at).cast("int").alias("a"), (r["b"] + at).cast("int").alias("b")
     ))
-    return gone.select("owner.*", moved.alias("runs")).groupBy("key", "content").agg(
-        F.flatten(F.collect_list("runs")).alias("runs")
-    )
+    further = F.transform(F.slice("at", 2, F.size("at")), lambda at: F.struct(
+        at.cast("int").alias("a"), (at + F.col("n")).cast("int").alias("b")
+    ))
+    none = F.array().cast("array<struct<a:int,b:int>>")
+    return gone.select(
+        "owner.*", F.concat(F.coalesce(moved(F.col("runs"), F.col("at")[0]), none), further).alias("runs")
+    ).groupBy("key", "content").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, keep_first: bool = True,
@@ -383,7 +402,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     if keep_first:
         kept = kept.join(base.select("doc", "id").distinct(), "doc")
     kept = staged(
-        kept.select(F.col("doc").alias("owner"), "at", "n", "key", "content", "again", F.struct(
+        kept.select(F.col("doc").alias("owner"), "at", "n", "key", "content", "again", F.lit(1).cast("long").alias("times"), F.struct(
             place.isNull().alias("none"), place.alias("id"), F.col("doc"), F.col("at").alias("place")
         ).alias("ord")),
         "suffix-again",
@@ -396,7 +415,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
         sliced = packed.join(per_doc.hint("merge"), "doc").dropDuplicates(["doc"]).mapInArrow(
             _slices(length), "key long, content long, data binary"
         )
-        return wanted.join(sliced, ["key", "content"])
+        return wanted.join(sliced.hint("merge"), ["key", "content"])
 
     gone = _repeats(kept, fetch, length, anchor, keep_first)
     spans = gone.select(F.col("owner").alias("doc"), F.explode(F.transform("runs", lambda r: F.struct(
