@@ -79,9 +79,28 @@ def _step(weights, state, inputs):
     return new + keep * (state - new), (keep, reset, new, h[:, 2 * size:])
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+#: Logits that lie this close together need no maximum of their own in each row.
+SAFE_RANGE = 60.0
+
+
+def _softmax(states: np.ndarray, matrix: np.ndarray, target: np.ndarray, want_error: bool):
+    """Log probability of each target and, if wanted, target minus probabilities.
+
+    ``states`` has a last column of ones, ``matrix`` a last row of biases.
+    """
+    rows = np.arange(len(states))
+    logits = states @ matrix
+    top = logits.max()
+    logits -= top if top - logits.min() < SAFE_RANGE else logits.max(axis=1, keepdims=True)
+    found = logits[rows, target]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    found -= np.log(total)
+    if not want_error:
+        return found, None
+    logits *= (-1 / total)[:, None]
+    logits[rows, target] += 1
+    return found, logits
 
 
 def output(weights, shape: Shape, states, classes, words, gradient=None):
@@ -90,30 +109,32 @@ def output(weights, shape: Shape, states, classes, words, gradient=None):
     ``words`` is the head word of a token, or -1 in a tail class. Returns the log
     probabilities and, with ``gradient``, the gradient for the states.
     """
-    count = np.arange(len(states))
-    logs = _log_softmax(states @ weights["to_class"] + weights["class_bias"])
-    found = logs[count, classes].astype(np.float64)
+    size, learn = shape.state, gradient is not None
+    ones = np.ones((len(states), size + 1), states.dtype)
+    ones[:, :size] = states
+    matrix = np.vstack((weights["to_class"], weights["class_bias"]))
+    logs, error = _softmax(ones, matrix, classes, learn)
+    found = logs.astype(np.float64)
     back = None
-    if gradient is not None:
-        error = -np.exp(logs)
-        error[count, classes] += 1
-        gradient["to_class"] += states.T @ error
-        gradient["class_bias"] += error.sum(axis=0)
+    if learn:
+        added = ones.T @ error
+        gradient["to_class"] += added[:size]
+        gradient["class_bias"] += added[size]
         back = error @ weights["to_class"].T
     order = np.argsort(classes, kind="stable")
     bounds = np.searchsorted(classes[order], np.arange(len(shape.head_bounds)))
+    matrix = np.vstack((weights["to_word"].T, weights["word_bias"]))
     for k, (low, high) in enumerate(zip(shape.head_bounds, shape.head_bounds[1:])):
         rows = order[bounds[k]:bounds[k + 1]]
         if not len(rows) or high - low < 2:
             continue
-        own, target, here = states[rows], words[rows] - low, np.arange(len(rows))
-        logs = _log_softmax(own @ weights["to_word"][low:high].T + weights["word_bias"][low:high])
-        found[rows] += logs[here, target]
-        if gradient is not None:
-            error = -np.exp(logs)
-            error[here, target] += 1
-            gradient["to_word"][low:high] += error.T @ own
-            gradient["word_bias"][low:high] += error.sum(axis=0)
+        own = ones[rows]
+        logs, error = _softmax(own, matrix[:, low:high], words[rows] - low, learn)
+        found[rows] += logs
+        if learn:
+            added = error.T @ own
+            gradient["to_word"][low:high] += added[:, :size]
+            gradient["word_bias"][low:high] += added[:, size]
             back[rows] += error @ weights["to_word"][low:high]
     return found, back
 
@@ -127,8 +148,10 @@ def window_gradient(weights, shape: Shape, state, inputs, starts, classes, words
     size = shape.state
     before = np.empty((steps, lanes, size), np.float32)
     kept = []
+    begins = starts.any(axis=1)
     for t in range(steps):
-        state = np.where(starts[t][:, None], np.float32(0), state)
+        if begins[t]:
+            state = np.where(starts[t][:, None], np.float32(0), state)
         before[t] = state
         state, inner = _step(weights, state, inputs[t])
         kept.append(inner)
@@ -140,18 +163,22 @@ def window_gradient(weights, shape: Shape, state, inputs, starts, classes, words
     into = np.zeros((steps, lanes, size), np.float32)
     into[live] = back * scale
     gates = np.empty((steps, lanes, 3 * size), np.float32)
+    through = np.empty((steps, lanes, 3 * size), np.float32)
     later = np.zeros((lanes, size), np.float32)
+    turned = np.ascontiguousarray(weights["again"].T)
     for t in range(steps - 1, -1, -1):
         keep, reset, new, h_new = kept[t]
-        old = before[t]
+        here, back_h = gates[t], through[t]
         d_new = later * (1 - keep) * (1 - new * new)
-        d_keep = later * (old - new) * keep * (1 - keep)
-        d_reset = d_new * h_new * reset * (1 - reset)
-        d_h = np.concatenate((d_keep, d_reset, d_new * reset), axis=1)
-        gates[t] = np.concatenate((d_keep, d_reset, d_new), axis=1)
-        gradient["again"] += old.T @ d_h
-        later = later * keep + d_h @ weights["again"].T + into[t]
-        later[starts[t]] = 0
+        here[:, :size] = later * (before[t] - new) * keep * (1 - keep)
+        here[:, size:2 * size] = d_new * h_new * reset * (1 - reset)
+        here[:, 2 * size:] = d_new
+        back_h[:] = here
+        back_h[:, 2 * size:] *= reset
+        later = later * keep + back_h @ turned + into[t]
+        if begins[t]:
+            later[starts[t]] = 0
+    gradient["again"] += before.reshape(-1, size).T @ through.reshape(-1, 3 * size)
     flat, values = inputs.ravel(), gates.reshape(-1, 3 * size)
     order = np.argsort(flat, kind="stable")
     first = np.flatnonzero(np.diff(flat[order], prepend=-1))
@@ -203,7 +230,7 @@ def in_lanes(offsets: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.diff(offsets)
     lanes = [np.concatenate([np.arange(offsets[d], offsets[d + 1]) for d in docs])
              for docs in lanes_of(lengths, count)]
-    places = np.full((max(map(len, lanes), default=0), len(lanes)), -1, np.int64)
+    places = np.full((max(map(len, lanes), default=0), len(lanes)), -1, np.int32)
     for i, lane in enumerate(lanes):
         places[:len(lane), i] = lane
     first = np.zeros(int(offsets[-1]) + 1, bool)
@@ -236,8 +263,10 @@ def score(weights, shape: Shape, offsets, inputs, classes, words, lanes: int, st
         before = np.empty((*place.shape, shape.state), np.float32)
         at = np.maximum(place, 0)
         ids = inputs[at]
+        begins = start.any(axis=1)
         for t in range(len(place)):
-            state = np.where(start[t][:, None], np.float32(0), state)
+            if begins[t]:
+                state = np.where(start[t][:, None], np.float32(0), state)
             before[t] = state
             state, _ = _step(weights, state, ids[t])
         live = place >= 0

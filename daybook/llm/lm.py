@@ -28,9 +28,9 @@ from daybook.llm.quality import held_out
 #: The token behind each text; no word can hold a space.
 END = b" "
 
-HEAD_WORDS = 2000
-CLASS_WORDS = 50
-TAIL_CLASSES = 48
+HEAD_WORDS = 600
+CLASS_WORDS = 30
+TAIL_CLASSES = 24
 STATE = 16
 SEED = 5
 
@@ -40,10 +40,10 @@ KNOWN_WORDS = 200_000
 COUNTER_WORDS = 400_000
 
 ROUNDS = 3
-LANES = 256
-STEPS = 24
+LANES = 1024
+STEPS = 12
 #: Bytes of text that are put into lanes together, a longer text alone.
-LANE_BYTES = 8 << 20
+LANE_BYTES = 32 << 20
 #: Partial sums of weights that reach the driver.
 SUMS = 32
 
@@ -170,14 +170,21 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[byte
             yield ids, texts
 
 
+class _Known(dict):
+    """Row numbers of words; a word without one has row -1."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 def _encoded(texts: list[bytes], plan: dict) -> tuple[np.ndarray, np.ndarray, list[dict[bytes, int]]]:
     """Rows of the plan's tables for all tokens, where each text ends, and its other words."""
-    get, tail_of = plan["known"].get, plan["tail_of"]
+    number, tail_of = _Known(plan["known"]).__getitem__, plan["tail_of"]
     other_rows = len(plan["known"]) - len(plan["bounds"]) + 1
     parts, offsets, others = [], [0], []
     for text in texts:
         words = _tokens(text)
-        rows = np.array([get(w, -1) for w in words], np.int32)
+        rows = np.array(list(map(number, words)), np.int32)
         other: dict[bytes, int] = {}
         for i in np.flatnonzero(rows < 0).tolist():
             word = words[i]
