@@ -3,7 +3,8 @@
 Counts cover all training texts. The most frequent words are the head of the model; all
 other words belong to tail classes by their spelling. Training goes over all training
 texts once, in rounds: in each, every task trains on its part from the same weights, and
-the results are averaged. A document's probability is that of each token's class and
+the results are averaged. The head grows until it covers most tokens, and the number of
+classes grows with it and with the vocabulary. A document's probability is that of each token's class and
 head word, by the model, times the share of a tail word in its class, by the counts.
 
 Words with a count of their own are sent to the tasks up to a fixed number; the counts of
@@ -28,9 +29,12 @@ from daybook.llm.quality import held_out
 #: The token behind each text; no word can hold a space.
 END = b" "
 
-HEAD_WORDS = 600
-CLASS_WORDS = 30
-TAIL_CLASSES = 24
+#: Least number of head words, and the share of all tokens that they cover at least.
+HEAD_WORDS = 2000
+HEAD_SHARE = 0.6
+#: Least numbers of head words of a class and of tail classes.
+CLASS_WORDS = 50
+TAIL_CLASSES = 48
 STATE = 16
 SEED = 5
 
@@ -40,12 +44,16 @@ KNOWN_WORDS = 200_000
 COUNTER_WORDS = 400_000
 
 ROUNDS = 3
-LANES = 1024
-STEPS = 12
+LANES = 256
+STEPS = 24
+#: Scores are the same with any number of lanes.
+SCORE_LANES = 1024
 #: Bytes of text that are put into lanes together, a longer text alone.
 LANE_BYTES = 32 << 20
 #: Partial sums of weights that reach the driver.
 SUMS = 32
+#: Bytes of partial sums that reach the driver together, or one sum.
+SUM_BYTES = 64 << 20
 
 
 def signature(word: bytes) -> int:
@@ -97,14 +105,15 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def _plan(counts: DataFrame) -> dict:
-    """What tasks need to know of the counts, as plain data; its size does not grow with them."""
+    """What tasks need to know of the counts, as plain data, of ``KNOWN_WORDS`` words at most."""
     total, distinct = counts.agg(F.sum("c"), F.count("c")).first()
     by_spelling = {r["spelling"]: (r["n"], r["v"]) for r in counts.groupBy("spelling").agg(
         F.sum("c").alias("n"), F.count("c").alias("v")).collect()}
     top = counts.orderBy(F.desc("c"), "word").limit(KNOWN_WORDS).toArrow()
     words, spellings, counted = (top[c].to_pylist() for c in ("word", "spelling", "c"))
 
-    head = [i for i in range(min(HEAD_WORDS, len(words)))]
+    covering = int(np.searchsorted(np.cumsum(np.array(counted, np.int64)), HEAD_SHARE * (total or 0))) + 1
+    head = [i for i in range(min(max(HEAD_WORDS, covering), len(words)))]
     if END in words and words.index(END) not in head:
         head.append(words.index(END))
     in_head = set(head)
@@ -113,10 +122,12 @@ def _plan(counts: DataFrame) -> dict:
         mass[spellings[i]][0] -= counted[i]
         mass[spellings[i]][1] -= 1
     # The tail classes with most tokens; all other spellings, met or not, share the last one.
-    named = sorted((s for s in mass if mass[s][1] > 0), key=lambda s: (-mass[s][0], s))[:TAIL_CLASSES - 1]
+    tails = max(TAIL_CLASSES, math.isqrt(distinct) // 8)
+    named = sorted((s for s in mass if mass[s][1] > 0), key=lambda s: (-mass[s][0], s))[:tails - 1]
     # Head words of a class are similar in spelling and, within it, in frequency.
     head.sort(key=lambda i: (spellings[i], -counted[i], words[i]))
-    bounds = [*range(0, len(head), CLASS_WORDS), len(head)] if head else [0]
+    width = max(CLASS_WORDS, math.isqrt(len(head)))
+    bounds = [*range(0, len(head), width), len(head)] if head else [0]
     first_tail = len(bounds) - 1
     tail_of = [first_tail + (named.index(s) if s in named else len(named)) for s in range(301)]
     classes = first_tail + len(named) + 1
@@ -236,12 +247,13 @@ def train_model(texts: DataFrame, plan: dict, broadcast) -> np.ndarray:
     if not plan["total"]:
         return vector
     kind = "tokens long, sum binary"
+    parts = max(1, min(SUMS, SUM_BYTES // (8 * len(vector))))
     spark = texts.sparkSession
     for number in range(ROUNDS):
         part = texts.where(F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(ROUNDS)) == number)
         trained = part.mapInArrow(_training(broadcast, spark.sparkContext.broadcast(vector)), kind)
-        # Partial sums, so that the driver adds a fixed number of vectors at any size.
-        sums = trained.repartition(SUMS).mapInArrow(_added, kind).collect()
+        # Partial sums, so that the driver adds a bounded number of vectors at any size.
+        sums = trained.repartition(parts).mapInArrow(_added, kind).collect()
         tokens = sum(r["tokens"] for r in sums)
         if tokens:
             vector = (sum(np.frombuffer(r["sum"], np.float64) for r in sums) / tokens).astype(np.float32)
@@ -262,7 +274,7 @@ def _scoring(broadcast, weights):
         tail_of = plan["tail_of"]
         for ids, texts in _groups(batches):
             rows, offsets, unknown = _encoded(texts, plan)
-            logs = gru.score(model, shape, offsets, *_ids(plan, rows), LANES, STEPS) / math.log(10)
+            logs = gru.score(model, shape, offsets, *_ids(plan, rows), SCORE_LANES, STEPS) / math.log(10)
             base, share = plan["logs"][rows, 0], plan["logs"][rows, 1]
             sums = [np.add.reduceat(v, offsets[:-1]) for v in (base, logs + share)]
             counts = np.diff(offsets)

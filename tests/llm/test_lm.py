@@ -143,3 +143,18 @@ def test_probabilities_add_up_to_one(spark):
                         np.array([-1, -1]), 1, 4)[1]
         total += math.exp(log) * plan["share"][kind]
     assert math.isclose(total, 1, rel_tol=1e-4)
+
+
+def test_head_covers_most_tokens(spark):
+    """The head grows with the vocabulary; classes and windows are no smaller than stated."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text")
+    even = spark.createDataFrame([(" ".join(f"w{i}" for i in range(6000)),)], "text string")
+    for texts, words in ((docs, 2000), (even, 3600)):
+        counts = lm.word_counts(texts)
+        plan = lm._plan(counts)
+        number = {r["word"]: r["c"] for r in counts.collect()}
+        covered = sum(number[bytes(w)] for w, row in plan["known"].items() if plan["ids"][row, 2] >= 0)
+        assert plan["head"] >= words and covered >= 0.6 * plan["total"]
+    plan = lm._plan(lm.word_counts(docs))
+    assert plan["classes"] - len(plan["bounds"]) + 1 >= 48
+    assert lm.STEPS >= 24 and lm.LANES <= 256
