@@ -9,7 +9,8 @@ anchor with different bytes go into one suffix array, whose longest-previous-fac
 tells which windows occur earlier (and, read backwards, later).
 
 An anchor with very many different pieces is dealt anew by anchors of longer strings, up
-to whole windows, so no task holds all pieces around a passage that everyone shares.
+to whole windows, so no task holds all pieces around a passage that everyone shares. Where
+the anchor is a whole window, all windows of a key are one string: their number decides.
 """
 
 from __future__ import annotations
@@ -293,7 +294,7 @@ def _repeats(pieces: DataFrame, fetch, length: int, anchor: int, keep_first: boo
     )
     # A lone piece can hold a repeat inside itself only if its anchor occurs in it again.
     mixed_up = distinct.where("d > 1 or again")
-    data = staged(fetch(mixed_up.select("key", "content", "n", "first", "d")), "suffix-data")
+    data = staged(fetch(mixed_up.select("key", "content", "n", "c", "first", "d")), "suffix-data")
 
     search = (
         data.where(F.col("d") <= GROUP_PIECES).select("key", "content", "n", "first", "data")
@@ -305,8 +306,9 @@ def _repeats(pieces: DataFrame, fetch, length: int, anchor: int, keep_first: boo
         "key", "content", (F.col("earlier") if keep_first else F.concat("earlier", "later")).alias("runs")
     ).where(F.size("runs") > 0)
     many = data.where(F.col("d") > GROUP_PIECES)
-    if anchor < length and many.limit(1).count():
-        found = found.union(_split(many, length, anchor, keep_first))
+    if many.limit(1).count():
+        found = found.union(_split(many, length, anchor, keep_first) if anchor < length
+                            else _counted(many, length, keep_first))
     found = staged(found, "suffix-found")
 
     again = distinct.join(found.hint("merge"), ["key", "content"], "left").where("c > 1 or runs is not null")
@@ -319,6 +321,21 @@ def _repeats(pieces: DataFrame, fetch, length: int, anchor: int, keep_first: boo
     return met.select("owner", "at", "n", "times", runs.alias("runs")).where("runs is not null or times > 1")
 
 
+def _counted(many: DataFrame, length: int, keep_first: bool) -> DataFrame:
+    """Runs of windows of pieces whose anchor is a whole window, by how often that string occurs."""
+    # The string itself stands beside its hash; of one byte, so at most PIECE_WINDOWS different pieces.
+    pieces = many.select("key", "content", "n", "c", "first", F.md5(F.substring("data", 1, length)).alias("same"))
+    strings = pieces.groupBy("key", "same").agg(
+        F.sum(F.col("n") * F.col("c")).alias("windows"), F.min("first").alias("earliest")
+    )
+    start = F.lit(0)
+    if keep_first:
+        start = F.when(F.col("first") == F.col("earliest"), 1).otherwise(0)
+    return pieces.join(strings.hint("merge"), ["key", "same"]).where("windows > 1").select(
+        "key", "content", F.array(F.struct(start.cast("int").alias("a"), F.col("n").alias("b"))).alias("runs")
+    ).where("runs[0].a < runs[0].b")
+
+
 def _split(many: DataFrame, length: int, anchor: int, keep_first: bool) -> DataFrame:
     """Runs of windows of pieces whose anchor has very many: found with longer anchors."""
     finer = length - (length - anchor) // 4

@@ -114,3 +114,15 @@ def test_query_against_all_windows(spark):
     expected = [(i, n, sum(b - a for a, b in s), len(s), h) for i, n, s, h in brute(rows, 400, False)]
     result = QUERIES["op8_suffix_dedup"](spark, SF_DIR)
     assert sorted((tuple(r) for r in result.collect()), key=str) == sorted(expected, key=str)
+
+
+@pytest.mark.parametrize("keep_first", [True, False])
+def test_more_run_lengths_of_one_byte_than_a_group_holds(spark, monkeypatch, keep_first):
+    monkeypatch.setattr(suffix_dedup, "PIECE_WINDOWS", 150)
+    lengths = suffix_dedup.GROUP_PIECES + 10
+    rows = [(i, f"a{i}b" + "-" * (40 + i) + f"c{i}d") for i in range(lengths)]
+    rows += [(lengths, "x" + "=" * 40 + "y"), (lengths + 1, "-" * 400)]
+    random.Random(3).shuffle(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    options = {"length": 40, "anchor": 16, "keep_first": keep_first}
+    assert found(frame, **options) == brute(rows, 40, keep_first)
