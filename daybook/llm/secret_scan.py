@@ -19,9 +19,10 @@ from daybook.llm.common import staged
 
 #: A run of key characters, base64 padding included.
 CANDIDATE = r"[A-Za-z0-9_+/\-]{16,}={0,2}"
+LEAST_RUN = 16
 #: Without a digit only longer runs are candidates.
 LETTERS_ONLY = 20
-#: Characters of the text kept on either side of a candidate.
+#: Characters of the text kept on either side of a candidate, other candidates included.
 CONTEXT = 48
 
 #: Words of the corpus that make up the dictionary, and their least length.
@@ -43,10 +44,25 @@ FEATURES = [
 ]
 
 
+def _context(least: int) -> tuple[str, str]:
+    """The text before and after match j of ``found``, whose gaps are ``around``, as SQL.
+
+    A context reaches over as many neighbouring matches of ``least`` characters as fit in.
+    """
+    near = -(-CONTEXT // least)
+    before = [f"right(get({a}, j - {k}), {CONTEXT})" for k in range(near, 0, -1) for a in ("around", "found")]
+    after = [f"left(get({a}, j + {k}), {CONTEXT})" for k in range(1, near + 1) for a in ("around", "found")]
+    before.append(f"right(get(around, j), {CONTEXT})")
+    after.append(f"left(get(around, j + {near + 1}), {CONTEXT})")
+    return (f"right(concat_ws('', {', '.join(before)}), {CONTEXT})",
+            f"left(concat_ws('', {', '.join(after)}), {CONTEXT})")
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                path_col: str = "source") -> DataFrame:
     """One row per candidate: id, path, nth (of its text), candidate, before, after."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    before, after = _context(LEAST_RUN)
     return (
         docs.select(
             F.col(id_col).alias("id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"),
@@ -54,9 +70,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.split(text, CANDIDATE, -1).alias("around"),
         )
         .select("id", "path", F.explode(F.expr(
-            "transform(slice(sequence(0, size(found)), 2, size(found)), i -> named_struct("
-            "'nth', i, 'candidate', found[i - 1], "
-            f"'before', right(around[i - 1], {CONTEXT}), 'after', left(around[i], {CONTEXT})))"
+            "transform(found, (f, j) -> named_struct('nth', j + 1, 'candidate', f, "
+            f"'before', {before}, 'after', {after}))"
         )).alias("f"))
         .select("id", "path", "f.*")
         .where((F.length("candidate") >= LETTERS_ONLY) | F.col("candidate").rlike("[0-9]"))

@@ -79,3 +79,17 @@ def test_rows_of_all_kinds(spark):
     assert secret_scan.scan(docs.where("false"), label, learn=F.lit(True)).count() == 0
     one = secret_scan.scan(docs.where("doc_id = 3"), label, learn=F.lit(True)).collect()
     assert {r.score for r in one} == {5 / 6}
+
+
+def test_context_reaches_over_other_candidates(spark):
+    value = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    rows = [(1, f"a aws_secret_access_key={value} z"), (2, f'x AWS_SECRET_ACCESS_KEY = "{value}" y'),
+            (3, "é " + " ".join(f"{i:016d}" for i in range(9)) + " end")]
+    docs = spark.createDataFrame([(*r, "p") for r in rows], "doc_id long, text string, source string")
+    found = secret_scan.with_features(secret_scan.candidates(docs), []).collect()
+    texts = dict(rows)
+    for r in found:
+        at = texts[r.id].index(r.candidate)
+        assert r.before == texts[r.id][max(0, at - 48):at]
+        assert r.after == texts[r.id][at + len(r.candidate):][:48]
+    assert [(r.key_word, r.assigned) for r in found if r.candidate == value] == [(1, 1), (1, 1)]
