@@ -64,7 +64,8 @@ TOKEN = re.compile(
     r"|<(?P<close2>/?)(?P<tag2>[A-Za-z][A-Za-z0-9:-]*)(?P<rest2>[^>]*)>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+#: One attribute after another: a name and its value, which no other name is looked for in.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 
 @dataclass

@@ -74,3 +74,17 @@ def test_rows_of_all_kinds(spark):
     expected = [(i, u, main_text(h), len(main_text(h))) for i, u, h in rows]
     assert sorted(found, key=str) == sorted(expected, key=str)
     assert extract(frame.where(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("attributes", [
+    'title="Hidden gems of Rome"', 'data-hidden="false"', 'aria-label="Hidden gems"', 'data-role="menu"',
+    'data-src="/x?id=widget"', "data-x='a class=nav b'", "data-id=widget lang=en",
+])
+def test_attributes_of_other_names_are_no_chrome(attributes):
+    assert main_text(f"<article {attributes}><p>{GOOD}</p></article>") == GOOD
+    assert main_text(f"<section {attributes}><p>{GOOD}</p></section>") == GOOD
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'lang="en" HIDDEN', "aria-hidden='true'", 'a="b"class="nav"', "id=sidebar"])
+def test_attributes_that_make_chrome(attributes):
+    assert main_text(f"<section {attributes}><p>{GOOD}</p></section><p>{MORE}</p>") == MORE
