@@ -3,7 +3,8 @@
 A page is cut into blocks at block-level tags. The first pass decides blocks by where
 they stand (menus, forms, adverts and the like), link density, stop-word density and
 length. Blocks it leaves open, the short ones above all, take the label of the nearest
-decided block.
+decided block. Blocks outside an article are rejected for their place only if the article
+holds most of the accepted text.
 """
 
 from __future__ import annotations
@@ -193,9 +194,9 @@ def stop_density(text: str) -> float:
     return sum(w.strip(PUNCTUATION) in STOPS for w in words) / len(words) if words else 0.0
 
 
-def decide(block: Block, has_article: bool) -> bool | None:
+def decide(block: Block) -> bool | None:
     """First pass: main text, not main text, or left open."""
-    if block.chrome or (has_article and not block.article):
+    if block.chrome:
         return False
     if block.linked > LINK_DENSITY * len("".join(block.text.split())):
         return False
@@ -209,8 +210,13 @@ def decide(block: Block, has_article: bool) -> bool | None:
 def main_text(page: str | None) -> str:
     """The main text of a page: its blocks in order, joined by one space."""
     blocks = blocks_of(page or "")
-    has_article = any(b.article and not b.chrome for b in blocks)
-    labels = [decide(b, has_article) for b in blocks]
+    labels = [decide(b) for b in blocks]
+    inside = sum(len(b.text) for b, x in zip(blocks, labels) if x and b.article)
+    outside = sum(len(b.text) for b, x in zip(blocks, labels) if x and not b.article)
+    # Place outweighs the other rules only where the article holds most of what they accept.
+    has_article = any(b.article and not b.chrome for b in blocks) and inside >= outside
+    if has_article:
+        labels = [x if b.article else False for b, x in zip(blocks, labels)]
     # Inside an article, chrome says nothing about the text next to it.
     votes = [None if has_article and (b.chrome or not b.article) else x for b, x in zip(blocks, labels)]
     size = len(blocks)

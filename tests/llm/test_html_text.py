@@ -88,3 +88,13 @@ def test_attributes_of_other_names_are_no_chrome(attributes):
 @pytest.mark.parametrize("attributes", ["hidden", 'lang="en" HIDDEN', "aria-hidden='true'", 'a="b"class="nav"', "id=sidebar"])
 def test_attributes_that_make_chrome(attributes):
     assert main_text(f"<section {attributes}><p>{GOOD}</p></section><p>{MORE}</p>") == MORE
+
+
+def test_text_outside_a_small_article():
+    links = "".join(f'<li><a href="/{i}">Link number {i}</a></li>' for i in range(9))
+    card = "<article><h3>Teaser</h3><p>See also.</p></article>"
+    page = f"<ul>{links}</ul><div id=content><p>{GOOD}</p><p>{MORE}</p></div><ul>{links}</ul>{card}"
+    found = main_text(page)
+    assert f"{GOOD} {MORE}" in found and "Link" not in found
+    large = f"<article><p>{GOOD}</p><p>{MORE}</p></article><div><p>{GOOD}</p></div>"
+    assert main_text(large) == f"{GOOD} {MORE}"
