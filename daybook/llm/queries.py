@@ -191,17 +191,30 @@ from c left join best using (r)
 """
 
 
-#: What a finding of a known form looks like: a key id, or a value assigned to a secret's name.
+#: What a finding of a known form looks like: a key id, or a value with a digit assigned to a secret's
+#: name, which may have a prefix and a suffix. Known not to be secrets are runs of one kind of
+#: characters without such a name; all other forms have no label.
 KEY_ID = r"^AKIA[A-Z2-7]{16}$"
-ASSIGNED_SECRET = r"(?i)\b(token|password|secret|api_key)\s*[=:]\s*[\"']?$"
+ASSIGNED_SECRET = (
+    r"(?i)(token|passw(or)?d|passphrase|pwd|secret|credential|(api|access|private|auth|secret)[_\-]?key)s?"
+    r"([_\-][A-Za-z0-9_\-]{0,40}|[0-9]{0,4})[\"']?\s{0,8}(=>|:=|[=:])\s{0,8}[\"']?$"
+)
+PLAIN = r"^([0-9_+/\-]+|[A-Z]?[a-z_+/\-]+|[A-Z_+/\-]+)$"
+
+
+def _secret_label() -> Column:
+    candidate, named = F.col("candidate"), F.col("before").rlike(ASSIGNED_SECRET)
+    return (
+        F.when(candidate.rlike(KEY_ID) | (named & candidate.rlike("[0-9]")), 1)
+        .when(candidate.rlike(PLAIN) & ~named, 0)
+    )
 
 
 @query
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No table holds labelled findings: those of a known form count as labelled 1, others 0."""
-    known = F.col("candidate").rlike(KEY_ID) | F.col("before").rlike(ASSIGNED_SECRET)
+    """No table holds labelled findings: known forms count as labelled, unknown forms have no label."""
     return secret_scan.scan(
-        read_table(spark, sf_dir, "documents"), label=known.cast("int"), learn=~quality.held_out(F.col("id"))
+        read_table(spark, sf_dir, "documents"), label=_secret_label(), learn=~quality.held_out(F.col("id"))
     )
 
 

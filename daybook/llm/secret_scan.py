@@ -1,6 +1,7 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-Every long run of key characters is a candidate. A forest trained on labelled findings
+Every long run of key characters is a candidate, and every value behind a secret's name
+and an assignment. A forest trained on labelled findings
 judges it by its length, its changes between kinds of characters, how much of it is made
 of dictionary words, the path it lies in, and the words next to it. The trees become one
 column expression, so scanning uses DataFrame functions only.
@@ -20,6 +21,10 @@ from daybook.llm.common import staged
 #: A run of key characters, base64 padding included.
 CANDIDATE = r"[A-Za-z0-9_+/\-]{16,}={0,2}"
 LEAST_RUN = 16
+#: The name of a secret with an assignment, and then a value in quotes or without blanks.
+NAMED = r"(?:token|secret|passw|pwd|key|auth|credential|bearer)[A-Za-z0-9_\-]{0,40}+[\"']?\s{0,8}(?:=>|:=|=|:)\s{0,8}"
+ASSIGNED = rf"(?i){NAMED}(?:\"[^\"\n]{{6,}}+(?=\")|'[^'\n]{{6,}}+(?=')|[\"']?[^\s\"',;<>]{{6,}})"
+LEAST_ASSIGNED = 10
 #: Without a digit only longer runs are candidates.
 LETTERS_ONLY = 20
 #: Characters of the text kept on either side of a candidate, other candidates included.
@@ -60,22 +65,39 @@ def _context(least: int) -> tuple[str, str]:
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                path_col: str = "source") -> DataFrame:
-    """One row per candidate: id, path, nth (of its text), candidate, before, after."""
+    """One row per candidate: id, path, nth (of its text), candidate, before, after.
+
+    Assigned values that are no run of key characters are numbered behind the runs.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    before, after = _context(LEAST_RUN)
-    return (
-        docs.select(
-            F.col(id_col).alias("id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"),
-            F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("found"),
-            F.split(text, CANDIDATE, -1).alias("around"),
-        )
-        .select("id", "path", F.explode(F.expr(
+    texts = docs.select(
+        F.col(id_col).alias("id"), F.coalesce(F.col(path_col).cast("string"), F.lit("")).alias("path"),
+        text.alias("text"),
+    )
+
+    def matches(pattern: str, least: int) -> DataFrame:
+        before, after = _context(least)
+        return texts.select(
+            "id", "path", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("found"),
+            F.split("text", pattern, -1).alias("around"),
+            F.size(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).alias("runs"),
+        ).where(F.size("found") > 0).select("id", "path", "runs", F.explode(F.expr(
             "transform(found, (f, j) -> named_struct('nth', j + 1, 'candidate', f, "
             f"'before', {before}, 'after', {after}))"
-        )).alias("f"))
-        .select("id", "path", "f.*")
-        .where((F.length("candidate") >= LETTERS_ONLY) | F.col("candidate").rlike("[0-9]"))
+        )).alias("f")).select("id", "path", "runs", "f.*")
+
+    is_run = (F.length("candidate") >= LETTERS_ONLY) | F.col("candidate").rlike("[0-9]")
+    head = F.regexp_extract("candidate", f"^(?i){NAMED}[\"']?", 0)
+    assigned = (
+        matches(ASSIGNED, LEAST_ASSIGNED)
+        .withColumn("head", head)
+        .withColumn("candidate", F.expr("substring(candidate, length(head) + 1)"))
+        .withColumn("before", F.expr(f"right(concat(before, head), {CONTEXT})"))
+        .where(~(F.col("candidate").rlike(f"^(?:{CANDIDATE})$") & is_run))
+        .withColumn("nth", F.col("runs") + F.col("nth"))
     )
+    columns = ["id", "path", "nth", "candidate", "before", "after"]
+    return matches(CANDIDATE, LEAST_RUN).where(is_run).select(columns).union(assigned.select(columns))
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY_WORDS) -> list[str]:

@@ -93,3 +93,21 @@ def test_context_reaches_over_other_candidates(spark):
         assert r.before == texts[r.id][max(0, at - 48):at]
         assert r.after == texts[r.id][at + len(r.candidate):][:48]
     assert [(r.key_word, r.assigned) for r in found if r.candidate == value] == [(1, 1), (1, 1)]
+
+
+def test_short_and_punctuated_values_and_long_names(spark):
+    from daybook.llm.queries import _secret_label
+    long = "0123456789abcdefABCD"
+    rows = [(1, 'my password = "hunter2Xy9" end', "hunter2Xy9", 1), (2, "db_password='p@ss w0rd!x' end", "p@ss w0rd!x", 1),
+            (3, f'access_token = "{long}"', long, 1), (4, f"client_secret: {long}", long, 1),
+            (5, f"AUTH_TOKEN={long}", long, 1), (6, f'{{"client_secret_b": "{long}"}}', long, 1),
+            (7, f"see {long} there", long, None), (8, "number 9807915762804490 in", "9807915762804490", 0),
+            (9, "password: required", "required", None)]
+    docs = spark.createDataFrame([(i, t, "p") for i, t, _, _ in rows], "doc_id long, text string, source string")
+    found = secret_scan.candidates(docs).withColumn("label", _secret_label()).collect()
+    assert sorted((r.id, r.candidate, r.label) for r in found) == [(i, c, y) for i, _, c, y in rows]
+    texts = {i: t for i, t, _, _ in rows}
+    for r in found:
+        at = texts[r.id].index(r.candidate)
+        assert r.before == texts[r.id][max(0, at - 48):at]
+        assert r.after == texts[r.id][at + len(r.candidate):][:48]
