@@ -30,9 +30,14 @@ LETTERS_ONLY = 20
 #: Characters of the text kept on either side of a candidate, other candidates included.
 CONTEXT = 48
 
-#: Words of the corpus that make up the dictionary, and their least length.
-DICTIONARY_WORDS = 100
+#: The dictionary is all words of the corpus that occur so often, of so many letters.
+WORD_COUNT = 5
 LEAST_WORD = 3
+LONGEST_WORD = 32
+#: Characters of a candidate whose words are looked for together.
+PART = 256
+#: Slices over which rows of one word or one candidate are dealt in joins.
+SLICES = 16
 
 KEY_WORDS = r"(?i)(token|secret|passw|pwd|key|auth|credential|bearer|access)[A-Za-z_\-]*\W*$"
 TEST_PATHS = r"(?i)(test|example|sample|mock|fixture|doc|vendor|node_modules)"
@@ -100,18 +105,60 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return matches(CANDIDATE, LEAST_RUN).where(is_run).select(columns).union(assigned.select(columns))
 
 
-def dictionary(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY_WORDS) -> list[str]:
-    """The most frequent words a-z of all texts, of equal ones the first; at most ``words``."""
+def dictionary(docs: DataFrame, text_col: str = "text", times: int = WORD_COUNT) -> DataFrame:
+    """All words a-z (word) that occur at least ``times`` times in the texts."""
     split = F.split(F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))), "[^a-z]+")
-    counted = (
+    return (
         docs.select(F.explode(split).alias("word"))
-        .where(F.length("word") >= LEAST_WORD).groupBy("word").count()
+        .where(F.length("word").between(LEAST_WORD, LONGEST_WORD)).groupBy("word").count()
+        .where(F.col("count") >= times).select("word")
     )
-    return [r["word"] for r in counted.orderBy(F.desc("count"), "word").limit(words).collect()]
 
 
-def with_features(found: DataFrame, words: list[str]) -> DataFrame:
-    """Candidates with the statistics the forest judges by."""
+def _dealt_join(rows: DataFrame, lookup: DataFrame, key: str, deal_by: list[str], how: str) -> DataFrame:
+    """Join with one row per key, rows of a hot key dealt over slices."""
+    dealt = rows.withColumn("_slice", F.pmod(F.xxhash64(*deal_by), F.lit(SLICES)).cast("int"))
+    copies = lookup.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))))
+    return dealt.join(copies, [key, "_slice"], how).drop("_slice")
+
+
+def coverage(found: DataFrame, words: DataFrame) -> DataFrame:
+    """How many characters of each candidate (by its MD5, ``digest``) lie in dictionary words."""
+    text = F.lower("candidate")
+    distinct = found.select("candidate").distinct()
+    parts = distinct.select(
+        F.md5("candidate").alias("digest"), F.posexplode(F.transform(
+            F.sequence(F.lit(0), F.floor(F.length("candidate") / PART).cast("int")),
+            lambda i: F.substring(text, i * PART + 1, F.lit(PART + LONGEST_WORD - 1)),
+        )).alias("part", "text"),
+    )
+    # Letters from each place on; every beginning of them may be a word.
+    places = parts.select(
+        "digest", "part", "text", F.explode(F.sequence(F.lit(1), F.lit(PART))).alias("place")
+    ).select(
+        "digest", (F.col("part") * PART + F.col("place")).alias("start"),
+        F.regexp_extract(F.substring("text", F.col("place"), F.lit(LONGEST_WORD)), "^[a-z]+", 0).alias("letters"),
+    ).where(F.length("letters") >= LEAST_WORD)
+    strings = places.select(
+        "digest", "start", "letters", F.explode(F.sequence(F.lit(LEAST_WORD), F.length("letters"))).alias("size")
+    ).select("digest", "start", "size", F.substring("letters", F.lit(1), F.col("size")).alias("word"))
+    met = _dealt_join(strings, words, "word", ["digest", "start"], "inner")
+    spans = met.groupBy("digest", "start").agg(F.max("size").alias("size"))
+    return spans.groupBy("digest").agg(
+        F.array_sort(F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("stop")))).alias("spans")
+    ).select("digest", F.expr(
+        "aggregate(spans, named_struct('stop', 0, 'n', 0), (s, x) -> named_struct('stop', greatest(s.stop, x.stop), "
+        "'n', s.n + greatest(0, x.stop - greatest(s.stop, x.start))), s -> s.n)"
+    ).alias("covered"))
+
+
+def with_features(found: DataFrame, words: DataFrame | list[str]) -> DataFrame:
+    """Candidates with the statistics the forest judges by; ``words`` is the dictionary."""
+    if isinstance(words, list):
+        words = found.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    found = _dealt_join(
+        found.withColumn("digest", F.md5("candidate")), coverage(found, words), "digest", ["id", "nth"], "left"
+    )
     text, before = F.col("candidate"), F.col("before")
     lower = "abcdefghijklmnopqrstuvwxyz"
     kinds = F.translate(text, lower + lower.upper() + "0123456789", "a" * 26 + "A" * 26 + "9" * 10)
@@ -120,15 +167,12 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
     def share(pattern: str) -> Column:
         return 1 - F.length(F.regexp_replace(text, pattern, "")) / size
 
-    # Longer words first, so that the longest one that fits is taken out.
-    ordered = "|".join(sorted(words, key=lambda w: (-len(w), w)))
-    rest = F.regexp_replace(F.lower(text), ordered, "") if words else text
     return found.select(
         "*", size.alias("length"),
         (F.length(F.regexp_replace(kinds, r"(.)\1+", "$1")) - 1).cast("double").alias("changes"),
         share("[0-9]").alias("digits"), share("[A-Z]").alias("uppers"),
         (F.size(F.array_distinct(F.split(text, ""))) / size).alias("distinct"),
-        share("[0-9a-f]").alias("hex"), (1 - F.length(rest) / size).alias("coverage"),
+        share("[0-9a-f]").alias("hex"), (F.coalesce("covered", F.lit(0)) / size).alias("coverage"),
         F.length(F.regexp_replace("path", "[^/]", "")).cast("double").alias("path_depth"),
         F.col("path").rlike(TEST_PATHS).cast("double").alias("test_path"),
         before.rlike(KEY_WORDS).cast("double").alias("key_word"),
@@ -182,9 +226,9 @@ def scan(docs: DataFrame, label: Column, learn: Column, threshold: float = 0.5,
     * Repeated rows give repeated findings. Without texts, or without candidates, there
       are no rows. Other columns are ignored. Texts of any length are scanned whole.
     """
-    words = dictionary(docs, text_col)
+    plain = staged(candidates(docs, id_col, text_col, path_col), "secret-plain")
     found = staged(
-        with_features(candidates(docs, id_col, text_col, path_col), words)
+        with_features(plain, dictionary(docs, text_col))
         .withColumn("label", label.cast("int"))
         .withColumn("held_out", ~F.coalesce(learn, F.lit(False))),
         "secret-candidates",

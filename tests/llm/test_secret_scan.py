@@ -111,3 +111,17 @@ def test_short_and_punctuated_values_and_long_names(spark):
         at = texts[r.id].index(r.candidate)
         assert r.before == texts[r.id][max(0, at - 48):at]
         assert r.after == texts[r.id][at + len(r.candidate):][:48]
+
+
+def test_dictionary_beyond_the_most_frequent_words(spark):
+    letters = "bcdfghjklm"
+    words = [f"{a}o{b}i{c}" for a in letters for b in letters for c in letters[:3]]
+    texts = [(i, " ".join(words)) for i in range(5)] + [(9, "rare " + words[-1] + "_" + words[-2] + words[-3] + "/x1x1")]
+    docs = spark.createDataFrame([(*t, "p") for t in texts], "doc_id long, text string, source string")
+    known = secret_scan.dictionary(docs)
+    assert {r.word for r in known.collect()} == set(words)
+    found = secret_scan.with_features(secret_scan.candidates(docs), known).collect()
+    assert [r.coverage for r in found] == [pytest.approx(15 / 21)]
+    long = spark.createDataFrame([(1, "p", 1, "1" * 250 + words[0] * 100 + "x", "", "")],
+                                 "id long, path string, nth int, candidate string, before string, after string")
+    assert secret_scan.with_features(long, known).first().coverage == pytest.approx(500 / 751)
