@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm import (
-    decontaminate, exact_dedup, html_text, lm, quality, secret_scan, sentencepiece_viterbi, simhash,
-    suffix_dedup, url_filter,
+    decontaminate, doubling, exact_dedup, hard_negatives, html_text, lm, quality, secret_scan,
+    sentencepiece_viterbi, simhash, spelling, suffix_dedup, url_filter,
 )
 from daybook.llm.common import read_table
 
@@ -231,3 +231,83 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = doubling.repeated_passages(read_table(spark, sf_dir, "documents"), window=50)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE["op11_substring_dedup"] = r"""
+with d as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as words
+  from documents
+),
+starts as (
+  select doc_id, unnest(range(1, greatest(len(words) - 48, 1))) as i from d
+),
+hashed as (
+  select s.doc_id, s.i, md5(array_to_string(d.words[s.i:s.i + 49], ' ')) as name
+  from starts s join d using (doc_id)
+),
+gone as (
+  select doc_id, i
+  from (select *, min(doc_id) over (partition by name) as first from hashed)
+  where first < doc_id
+),
+covered as (
+  select doc_id, list_distinct(flatten(list(range(i, i + 50)))) as places from gone group by doc_id
+),
+kept as (
+  select d.doc_id, len(d.words) as n_words, coalesce(len(c.places), 0) as n_removed,
+         case when c.places is null then d.words
+              else list_transform(list_sort(list_where(range(1, len(d.words) + 1),
+                     list_transform(range(1, len(d.words) + 1), lambda k: not list_contains(c.places, k)))), lambda k: d.words[k])
+         end as words
+  from d left join covered c using (doc_id)
+)
+select doc_id, n_words, n_removed, sha256(array_to_string(words, ' ')) as kept_sha256 from kept
+"""
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.vocabulary(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number, label = F.col("vec_id"), F.col("label")
+    noisy = F.when(number % 7 == 0, F.pmod(label + 1, F.lit(10))).otherwise(label)
+    return hard_negatives.hard_negatives(
+        read_table(spark, sf_dir, "embeddings"), label=noisy, anchor=number % 100 == 0
+    )
+
+
+ORACLE["op13_hard_negatives"] = r"""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as ints
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)
+),
+scored as (
+  select a.vec_id as anchor_id, r.vec_id, r.label = a.label as same,
+         list_inner_product(a.ints, r.ints)::bigint as score
+  from v a join v r on a.vec_id <> r.vec_id
+  where a.vec_id % 100 = 0
+),
+positive as (
+  select anchor_id, vec_id as positive_id, score as positive_score
+  from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, p.positive_id,
+       row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id)::integer as rank,
+       s.vec_id as negative_id, p.positive_score, s.score as negative_score
+from positive p join scored s on p.anchor_id = s.anchor_id
+where not s.same and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
+qualify row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) <= 10
+"""
