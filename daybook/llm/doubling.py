@@ -7,15 +7,16 @@ is looked at again at twice that length:
 1. Half a window. Each full window is represented by the smallest hash among its half-length
    windows, so equal windows share it, and consecutive windows mostly share one. Only
    windows whose half repeats in another document go on (all others are unique).
-2. Full windows, then windows of 2, 4, 8, ... times the length, at the places where a
-   representative begins, until none repeats any more. A window that repeats in a smaller
-   document proves at once that every full window inside it goes.
-3. Full windows that are candidates and not proved yet are decided one by one. These are
-   the first copies of passages and the ends of later ones.
+2. Full windows, then windows of 2, 4, 8, ... times the length, at places chosen by their
+   representatives (fewer for each length), until none repeats any more. A window that
+   repeats in a smaller document proves at once that every full window inside it goes.
+3. Full windows that are not proved yet are decided one by one, if a smaller document holds
+   their half: these are the ends of passages. So are, as witnesses, the unproved windows of
+   other documents with the same half.
 
 Windows are compared by 128 bits of two independent polynomial hashes. Groups are combined
-before a shuffle (smallest and largest id), and texts are read again only where they hold
-candidates, so a passage in a third of all documents costs one row per task.
+before a shuffle (smallest and largest id), and only texts with candidates are kept, so a
+passage in a third of all documents costs one row per task.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from daybook.llm.words import BASE, INVERSE, mixed, powers
 
 #: Words of a window.
 WINDOW = 50
+#: One of so many places in a row is doubled at the first two lengths, of twice as many at the next ...
+SPARSE = 3
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
@@ -105,17 +108,14 @@ def _lists(owner: np.ndarray, texts: int, *values: np.ndarray) -> list[pa.Array]
 
 
 def _base(window: int):
-    half_type = pa.list_(pa.int64())
-
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            for first, data, ends in text_chunks(texts):
+            for first, data, ends in text_chunks(batch.column("text")):
                 part = batch.slice(first, len(ends))
                 chunk = Chunk(data, ends)
                 at, low = chunk.representatives(window)
+                # One key per text and representative.
                 owner = chunk.text[at]
-                # One key per text and run of windows that share it; repeats within a text go.
                 new = np.ones(len(at), bool)
                 new[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
                 order = np.lexsort((low[new], owner[new]))
@@ -123,70 +123,98 @@ def _base(window: int):
                 new = np.ones(len(low), bool)
                 new[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
                 keys, = _lists(owner[new], len(ends), low[new].view(np.int64))
-                words = np.diff(chunk.first)
                 starts = np.concatenate(([0], ends[:-1]))
                 sha = [
                     hashlib.sha256(b" ".join(data[a:b].tobytes().split())).digest()
                     for a, b in zip(starts.tolist(), ends.tolist())
                 ]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("row"), part.column("id"), part.column("text"),
-                    pa.array(words.astype(np.int64)), pa.array(sha, pa.binary()), keys.cast(half_type),
-                ], ["row", "id", "text", "n_words", "sha", "keys"])
+                    part.column("row"), part.column("doc"), part.column("id"),
+                    pa.array(np.diff(chunk.first).astype(np.int64)), pa.array(sha, pa.binary()), keys,
+                ], ["row", "doc", "id", "n_words", "sha", "keys"])
 
     return read
 
 
+def _sliding(lower: np.ufunc, values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest (or largest) of each ``width`` values in a row."""
+    done = 1
+    while done < width and len(values):
+        step = min(done, width - done)
+        values = lower(values[:-step], values[step:])
+        done += step
+    return values
+
+
+def _sparse(low: np.ndarray, width: int) -> np.ndarray:
+    """Which values are the smallest of some ``width`` values in a row."""
+    if len(low) < width:
+        return np.zeros(len(low), bool)
+    edge = np.zeros(width - 1, low.dtype)
+    return _sliding(np.maximum, np.concatenate((edge, _sliding(np.minimum, low, width), edge)), width) == low
+
+
 def _candidates(window: int):
-    """Candidate windows of texts, as runs, and the windows that are doubled."""
+    """Candidate windows of texts, as runs of one representative, and windows to double."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits = batch.column("hits")
             for first, data, ends in text_chunks(batch.column("text")):
                 part = batch.slice(first, len(ends))
                 chunk = Chunk(data, ends)
                 at, low = chunk.representatives(window)
                 owner = chunk.text[at]
-                held = np.zeros(len(at), bool)
-                edges = np.searchsorted(owner, np.arange(len(ends) + 1))
-                for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-                    keys = hits[first + i].values.to_numpy(zero_copy_only=False).view(np.uint64)
-                    held[a:b] = np.isin(low[a:b], keys)
+                held = _asked(low, owner, batch.column("keys"), first, len(ends))
                 at, low, owner = at[held], low[held], owner[held]
-                place = at - chunk.first[owner]
-                joined = np.zeros(len(at) + 1, bool)
-                joined[1:-1] = (at[1:] == at[:-1] + 1) & (owner[1:] == owner[:-1])
-                opens, closes = np.flatnonzero(~joined[:-1]), np.flatnonzero(~joined[1:])
-                runs = _lists(owner[opens], len(ends), place[opens].astype(np.int32),
-                              place[closes].astype(np.int32) + 1)
-
-                begin = ~joined[:-1]
-                begin[1:] |= low[1:] != low[:-1]
-                begin = np.flatnonzero(begin)
+                place = (at - chunk.first[owner]).astype(np.int32)
+                new = np.ones(len(at) + 1, bool)
+                new[1:-1] = (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1]) | (low[1:] != low[:-1])
+                begin, end = np.flatnonzero(new[:-1]), np.flatnonzero(new[1:])
+                runs = _lists(owner[begin], len(ends), place[begin], place[end] + np.int32(1),
+                              low[begin].view(np.int64))
+
+                # Each start is doubled as long as it is chosen and its text is long enough.
                 left = chunk.first[owner[begin] + 1] - at[begin]
-                whole: list[tuple[np.ndarray, ...]] = []
+                depth = np.zeros(len(begin), np.int64)
                 for level in count():
-                    length = window << level
-                    begin, left = begin[left >= length], left[left >= length]
-                    if not len(begin):
+                    on = (depth == level) & (left >= window << level)
+                    on &= _sparse(low[begin], SPARSE << max(level - 1, 0))
+                    if not on.any():
                         break
-                    whole.append((
-                        owner[begin], place[begin].astype(np.int32), np.full(len(begin), level, np.int32),
-                        *(chunk.names(at[begin], length, k).view(np.int64) for k in (0, 1)),
-                    ))
-                columns = [np.concatenate(c) for c in zip(*whole)] if whole else [
-                    np.empty(0, t) for t in (np.int64, np.int32, np.int32, np.int64, np.int64)]
-                order = np.argsort(columns[0], kind="stable")
-                doubled = _lists(columns[0][order], len(ends), *(c[order] for c in columns[1:]))
+                    depth[on] += 1
+                some = depth > 0
+                begin, depth = begin[some], depth[some]
+                start = np.repeat(at[begin], depth)
+                offsets = np.concatenate(([0], np.cumsum(depth)))
+                length = window << (np.arange(len(start)) - np.repeat(offsets[:-1], depth))
+                names = [
+                    pa.ListArray.from_arrays(
+                        pa.array(offsets.astype(np.int32)), pa.array(chunk.names(start, length, k).view(np.int64))
+                    ) for k in (0, 1)
+                ]
+                doubled = _lists(owner[begin], len(ends), place[begin], *names)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("id"), part.column("text"), *runs, *doubled],
-                    ["row", "id", "text", "from", "to", "at", "level", "x", "y"],
+                    [part.column("doc"), part.column("id"), part.column("text"), *runs, *doubled],
+                    ["doc", "id", "text", "from", "to", "key", "at", "xs", "ys"],
                 )
 
     return read
 
 
+def _asked(low: np.ndarray, owner: np.ndarray, keys: pa.Array, first: int, texts: int) -> np.ndarray:
+    """Which windows have a representative among the keys of their text."""
+    held = np.zeros(len(low), bool)
+    edges = np.searchsorted(owner, np.arange(texts + 1))
+    for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        held[a:b] = np.isin(low[a:b], _numbers(keys, first + i).view(np.uint64))
+    return held
+
+
+def _numbers(column: pa.Array, i: int) -> np.ndarray:
+    values = column[i].values
+    return np.empty(0, np.int64) if values is None else values.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _covered(size: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """Which of ``size`` places lie in one of the ranges."""
     depth = np.zeros(size + 1, np.int64)
@@ -195,36 +223,48 @@ def _covered(size: int, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     return np.cumsum(depth)[:size] > 0
 
 
-def _numbers(column: pa.Array, i: int) -> np.ndarray:
-    values = column[i].values
-    return np.empty(0, np.int64) if values is None else values.to_numpy(zero_copy_only=False).astype(np.int64)
+def _undecided(window: int):
+    """Representatives that a smaller document holds, too, of windows without a proof."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.empty(0, np.int64)]
+            for i in range(batch.num_rows):
+                begin, end, key, proved_from, proved_to = (
+                    _numbers(batch.column(c), i) for c in ("from", "to", "key", "a", "b")
+                )
+                free = ~_covered(int(end.max(initial=0)), proved_from,
+                                 np.minimum(proved_to - (window - 1), end.max(initial=0)))
+                so_far = np.concatenate(([0], np.cumsum(free)))
+                open_ = key[so_far[end] > so_far[begin]]
+                found.append(open_[np.isin(open_, _numbers(batch.column("later"), i))])
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)))], ["key"])
+
+    return read
 
 
 def _unproved(window: int):
-    """Candidate windows that no longer window has proved: (row, id, at, x, y)."""
+    """Windows with a representative that is asked for and without a proof: (doc, id, at, x, y)."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, data, ends in text_chunks(batch.column("text")):
                 chunk = Chunk(data, ends)
-                places, rows = [], []
-                for i in range(len(ends)):
-                    a, b = chunk.first[i], chunk.first[i + 1]
-                    opens, closes = (_numbers(batch.column(c), first + i) for c in ("from", "to"))
+                at, low = chunk.representatives(window)
+                owner = chunk.text[at]
+                held = _asked(low, owner, batch.column("keys"), first, len(ends))
+                edges = np.searchsorted(owner, np.arange(len(ends) + 1))
+                for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
                     proved_from, proved_to = (_numbers(batch.column(c), first + i) for c in ("a", "b"))
-                    held = _covered(b - a, opens, closes)
                     # A window is proved if it lies inside one proof.
-                    held &= ~_covered(b - a, proved_from, proved_to - (window - 1))
-                    at = np.flatnonzero(held)
-                    places.append(at)
-                    rows.append(np.full(len(at), first + i))
-                at, owner = np.concatenate(places), np.concatenate(rows)
-                begin = at + chunk.first[owner - first]
+                    held[a:b] &= ~_covered(b - a, proved_from, proved_to - (window - 1))
+                at, owner = at[held], owner[held]
+                row = pa.array(first + owner)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("row").take(pa.array(owner)), batch.column("id").take(pa.array(owner)),
-                    pa.array(at.astype(np.int32)),
-                    *(pa.array(chunk.names(begin, window, k).view(np.int64)) for k in (0, 1)),
-                ], ["row", "id", "at", "x", "y"])
+                    batch.column("doc").take(row), batch.column("id").take(row),
+                    pa.array((at - chunk.first[owner]).astype(np.int32)),
+                    *(pa.array(chunk.names(at, window, k).view(np.int64)) for k in (0, 1)),
+                ], ["doc", "id", "at", "x", "y"])
 
     return read
 
@@ -242,10 +282,10 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append(int(gone.sum()))
             kept.append(b" ".join(words[a] for a in np.flatnonzero(~gone).tolist()))
         yield pa.RecordBatch.from_arrays([
-            batch.column("row"), pa.array(removed, pa.int64()), pa.array(spans, span),
+            batch.column("doc"), pa.array(removed, pa.int64()), pa.array(spans, span),
             pa.array([k.decode() for k in kept], pa.string()),
-            pa.array([hashlib.sha256(k).digest() for k in kept], pa.binary()),
-        ], ["row", "n_removed", "spans", "kept", "kept_sha"])
+            pa.array([hashlib.sha256(k).digest() for k in kept], pa.binary()), batch.column("reach"),
+        ], ["doc", "n_removed", "spans", "kept", "kept_sha", "reach"])
 
 
 def _earlier(first: Column, own: Column) -> Column:
@@ -283,69 +323,87 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
     if window < 1:
         raise ValueError("a window has one word at least")
     kind = docs.schema[id_col].dataType.simpleString()
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    # A document is known by a hash of its id and text: the texts are read again, not stored.
+    name = F.col("id").cast("string")
+    doc = F.unhex(F.md5(F.concat(
+        F.when(name.isNull(), "n").otherwise(F.concat(F.lit("v"), F.length(name), F.lit(":"), name)).cast("binary"),
+        F.col("text").cast("binary"),
+    )))
+    texts = texts.select(doc.alias("doc"), "id", "text")
     base = staged(
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-        .withColumn("row", F.monotonically_increasing_id())
-        .mapInArrow(_base(window), f"row long, id {kind}, text string, n_words long, sha binary, keys array<long>")
-        .withColumn("text", F.when(F.col("n_words") >= window, F.col("text"))),
+        texts.withColumn("row", F.monotonically_increasing_id())
+        .mapInArrow(_base(window), f"row long, doc binary, id {kind}, n_words long, sha binary, keys array<long>"),
         "doubling-base",
     )
     halves = base.select("row", "id", F.explode("keys").alias("key"))
-    again = staged(_repeated(halves, ["key"]).select("key"), "doubling-halves")
-    hits = halves.join(again.hint("merge"), "key").groupBy("row").agg(F.collect_list("key").alias("hits"))
-    texts = staged(
-        base.select("row", "id", "text").join(hits.hint("merge"), "row").mapInArrow(
-            _candidates(window), f"row long, id {kind}, text string, from array<int>, to array<int>, "
-            "at array<int>, level array<int>, x array<long>, y array<long>"
-        ),
+    met = halves.join(_repeated(halves, ["key"]).hint("merge"), "key").groupBy("row").agg(
+        F.collect_list("key").alias("keys"),
+        F.collect_list(F.when(_earlier(F.col("first"), F.col("id")), F.col("key"))).alias("later"),
+    )
+    hits = staged(met.join(base.select("row", "doc").hint("merge"), "row").drop("row"), "doubling-halves")
+    held = staged(
+        # A text of fewer bytes has no window; equal documents are looked at once.
+        texts.where(F.octet_length("text") >= 2 * window - 1)
+        .join(hits.select("doc", "keys").hint("merge"), "doc").dropDuplicates(["doc"])
+        .mapInArrow(_candidates(window), f"doc binary, id {kind}, text string, from array<int>, to array<int>, "
+                    "key array<long>, at array<int>, xs array<array<long>>, ys array<array<long>>"),
         "doubling-candidates",
     )
-    proofs = staged(_doubled(texts, window), "doubling-proofs")
-    proved = proofs.groupBy("row").agg(F.collect_list("at").alias("a"), F.collect_list("stop").alias("b"))
+    proofs = staged(_doubled(held, window), "doubling-proofs")
+    proved = proofs.groupBy("doc").agg(F.collect_list("at").alias("a"), F.collect_list("stop").alias("b"))
+    later = hits.where(F.size("later") > 0).select("doc", "later").dropDuplicates(["doc"])
+    wanted = staged(
+        held.select("doc", "from", "to", "key").join(later.hint("merge"), "doc").join(proved.hint("merge"), "doc", "left")
+        .mapInArrow(_undecided(window), "key long").distinct(),
+        "doubling-undecided",
+    )
+    asked = held.select("doc", F.explode(F.array_distinct("key")).alias("key")).join(
+        wanted.hint("merge"), "key", "left_semi"
+    ).groupBy("doc").agg(F.collect_list("key").alias("keys"))
     rest = staged(
-        texts.select("row", "id", "text", "from", "to").join(proved.hint("merge"), "row", "left")
-        .mapInArrow(_unproved(window), f"row long, id {kind}, at int, x long, y long"),
+        held.select("doc", "id", "text").join(asked.hint("merge"), "doc").join(proved.hint("merge"), "doc", "left")
+        .mapInArrow(_unproved(window), f"doc binary, id {kind}, at int, x long, y long"),
         "doubling-rest",
     )
     single = rest.join(_repeated(rest, ["x", "y"]).hint("merge"), ["x", "y"]).where(
         _earlier(F.col("first"), F.col("id"))
-    ).select("row", "at", (F.col("at") + window).alias("stop"))
-    ranges = proofs.unionByName(single).groupBy("row").agg(
+    ).select("doc", "at", (F.col("at") + window).alias("stop"))
+    ranges = proofs.unionByName(single).groupBy("doc").agg(
         F.collect_list("at").alias("a"), F.collect_list("stop").alias("b"),
-        F.max(F.col("stop") - F.col("at")).alias("reach"),
+        F.max(F.col("stop") - F.col("at")).cast("long").alias("reach"),
     )
     gone = staged(
-        texts.select("row", "text").join(ranges.hint("merge"), "row").select("row", "text", "a", "b").mapInArrow(
-            _removed, "row long, n_removed long, spans array<struct<a:long,b:long>>, kept string, kept_sha binary"
-        ).join(ranges.select("row", "reach").hint("merge"), "row"),
+        held.select("doc", "text").join(ranges.hint("merge"), "doc").mapInArrow(
+            _removed, "doc binary, n_removed long, spans array<struct<a:long,b:long>>, kept string, "
+            "kept_sha binary, reach long"
+        ),
         "doubling-removed",
     )
-    return base.select("row", "id", "n_words", "sha").join(gone.hint("merge"), "row", "left").select(
+    return base.select("doc", "id", "n_words", "sha").join(gone.hint("merge"), "doc", "left").select(
         F.col("id").alias(id_col), "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("spans", F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)")).alias("spans"),
-        F.coalesce("reach", F.lit(0)).cast("long").alias("reach"), "kept",
+        F.coalesce("reach", F.lit(0).cast("long")).alias("reach"), "kept",
         F.lower(F.hex(F.coalesce("kept_sha", "sha"))).alias("kept_sha256"),
     )
 
 
-def _doubled(texts: DataFrame, window: int) -> DataFrame:
-    """Ranges (row, at, stop) whose words start in a smaller document, at doubled lengths."""
-    starts = staged(
-        texts.select("row", "id", F.inline(F.arrays_zip("at", "level", "x", "y"))), "doubling-starts"
-    )
+def _doubled(held: DataFrame, window: int) -> DataFrame:
+    """Ranges (doc, at, stop) whose words start in a smaller document, at doubled lengths."""
+    alive = held.select("doc", "id", F.inline(F.arrays_zip("at", "xs", "ys")))
     found = []
-    alive = None
     for level in count():
-        here = starts.where(F.col("level") == level)
-        if alive is not None:  # only what repeats at one length is looked at again at twice that length
-            here = here.join(alive.hint("merge"), ["row", "at"], "left_semi")
-        met = staged(
-            here.join(_repeated(here, ["x", "y"]).hint("merge"), ["x", "y"])
-            .select("row", "id", "at", "first"), f"doubling-{window << level}",
+        here = alive.where(F.size("xs") > level).select(
+            "doc", "id", "at", "xs", "ys", F.col("xs")[level].alias("x"), F.col("ys")[level].alias("y")
+        )
+        # Only what repeats at one length is looked at again at twice that length.
+        alive = staged(
+            here.join(_repeated(here.select("id", "x", "y"), ["x", "y"]).hint("merge"), ["x", "y"]).drop("x", "y"),
+            f"doubling-{window << level}",
         )
-        found.append(met.where(_earlier(F.col("first"), F.col("id"))).select(
-            "row", "at", (F.col("at") + (window << level)).alias("stop")
+        found.append(alive.where(_earlier(F.col("first"), F.col("id"))).select(
+            "doc", "at", (F.col("at") + (window << level)).alias("stop")
         ))
-        if met.isEmpty():
+        if alive.isEmpty():
             return reduce(DataFrame.unionByName, found)
-        alive = met.select("row", "at")
+        alive = alive.drop("first")
