@@ -2,6 +2,8 @@
 
 Partitioned writes are rebalanced by the partition key: AQE merges small pieces and
 cuts an oversized day into several files, so one hot partition is never one task.
+Partitions are replaced through the journal, so a job that breaks off is finished or
+undone by the next one.
 """
 
 from __future__ import annotations
@@ -9,57 +11,22 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
-from urllib.parse import unquote
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions import dates
+from daybook.operators import journal
+from daybook.operators.catalog import partition_columns
 from daybook.operators.filters import open_ended
-from daybook.session import ensure_dynamic_overwrite, scratch_database
-
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-#: Partitions named in one statement.
-DROP_AT_ONCE = 500
+from daybook.session import scratch_database
 
 #: Partition column of a keyed table, and the table property with the number of buckets.
 KEY_BUCKET = "key_bucket"
 BUCKETS_PROPERTY = "daybook.key_buckets"
 
 
-# --- table facts -------------------------------------------------------------
-
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-
-
-def existing_partitions(spark: SparkSession, table: str) -> set[tuple[str, ...]]:
-    """Partition values held by the catalog, as text; data files are not read."""
-    return {
-        tuple(unquote(part.split("=", 1)[1]) for part in row["partition"].split("/"))
-        for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
-    }
-
-
-def drop_partitions(
-    spark: SparkSession, table: str, columns: list[str], values: Iterable[tuple[str, ...]]
-) -> None:
-    def spec(value: tuple[str, ...]) -> str:
-        terms = [
-            f"`{c}` = null" if v == NULL_PARTITION else f"`{c}` = '" + v.replace("'", "\\'") + "'"
-            for c, v in zip(columns, value)
-        ]
-        return f"PARTITION ({', '.join(terms)})"
-
-    specs = [spec(value) for value in sorted(values)]
-    for first in range(0, len(specs), DROP_AT_ONCE):
-        some = ", ".join(specs[first:first + DROP_AT_ONCE])
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {some}")
-
-
 def align(df: DataFrame, table: str) -> DataFrame:
     """Project to the target's columns in the target's order; a missing one is an error."""
     target = df.sparkSession.table(table).columns
@@ -111,8 +78,7 @@ def full_refresh(df: DataFrame, table: str, staged: bool = False) -> bool:
     if not keys:
         align(df, table).write.insertInto(table, overwrite=True)
         return True
-    written = _overwrite_partitions(df, table, keys)
-    drop_partitions(spark, table, keys, existing_partitions(spark, table) - written)
+    journal.replace(_as_stored(df, table, keys), table, keys)
     return True
 
 
@@ -142,18 +108,13 @@ def replace_partitions(
 
     Partitions ``if_filled`` are replaced too where the frame has rows of them, else kept.
 
-    Dynamic overwrite swaps each partition that has new rows in one commit. A listed
-    partition without new rows is dropped afterwards, as it would otherwise keep
-    its old ones. Which partitions got rows is observed while writing, so the
-    frame is computed once.
+    A listed partition without new rows is emptied. The frame is computed once, and all
+    partitions change together or not at all: see :mod:`daybook.operators.journal`.
     """
     if not df.columns:
         return False
-    spark = df.sparkSession
     rows = df.where(F.col(key).isin([*window, *(if_filled or [])]))
-    written = _overwrite_partitions(rows, table, [key])
-    listed = {(v,) for v in window}
-    drop_partitions(spark, table, [key], (existing_partitions(spark, table) & listed) - written)
+    journal.replace(_as_stored(rows, table, [key]), table, [key], [(v,) for v in window])
     return True
 
 
@@ -192,9 +153,7 @@ def replace_observed(df: DataFrame, table: str, key: str, today: dt.date, days:
     """Rows from ``days`` days ago on replace exactly the partitions they fall in."""
     if not df.columns:
         return False
-    ensure_dynamic_overwrite(df.sparkSession)
-    rows = align(open_ended(df, today, days, key), table)
-    rows.hint("rebalance", key).write.insertInto(table, overwrite=True)
+    journal.replace(_as_stored(open_ended(df, today, days, key), table, [key]), table, [key], [])
     return True
 
 
@@ -339,7 +298,7 @@ def upsert_table(new: DataFrame, table: str, keys: list[str], latest_by: str | N
             lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_touched_{p}")) for p in parts]
         )
         old = old.join(named, same, "left_semi")
-        _overwrite_partitions(upsert(old, new, keys, latest_by), table, parts)
+        journal.replace(_as_stored(upsert(old, new, keys, latest_by), table, parts), table, parts, [])
     else:
         full_refresh(upsert(old, new, keys, latest_by), table, staged=True)
 
@@ -364,24 +323,3 @@ def _as_stored(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
 
     rows = align(df, table)
     return rows.select(*[stored(c) for c in rows.columns])
-
-
-def _overwrite_partitions(df: DataFrame, table: str, keys: list[str]) -> set[tuple[str, ...]]:
-    """Dynamic overwrite; returns the partitions that got rows, as text."""
-    spark = df.sparkSession
-    ensure_dynamic_overwrite(spark)
-    rows = _as_stored(df, table, keys)
-    seen = F.collect_set(F.array(*[F.coalesce(F.col(k).cast("string"), F.lit(NULL_PARTITION)) for k in keys]))
-    watch = Observation()
-    rows.observe(watch, seen.alias("partitions")).hint("rebalance", *keys).write.insertInto(
-        table, overwrite=True
-    )
-    try:
-        found = watch.get["partitions"]
-    except Py4JJavaError:
-        # The observation is optimised away when the frame turns out to be empty. Without
-        # one of a frame with rows nobody knows what was written: then nothing is dropped.
-        if not rows.isEmpty():
-            raise
-        return set()
-    return {tuple(p) for p in found}

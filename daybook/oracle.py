@@ -259,6 +259,7 @@ ORACLE: dict[str, str] = {
         cast(year(l_shipdate) as int) as year, nullif(l_returnflag, 'N') as flag from lineitem""",
     "replace_all_rows": "select * from customer where c_mktsegment <> 'BUILDING'",
     "partition_replace": replaced(between("2023-12-24", "2024-01-24")),
+    "partition_replace_recovered": replaced(between("2023-12-24", "2024-01-24")),
     "partition_replace_one_day": replaced("date = '2024-01-24T00:00:00'"),
     "current_day_refresh": replaced("date = '2024-01-25T00:00:00'"),
     "current_day_refresh_stream": replaced("date = '2024-01-25T00:00:00'"),

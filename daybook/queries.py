@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from daybook import schemas
 from daybook.functions import dates, text
-from daybook.operators import filters, ids, incremental, shape, tables, wide
+from daybook.operators import filters, ids, incremental, journal, shape, tables, wide
 from daybook.operators.joins import broadcast_when_small
 from daybook.plans import hr_views as hr
 from daybook.plans import jobs
@@ -305,6 +305,20 @@ def partition_replace(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(target)
 
 
+@query
+def partition_replace_recovered(spark: SparkSession, sf: str) -> DataFrame:
+    """The window replaced by a job that broke off, behind one that broke off before it had rows."""
+    target, fresh = _day_table(spark, sf, "recovered")
+    window = [(d,) for d in dates.last_n_day_texts(TODAY, 32)]
+    journal.stage(_stale(fresh).withColumn("event_type", F.lit("lost")), target, journal.begin(spark, target))
+    entry = journal.begin(spark, target)
+    rows = fresh.where(F.col("date").isin([d for d, in window])).select(spark.table(target).columns)
+    written = journal.stage(rows, target, entry)
+    journal.prepare(spark, target, entry, ["date"], written, window)
+    journal.recover(spark, target)
+    return spark.table(target)
+
+
 @query
 def partition_replace_one_day(spark: SparkSession, sf: str) -> DataFrame:
     target, fresh = _day_table(spark, sf, "one_day")
