@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.text import clean_text_columns
-from daybook.operators import tables
+from daybook.operators import merge_on_read, tables
 from daybook.operators.shape import cast_to_schema, vendor_names
 
 # Update types and delta modes.
@@ -98,7 +98,8 @@ def distinct_partitions(df: DataFrame, column: str) -> DataFrame:
 def prepare(df: DataFrame, table: str) -> DataFrame:
     """Clean names and values, and cast to the target's schema (a key's bucket comes later)."""
     target = df.sparkSession.table(table).schema
-    own = T.StructType([f for f in target.fields if f.name != tables.KEY_BUCKET])
+    later = (tables.KEY_BUCKET, merge_on_read.SEQUENCE, merge_on_read.DELETED)
+    own = T.StructType([f for f in target.fields if f.name not in later])
     return cast_to_schema(clean_text_columns(vendor_names(df)), own)
 
 
@@ -130,6 +131,8 @@ def load(
         tables.full_overwrite(df, table)
     elif update_type == "fullpart":
         tables.full_overwrite(df, table, tables.derived_partition_names(partition_field)[1])
+    elif update_type == "delta" and merge_on_read.layout(df.sparkSession, table):
+        merge_on_read.write(prepare(df, table), table, latest_by)
     elif keys:
         tables.upsert_table(prepare(df, table), table, keys, latest_by)
     else:

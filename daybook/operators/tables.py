@@ -20,10 +20,10 @@ from daybook.functions import dates
 from daybook.operators import journal
 from daybook.operators.catalog import partition_columns
 from daybook.operators.filters import open_ended
+from daybook.operators.keys import KEY_BUCKET, latest_per_key, repeated_key, with_key_bucket
 from daybook.session import scratch_database
 
-#: Partition column of a keyed table, and the table property with the number of buckets.
-KEY_BUCKET = "key_bucket"
+#: Table property with the number of buckets of a keyed table.
 BUCKETS_PROPERTY = "daybook.key_buckets"
 
 
@@ -234,23 +234,6 @@ def upsert(
     return old.join(fresh, same, "left_anti").unionByName(new)
 
 
-def latest_per_key(df: DataFrame, keys: list[str], latest_by: str) -> DataFrame:
-    """One row per key, the one with the largest ``latest_by``.
-
-    An aggregate, combined before the shuffle: a key with very many rows costs one
-    row per task.
-    """
-    rest = [c for c in df.columns if c not in keys and c != latest_by]
-    newest = F.max(F.struct(latest_by, *rest)).alias("_newest")
-    return df.groupBy(*keys).agg(newest).select(
-        *[F.col(c) if c in keys else F.col("_newest")[c].alias(c) for c in df.columns]
-    )
-
-
-def with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    return df.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-
-
 def keyed_table(df: DataFrame, table: str, keys: list[str], buckets: int) -> None:
     """Create a table partitioned by a hash bucket of its key.
 
@@ -267,12 +250,6 @@ def key_buckets(spark: SparkSession, table: str) -> int | None:
     return int(rows[0]["value"]) if rows else None
 
 
-def repeated_key(df: DataFrame, keys: list[str]) -> tuple | None:
-    """One key that more than one row has, if there is any."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").first()
-    return tuple(row[k] for k in keys) if row else None
-
-
 def upsert_table(new: DataFrame, table: str, keys: list[str], latest_by: str | None = None) -> None:
     """Upsert into a catalog table.
 

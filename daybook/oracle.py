@@ -199,6 +199,13 @@ def _tiers() -> str:
         from ({counts})"""
 
 
+UPSERTED = f"""with new as (select nullif(o_custkey, 10) as c_custkey,
+            cast(sum({money('o_totalprice')}) as double) as balance from orders group by 1),
+        old as (select nullif(c_custkey, 10) as c_custkey, c_acctbal as balance from customer)
+        select * from old where not exists (
+            select 1 from new where new.c_custkey is not distinct from old.c_custkey)
+        union all select * from new"""
+
 ORACLE: dict[str, str] = {
     "wide_record_current": with_views(WIDE_VIEWS, _wide()),
     "wide_record_history": with_views(WIDE_VIEWS, _wide(schemas.HISTORY_VALUE_COUNT, "att.value30")),
@@ -280,12 +287,8 @@ ORACLE: dict[str, str] = {
         cast(month(o_orderdate) as int) as month from orders""",
     "derived_partitions_day": """select *, cast(year(ts) as int) as year, cast(month(ts) as int) as month,
         cast(day(ts) as int) as day from events""",
-    "upsert_by_key": f"""with new as (select nullif(o_custkey, 10) as c_custkey,
-            cast(sum({money('o_totalprice')}) as double) as balance from orders group by 1),
-        old as (select nullif(c_custkey, 10) as c_custkey, c_acctbal as balance from customer)
-        select * from old where not exists (
-            select 1 from new where new.c_custkey is not distinct from old.c_custkey)
-        union all select * from new""",
+    "upsert_by_key": UPSERTED,
+    "upsert_merge_on_read": UPSERTED,
     "delta_watermark": "select strftime(max(ts), '%Y-%m-%d %H:%M:%S') as watermark from events",
     "partition_row_count": with_views(
         [], "select count(*) as n_rows from d where date = '2024-01-25T00:00:00'", DAYS),

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from daybook import schemas
 from daybook.functions import dates, text
-from daybook.operators import filters, ids, incremental, journal, shape, tables, wide
+from daybook.operators import filters, ids, incremental, journal, merge_on_read, shape, tables, wide
 from daybook.operators.joins import broadcast_when_small
 from daybook.plans import hr_views as hr
 from daybook.plans import jobs
@@ -453,6 +453,26 @@ def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(target)
 
 
+@query
+def upsert_merge_on_read(spark: SparkSession, sf: str) -> DataFrame:
+    """The balances of ``upsert_by_key`` in three batches, the buckets compacted in between."""
+    target = f"{scratch_database(spark, 'merge')}.balance"
+    key = F.nullif(F.col("c_custkey"), F.lit(10)).alias("c_custkey")
+    customers = hr.table(spark, sf, "customer").select(key, F.col("c_acctbal").alias("balance"))
+    merge_on_read.create(customers, target, ["c_custkey"], buckets=8)
+    changes = (
+        hr.table(spark, sf, "orders")
+        .groupBy(F.nullif(F.col("o_custkey"), F.lit(10)).alias("c_custkey"))
+        .agg(F.sum(hr.money("o_totalprice")).cast("double").alias("balance"))
+    )
+    half = F.coalesce(F.col("c_custkey"), F.lit(0)) % 2 == 0
+    merge_on_read.write(changes.withColumn("balance", F.lit(-1.0)), target, deleted=half)
+    merge_on_read.compact(spark, target)
+    merge_on_read.write(changes.where(half), target)
+    merge_on_read.write(changes.where(~half), target)
+    return merge_on_read.read(spark, target)
+
+
 # --- incremental loads ---------------------------------------------------------
 
 _CUT = "2000-01-01"

@@ -1,0 +1,165 @@
+"""Base, deltas, compaction: always the rows that an upsert of the whole table gives."""
+
+import os
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from daybook.operators import catalog, incremental, journal, merge_on_read, tables
+
+SCHEMA = "k long, part string, v string, at long"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.select("k", "part", "v", "at").collect())
+
+
+@pytest.fixture
+def table(spark, db):
+    name = f"{db}.balances"
+    base = [(i, "a", "base", 0) for i in range(40)] + [(None, "a", "base", 0), (1, None, "base", 0)]
+    merge_on_read.create(frame(spark, base), name, ["k", "part"], buckets=4)
+    return name
+
+
+def test_without_deltas_the_base_is_read_as_it_is(spark, table):
+    read = merge_on_read.read(spark, table)
+    assert read.columns == ["k", "part", "v", "at"] and read.count() == 42
+    assert "Join" not in read._jdf.queryExecution().executedPlan().toString()
+
+
+def test_equals_an_upsert_before_and_after_compaction(spark, db, table):
+    twin = f"{db}.twin"
+    tables.full_overwrite(merge_on_read.read(spark, table), twin)
+    batches = [
+        [(i, "a", "first", 1) for i in range(5, 15)] + [(None, "a", "first", 1)],
+        [(i, "a", "second", 2) for i in range(10, 50)] + [(1, None, "second", 2)],
+        [(3, "a", None, None)],
+    ]
+    merge_on_read.create_view(spark, table, f"{db}.current")
+    for number, rows in enumerate(batches, 1):
+        assert merge_on_read.write(frame(spark, rows), table) == number
+        tables.upsert_table(frame(spark, rows), twin, ["k", "part"])
+        assert bag(merge_on_read.read(spark, table)) == bag(spark.table(f"{db}.current")) == bag(spark.table(twin))
+    assert merge_on_read.compact(spark, table, ratio=0) == [0, 1, 2, 3]
+    assert {s for _, s in catalog.existing_partitions(spark, table)} == {"0"}
+    assert bag(merge_on_read.read(spark, table)) == bag(spark.table(f"{db}.current")) == bag(spark.table(twin))
+
+
+def test_deleted_keys_go_and_may_come_back(spark, db, table):
+    merge_on_read.create_view(spark, table, f"{db}.current")
+    merge_on_read.write(frame(spark, [(i, "a", "x", 1) for i in range(20)]), table, deleted=F.col("k") < 10)
+    assert merge_on_read.read(spark, table).count() == 32 == spark.table(f"{db}.current").count()
+    merge_on_read.compact(spark, table, ratio=0)
+    assert merge_on_read.read(spark, table).count() == 32 == spark.table(f"{db}.current").count()
+    merge_on_read.write(frame(spark, [(0, "a", "back", 2)]), table)
+    assert bag(merge_on_read.read(spark, table).where("k = 0")) == Counter([(0, "a", "back", 2)])
+
+
+def test_a_whole_bucket_may_go(spark, table):
+    merge_on_read.write(merge_on_read.read(spark, table), table, deleted=F.lit(True))
+    assert merge_on_read.read(spark, table).count() == 0
+    assert merge_on_read.compact(spark, table) == [0, 1, 2, 3]
+    assert catalog.existing_partitions(spark, table) == set()
+    assert merge_on_read.write(frame(spark, [(7, "a", "new", 1)]), table) == 1
+    assert merge_on_read.read(spark, table).count() == 1
+
+
+def test_only_full_buckets_are_compacted(spark, table):
+    one = spark.table(table).where("k = 7").first()[tables.KEY_BUCKET]
+    for number in range(6):
+        merge_on_read.write(frame(spark, [(7, "a", f"v{number}", number)]), table)
+    others = catalog.existing_partitions(spark, table) - {(str(one), str(s)) for s in range(9)}
+    assert merge_on_read.compact(spark, table, ratio=0.25) == [one]
+    assert catalog.existing_partitions(spark, table) == others | {(str(one), "0")}
+    assert bag(merge_on_read.read(spark, table).where("k = 7")) == Counter([(7, "a", "v5", 5)])
+    assert merge_on_read.compact(spark, table) == []
+
+
+def test_bytes_written_follow_the_batch(spark, db):
+    name = f"{db}.large"
+    wide = spark.range(200_000).select(
+        F.col("id").alias("k"), F.lit("a").alias("part"), F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit(0).cast("long").alias("at"))
+    merge_on_read.create(wide, name, ["k", "part"], buckets=4)
+
+    def size(path):
+        path = path.removeprefix("file:")
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+    place = catalog.location(spark, name)
+    before = size(place)
+    merge_on_read.write(wide.where("k % 1000 = 0").withColumn("at", F.lit(1).cast("long")), name)
+    assert 0 < size(f"{place}/{journal.FOLDER}") < before / 100
+
+
+def test_repeated_keys_need_an_order(spark, table):
+    twice = frame(spark, [(1, "a", "old", 1), (1, "a", "new", 2)])
+    with pytest.raises(ValueError, match="more than once"):
+        merge_on_read.write(twice, table)
+    merge_on_read.write(twice, table, latest_by="at")
+    assert bag(merge_on_read.read(spark, table).where("k = 1 and part = 'a'")) == Counter([(1, "a", "new", 2)])
+
+
+def test_an_empty_batch_has_no_number(spark, table):
+    assert merge_on_read.write(frame(spark, [(1, "a", "x", 1)]).where("false"), table) is None
+    assert merge_on_read.read(spark, table).count() == 42
+
+
+def test_a_batch_that_breaks_off_is_finished_or_undone(spark, table, monkeypatch):
+    batch = frame(spark, [(1, "a", "new", 1)])
+    for step, held in (("prepare", "base"), ("finish", "new")):
+        with monkeypatch.context() as m:
+            m.setattr(journal, step, lambda *_: (_ for _ in ()).throw(OSError("gone")))
+            with pytest.raises(OSError):
+                merge_on_read.write(batch, table)
+        journal.recover(spark, table)
+        assert merge_on_read.read(spark, table).where("k = 1 and part = 'a'").first()["v"] == held
+
+
+def test_a_compaction_that_breaks_off_changes_nothing_to_read(spark, table, monkeypatch):
+    merge_on_read.write(frame(spark, [(i, "a", "new", 1) for i in range(30)]), table)
+    before = bag(merge_on_read.read(spark, table))
+    with monkeypatch.context() as m:
+        m.setattr(catalog, "drop_partitions", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            merge_on_read.compact(spark, table)
+    assert bag(merge_on_read.read(spark, table)) == before  # old deltas over the new base
+    journal.recover(spark, table)
+    assert bag(merge_on_read.read(spark, table)) == before
+    assert {s for _, s in catalog.existing_partitions(spark, table)} == {"0"}
+
+
+def test_delta_loads_add_to_such_a_table(spark, table):
+    incremental.load(frame(spark, [(1, "a", " new ", 1), (1, "a", "old", 0)]), table, "delta", latest_by="at")
+    assert bag(merge_on_read.read(spark, table).where("k = 1 and part = 'a'")) == Counter([(1, "a", "new", 1)])
+
+
+def test_other_tables_are_refused(spark, db):
+    tables.full_overwrite(spark.range(3), f"{db}.plain")
+    with pytest.raises(ValueError, match="merge_on_read"):
+        merge_on_read.write(spark.range(1), f"{db}.plain")
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dictionaries(st.integers(0, 6) | st.none(), st.booleans(), max_size=5), max_size=4), st.integers(0, 3))
+def test_any_batches(spark, db, batches, compacted):
+    name = f"{db}.any_{abs(hash(str(batches))) % 10**9}_{compacted}"
+    state = {k: "base" for k in range(4)}
+    merge_on_read.create(frame(spark, [(k, "p", v, 0) for k, v in state.items()]), name, ["k", "part"], buckets=3)
+    for number, batch in enumerate(batches):
+        rows = [(k, "p", f"{number}" if keep else "gone", number) for k, keep in batch.items()]
+        merge_on_read.write(frame(spark, rows), name, deleted=F.col("v") == "gone")
+        for k, keep in batch.items():
+            state.pop(k, None)
+            if keep:
+                state[k] = f"{number}"
+        if number == compacted:
+            merge_on_read.compact(spark, name, ratio=0.2)
+    assert {r["k"]: r["v"] for r in merge_on_read.read(spark, name).collect()} == state
