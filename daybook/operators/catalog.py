@@ -43,10 +43,9 @@ def location(spark: SparkSession, table: str) -> str:
     return description(spark, table)["Location"].rstrip("/")
 
 
-def buckets(spark: SparkSession, table: str) -> int | None:
-    """Number of buckets of a bucketed table, else None."""
-    found = description(spark, table).get("Num Buckets")
-    return int(found) if found else None
+def bucket_columns(spark: SparkSession, table: str) -> list[str]:
+    """Columns that a bucketed table is bucketed by; none for another table."""
+    return [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
 
 
 def partition_spec(columns: list[str], values: Iterable[str]) -> str:

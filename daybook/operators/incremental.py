@@ -83,8 +83,10 @@ def delta(
 
 
 def not_yet_loaded(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
-    """Resume: source rows whose key the target does not hold."""
-    return source.join(target.select(*keys).distinct(), keys, "left_anti").select(*source.columns)
+    """Resume: source rows whose key the target does not hold; a null equals another null."""
+    held = target.select(*[F.col(k).alias(f"_held_{k}") for k in keys]).distinct()
+    same = _all([F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
+    return source.join(held, same, "left_anti")
 
 
 def partition_row_count(df: DataFrame, column: str, value: str) -> DataFrame:

@@ -88,10 +88,9 @@ def stage(rows: DataFrame, table: str, entry: str) -> set[tuple[str, ...]]:
     ensure_dynamic_overwrite(spark)
     aside = _stage_table(table, entry)
     spark.sql(f"CREATE TABLE {aside} LIKE {table} LOCATION '{_root(spark, table)}/{entry}/rows'")
-    keys = catalog.partition_columns(spark, aside)
-    (rows if catalog.buckets(spark, table) else rows.hint("rebalance", *keys)).write.insertInto(
-        aside, overwrite=True
-    )
+    # Rows of a bucket together, so that a day has few files for each; a hot one is cut up.
+    deal = catalog.bucket_columns(spark, table) or catalog.partition_columns(spark, table)
+    rows.hint("rebalance", *deal).write.insertInto(aside, overwrite=True)
     written = catalog.existing_partitions(spark, aside)
     spark.sql(f"DROP TABLE {aside}")
     return written

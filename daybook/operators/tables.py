@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from daybook.functions import dates
 from daybook.operators import journal
-from daybook.operators.catalog import partition_columns
+from daybook.operators.catalog import bucket_columns, partition_columns
 from daybook.operators.filters import open_ended
 from daybook.operators.keys import KEY_BUCKET, latest_per_key, repeated_key, with_key_bucket
 from daybook.session import scratch_database
@@ -42,7 +42,7 @@ def append(df: DataFrame, table: str) -> bool:
     """Aligned append; a frame without columns is skipped, and False returned."""
     if not df.columns:
         return False
-    keys = partition_columns(df.sparkSession, table)
+    keys = bucket_columns(df.sparkSession, table) or partition_columns(df.sparkSession, table)
     rows = align(df, table)
     (rows.hint("rebalance", *keys) if keys else rows).write.insertInto(table)
     return True
@@ -58,6 +58,20 @@ def full_overwrite(df: DataFrame, table: str, partition_by: list[str] | None = N
     return True
 
 
+def bucketed_table(
+    df: DataFrame, table: str, bucket_by: list[str], buckets: int, partition_by: list[str] | None = None
+) -> None:
+    """Create a table whose rows of one key lie in the same bucket of every partition.
+
+    Tables with the same number of buckets of the same key are joined on it, and on more
+    columns beside it, without a shuffle. Appends and replacements keep the buckets.
+    """
+    writer = df.hint("rebalance", *bucket_by).write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by).saveAsTable(table)
+
+
 def full_refresh(df: DataFrame, table: str, staged: bool = False) -> bool:
     """Replace every row, keep the table and its schema.
 

@@ -208,6 +208,7 @@ UPSERTED = f"""with new as (select nullif(o_custkey, 10) as c_custkey,
 
 ORACLE: dict[str, str] = {
     "wide_record_current": with_views(WIDE_VIEWS, _wide()),
+    "wide_record_bucketed": with_views(WIDE_VIEWS, _wide()),
     "wide_record_history": with_views(WIDE_VIEWS, _wide(schemas.HISTORY_VALUE_COUNT, "att.value30")),
     "wide_record_refresh": with_views(WIDE_VIEWS, f"""select * replace ('stale' as empname) from w
         where not ({between('2023-12-06', '2024-01-24')})
@@ -229,6 +230,9 @@ ORACLE: dict[str, str] = {
     "snapshot_join": with_views(["att", "emp"], """select att.empid, att.date, value1, empdept, empnum,
         emprank, empname, isleave, atttype from att
         left join emp on att.empid = emp.empid and att.date = emp.date"""),
+    "snapshot_join_intervals": with_views(["att", "emp"], """select att.empid, att.date, value1, empdept, empnum,
+        emprank, empname, isleave, atttype from att
+        left join emp on att.empid = emp.empid and att.date = emp.date"""),
     "known_member_filter": with_views(["att", "emp"], """select att.empid, att.date, value1, empdept, empnum,
         emprank, empname, isleave, atttype from att
         left join emp on att.empid = emp.empid and att.date = emp.date where empnum is not null"""),
@@ -282,6 +286,7 @@ ORACLE: dict[str, str] = {
     "month_range_backfill": replaced(between("2023-11-20", "2024-01-22")),
     "snapshot_stamp": snapshots_from("2024-01-25", 1),
     "snapshot_backfill": snapshots_from("2024-01-25", 7),
+    "snapshot_intervals": f"select * from ({snapshots_from('2024-01-25', 7)}) where date <> '2024-01-28T00:00:00'",
     "derived_partitions_year": "select *, cast(year(l_shipdate) as int) as year from lineitem",
     "derived_partitions_month": """select *, cast(year(o_orderdate) as int) as year,
         cast(month(o_orderdate) as int) as month from orders""",
@@ -298,8 +303,8 @@ ORACLE: dict[str, str] = {
     "delta_t1": "select * from events where ts >= timestamp '2024-01-24' and ts < timestamp '2024-01-25'",
     "delta_range": """select * from lineitem
         where l_shipdate >= timestamp '1997-01-01' and l_shipdate < timestamp '1998-01-01'""",
-    "delta_resume_by_count": f"""select * from orders s where not exists
-        (select 1 from orders t where t.o_orderkey = s.o_orderkey and {ORDERS_OLD.replace('o_', 't.o_')})""",
+    "delta_resume_by_count": f"""select * replace (nullif(o_custkey, 10) as o_custkey)
+        from orders where not ({ORDERS_OLD}) or o_orderdate is null""",
     "load_full": "select * from orders",
     "load_fullpart": "select *, cast(year(o_orderdate) as int) as year from orders",
     "load_delta": NEW_ORDERS,

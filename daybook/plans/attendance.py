@@ -19,7 +19,7 @@ from daybook.functions.text import normalize_code
 from daybook.operators import tables, wide
 from daybook.operators.filters import date_window, rename_headings, union_of_filters
 from daybook.plans.jobs import LoadResult, audited_load, create_audit_table, load_many
-from daybook.session import ensure_skew_splits, estimated_bytes, size_shuffles
+from daybook.session import ensure_bucket_joins, ensure_skew_splits, estimated_bytes, size_shuffles
 from daybook.sources.pages import newest_pull, read_pages
 
 # Look-back of each refresh in days, and of rosters in months.
@@ -53,15 +53,29 @@ TABLES: dict[str, tuple[T.StructType, str | None]] = {
 }
 
 
-def create_table(spark: SparkSession, table: str, schema: T.StructType, key: str | None) -> None:
+#: Large tables that the wide table joins by person and day; in buckets of a person they
+#: are joined without a shuffle.
+BY_PERSON = {ATTENDANCE: "empid", CARDS: "empid", SNAPSHOTS: "empid"}
+
+
+def create_table(
+    spark: SparkSession, table: str, schema: T.StructType, key: str | None,
+    bucket_by: str | None = None, buckets: int | None = None,
+) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     partitioned = f" PARTITIONED BY (`{key}`)" if key else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{partitioned}")
+    bucketed = f" CLUSTERED BY (`{bucket_by}`) SORTED BY (`{bucket_by}`) INTO {buckets} BUCKETS" if buckets and bucket_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{partitioned}{bucketed}")
 
 
-def create_tables(spark: SparkSession, db: str) -> None:
+def create_tables(spark: SparkSession, db: str, buckets: int | None = None) -> None:
+    """Create what is missing; with ``buckets`` the large tables are co-located by person.
+
+    Every refresh keeps the buckets. A bucket of one day should still make a file worth
+    reading: with 50 GB a day and files of 100 MB, about 500.
+    """
     for name, (schema, key) in TABLES.items():
-        create_table(spark, f"{db}.{name}", schema, key)
+        create_table(spark, f"{db}.{name}", schema, key, BY_PERSON.get(name), buckets)
     create_audit_table(spark, f"{db}.{AUDIT}")
 
 
@@ -81,6 +95,7 @@ def _prepare(spark: SparkSession, *inputs: DataFrame) -> None:
     """Settings that a job needs: shuffles as wide as its input, and skewed joins split."""
     size_shuffles(spark, estimated_bytes(*inputs))
     ensure_skew_splits(spark)
+    ensure_bucket_joins(spark)
 
 
 def refresh_base_tables(

@@ -16,11 +16,13 @@ from pyspark.sql import types as T
 
 from daybook import schemas
 from daybook.functions import dates, text
-from daybook.operators import filters, ids, incremental, journal, merge_on_read, shape, tables, wide
+from daybook.operators import (
+    filters, ids, incremental, intervals, journal, merge_on_read, shape, tables, wide,
+)
 from daybook.operators.joins import broadcast_when_small
 from daybook.plans import hr_views as hr
 from daybook.plans import jobs
-from daybook.session import scratch_database, workspace
+from daybook.session import ensure_bucket_joins, scratch_database, workspace
 from daybook.sources import jdbc, pages
 from daybook.streaming.current_day import stream_current_day
 
@@ -33,6 +35,7 @@ LATER_TODAY = dt.date(2024, 3, 1)
 MONTH_TODAY = dt.date(1998, 8, 15)
 EMPTIED_DAY = "2024-01-17T00:00:00"
 EMPTIED_MONTH = "199807"
+NO_PULL = dt.date(2024, 1, 28)
 
 
 def query(function: Query) -> Query:
@@ -76,6 +79,25 @@ def wide_record_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(target)
 
 
+@query
+def wide_record_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The wide table of tables in buckets of a person, which a refresh has written anew."""
+    db = scratch_database(spark, "bucketed")
+    ensure_bucket_joins(spark)
+    sources = {"facts": (hr.attendance, "date"), "cards": (hr.cards, "signdate"), "people": (hr.snapshots, "date")}
+    for name, (view, day) in sources.items():
+        rows, stale = view(spark, sf), F.lit("stale")
+        old = rows.withColumns({c: stale for c in rows.columns if c in ("value2", "shiftcode", "empname")})
+        recent = F.col(day).between(dates.day_text(TODAY - dt.timedelta(days=50)), dates.day_text(TODAY - dt.timedelta(days=1)))
+        tables.bucketed_table(
+            rows.where(~recent).unionByName(old.where(recent)).select(rows.columns), f"{db}.{name}", ["empid"], 8, [day])
+        tables.replace_days(rows, f"{db}.{name}", day, TODAY, 50)
+    return wide.wide_record(
+        spark.table(f"{db}.facts"), spark.table(f"{db}.cards"), hr.shifts(spark, sf),
+        spark.table(f"{db}.people"), hr.departments(spark, sf), _org(spark, sf),
+    )
+
+
 @query
 def org_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return _org(spark, sf)
@@ -117,6 +139,17 @@ def snapshot_join(spark: SparkSession, sf: str) -> DataFrame:
     return wide.join_snapshot(facts, hr.snapshots(spark, sf))
 
 
+@query
+def snapshot_join_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    """The join of ``snapshot_join`` with people stored as intervals."""
+    people = hr.snapshots(spark, sf)
+    pulls = intervals.pulls_of(people)
+    packed = intervals.compress(wide.people_of_days(people).select(
+        F.col("_person").alias("empid"), F.col("_person_day").alias("date"), "empdept", *schemas.EMPLOYEE_COLUMNS), pulls)
+    facts = hr.attendance(spark, sf).select("empid", "date", "value1")
+    return intervals.join_as_of(facts, packed, pulls, ["empid"])
+
+
 @query
 def known_member_filter(spark: SparkSession, sf: str) -> DataFrame:
     return filters.known_members(snapshot_join(spark, sf))
@@ -414,6 +447,18 @@ def snapshot_backfill(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(target)
 
 
+@query
+def snapshot_intervals(spark: SparkSession, sf: str) -> DataFrame:
+    """The days of ``snapshot_backfill`` but one, stored as intervals, the last two pull by pull."""
+    days = snapshot_backfill(spark, sf).where(F.col("date") != dates.day_text(NO_PULL))
+    target = f"{scratch_database(spark, 'intervals')}.staff"
+    last = [dates.day_text(TODAY + dt.timedelta(days=d)) for d in (5, 6)]
+    intervals.create(days.where(F.col("date") < last[0]), target)
+    for day in last:
+        intervals.add_pull(days.where(F.col("date") == day).drop("date"), target, day)
+    return intervals.expand(spark.table(target), spark.table(f"{target}_pulls"))
+
+
 def _derived(spark: SparkSession, sf: str, source: DataFrame, spec: str) -> DataFrame:
     grain = spec.rpartition("-")[2]
     target = f"{scratch_database(spark, 'derived_' + grain)}.target"
@@ -524,8 +569,11 @@ def delta_range(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def delta_resume_by_count(spark: SparkSession, sf: str) -> DataFrame:
+    """By order and customer; one customer's key is null on both sides."""
+    customer = {"o_custkey": F.nullif(F.col("o_custkey"), F.lit(10))}
     return incremental.not_yet_loaded(
-        hr.table(spark, sf, "orders"), _orders_before(spark, sf), ["o_orderkey"]
+        hr.table(spark, sf, "orders").withColumns(customer), _orders_before(spark, sf).withColumns(customer),
+        ["o_orderkey", "o_custkey"],
     )
 
 

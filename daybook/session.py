@@ -17,6 +17,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.scheduler.mode": "FAIR",
     "spark.ui.enabled": "false",
 }
@@ -30,6 +31,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 SPLIT_SKEW = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 DYNAMIC_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 def shuffle_partitions(input_bytes: int) -> int:
@@ -150,3 +152,9 @@ def ensure_skew_splits(spark: SparkSession) -> None:
     """Let AQE split a skewed join even if the next join on the key then shuffles again."""
     if spark.conf.get(SPLIT_SKEW).lower() != "true":
         spark.conf.set(SPLIT_SKEW, "true")
+
+
+def ensure_bucket_joins(spark: SparkSession) -> None:
+    """Let tables in buckets of one key be joined on it and further columns without a shuffle."""
+    if spark.conf.get(ALL_KEYS).lower() != "false":
+        spark.conf.set(ALL_KEYS, "false")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from daybook import schemas
 from daybook.functions.dates import day_text
-from daybook.operators import tables
+from daybook.operators import catalog, tables
 from daybook.plans import attendance as plan
 from daybook.plans import cli
 from daybook.plans import hr_views as hr
@@ -150,3 +150,22 @@ def test_jobs_as_programs(spark, db, base, capsys):
     assert cli.run(spark, parse(["base", "--db", db, "--landing", landing, *day])) == 0
     with pytest.raises(SystemExit):
         parse(["wide", "--db", db])
+
+
+def test_refreshes_keep_tables_in_buckets(spark, db, base, tmp_path):
+    landing, people = base
+    for name in plan.BY_PERSON:
+        spark.sql(f"DROP TABLE {db}.{name}")
+    plan.create_tables(spark, db, buckets=4)
+    assert jobs.failed_tables(plan.refresh_base_tables(spark, db, landing, TODAY)) == []
+    tables.backfill_snapshot(people, f"{db}.{plan.SNAPSHOTS}", dt.date(2024, 1, 3), TODAY)
+    assert not plan.refresh_current_cards(spark, db, landing, TODAY).failed
+    for name, column in plan.BY_PERSON.items():
+        assert catalog.bucket_columns(spark, f"{db}.{name}") == [column]
+        by_person = spark.table(f"{db}.{name}").groupBy(column).count()
+        assert "Exchange" not in by_person._jdf.queryExecution().executedPlan().toString()
+    assert not plan.refresh_wide_table(spark, db, TODAY).failed
+    expected = _wide(spark, SF, window=(dt.date(2024, 1, 3), TODAY - dt.timedelta(days=1))).withColumn(
+        "shiftcode", F.upper("shiftcode"))
+    found = spark.table(f"{db}.{plan.WIDE}").select(*expected.columns)
+    assert found.count() == expected.count() > 0 and found.exceptAll(expected).count() == 0

@@ -83,3 +83,13 @@ def test_load_rejects_wrong_settings(spark, db):
         incremental.load(df, f"{db}.t", "weekly")
     with pytest.raises(ValueError, match="partition field"):
         incremental.load(df, f"{db}.t", "deltapart")
+
+
+def test_resume_takes_null_keys_for_equal(spark):
+    rows = spark.createDataFrame([(1, "a"), (None, "a"), (1, None), (None, None), (2, "b")], "k long, part string")
+    held = rows.where("part is null or k is null")
+    left = incremental.not_yet_loaded(rows, held, ["k", "part"])
+    assert sorted(map(tuple, left.collect())) == [(1, "a"), (2, "b")]
+    assert incremental.not_yet_loaded(rows, rows, ["k"]).count() == 0
+    again = rows.withColumnRenamed("part", "_held_k")  # a clashing name in the source
+    assert incremental.not_yet_loaded(again.select("k", F.lit(1).alias("x")), held, ["k"]).count() == 1

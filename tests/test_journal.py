@@ -86,7 +86,7 @@ def test_broken_off_before_the_manifest_is_undone(spark, table, monkeypatch, ste
 
 def test_broken_off_while_staging_leaves_no_table(spark, table, monkeypatch):
     with monkeypatch.context() as m:
-        break_at(m, catalog, "buckets")  # the stage table exists, nothing is in it
+        break_at(m, catalog, "bucket_columns")  # the stage table exists, nothing is in it
         with pytest.raises(BrokenOff):
             replace(spark, table)
     database = table.split(".")[0]

@@ -9,6 +9,7 @@ from __spark_entry__ import queries
 from daybook.operators import filters, tables, wide
 from daybook.operators.filters import known_members, look_back
 from daybook.plans import hr_views as hr
+from daybook.session import ensure_bucket_joins
 
 SF = "/root/testdata/sf0.001"
 
@@ -66,3 +67,34 @@ def test_filters_of_a_union_reach_the_scan(spark):
     text = both._jdf.queryExecution().executedPlan().toString()
     pushed = next(line for line in text.splitlines() if "PushedFilters" in line)
     assert "EqualTo(o_orderstatus,F)" in pushed and "GreaterThan(o_totalprice,1000.0)" in pushed
+
+
+def test_tables_in_buckets_are_joined_without_a_shuffle(spark, db):
+    for name, rows, day in (("facts", hr.attendance(spark, SF), "date"), ("cards", hr.cards(spark, SF), "signdate"),
+                            ("people", hr.snapshots(spark, SF), "date")):
+        tables.bucketed_table(rows, f"{db}.{name}", ["empid"], 4, [day])
+        # A refresh of some days keeps the buckets.
+        tables.replace_days(rows, f"{db}.{name}", day, dt.date(2024, 1, 25), 10)
+        tables.append(rows.limit(0), f"{db}.{name}")
+    ensure_bucket_joins(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        known = wide.join_known_people(spark.table(f"{db}.facts"), spark.table(f"{db}.people"))
+        joined = wide.join_cards(known, spark.table(f"{db}.cards"))
+        text = plan(joined)
+        assert text.count("SortMergeJoin") == 2 and "Exchange" not in text
+        window = (dt.date(2024, 1, 20), dt.date(2024, 1, 22))
+        whole = plan(wide.wide_record(
+            spark.table(f"{db}.facts"), spark.table(f"{db}.cards"), hr.shifts(spark, SF), spark.table(f"{db}.people"),
+            hr.departments(spark, SF), wide.org_dimension(
+                hr.org_units(spark, SF), hr.org_functions(spark, SF), hr.org_categories(spark, SF)), window=window,
+        ))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    person = next(line for line in whole.splitlines() if "SortMergeJoin [empid" in line and "Inner" in line)
+    below = whole[whole.index(person) + len(person):]
+    below = below[:below.index("signdate")]  # the cards' side begins behind the people's
+    assert "Exchange" not in below and "PartitionFilters: [isnotnull(date" in below
+    plain = wide.join_cards(
+        wide.join_known_people(hr.attendance(spark, SF), hr.snapshots(spark, SF)), hr.cards(spark, SF))
+    assert joined.count() == plain.count() and joined.exceptAll(plain.select(joined.columns)).count() == 0
