@@ -350,13 +350,15 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
                     "key array<long>, at array<int>, xs array<array<long>>, ys array<array<long>>"),
         "doubling-candidates",
     )
-    proofs = staged(_doubled(held, window), "doubling-proofs")
-    proved = proofs.groupBy("doc").agg(F.collect_list("at").alias("a"), F.collect_list("stop").alias("b"))
+    proofs = _doubled(held, window)
+    proved = staged(
+        _few(proofs.groupBy("doc").agg(F.collect_list("at").alias("a"), F.collect_list("stop").alias("b"))),
+        "doubling-proofs",
+    )
     later = hits.where(F.size("later") > 0).select("doc", "later").dropDuplicates(["doc"])
-    wanted = staged(
+    wanted = (
         held.select("doc", "from", "to", "key").join(later.hint("merge"), "doc").join(proved.hint("merge"), "doc", "left")
-        .mapInArrow(_undecided(window), "key long").distinct(),
-        "doubling-undecided",
+        .mapInArrow(_undecided(window), "key long").distinct()
     )
     asked = held.select("doc", F.explode(F.array_distinct("key")).alias("key")).join(
         wanted.hint("merge"), "key", "left_semi"
@@ -373,12 +375,9 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
         F.collect_list("at").alias("a"), F.collect_list("stop").alias("b"),
         F.max(F.col("stop") - F.col("at")).cast("long").alias("reach"),
     )
-    gone = staged(
-        held.select("doc", "text").join(ranges.hint("merge"), "doc").mapInArrow(
-            _removed, "doc binary, n_removed long, spans array<struct<a:long,b:long>>, kept string, "
-            "kept_sha binary, reach long"
-        ),
-        "doubling-removed",
+    gone = held.select("doc", "text").join(ranges.hint("merge"), "doc").mapInArrow(
+        _removed, "doc binary, n_removed long, spans array<struct<a:long,b:long>>, kept string, "
+        "kept_sha binary, reach long"
     )
     return base.select("doc", "id", "n_words", "sha").join(gone.hint("merge"), "doc", "left").select(
         F.col("id").alias(id_col), "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
@@ -388,6 +387,12 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
     )
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """Fewer partitions, and files, for a frame that is far smaller than the texts."""
+    wide = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(1, wide // 8))
+
+
 def _doubled(held: DataFrame, window: int) -> DataFrame:
     """Ranges (doc, at, stop) whose words start in a smaller document, at doubled lengths."""
     alive = held.select("doc", "id", F.inline(F.arrays_zip("at", "xs", "ys")))
@@ -398,7 +403,7 @@ def _doubled(held: DataFrame, window: int) -> DataFrame:
         )
         # Only what repeats at one length is looked at again at twice that length.
         alive = staged(
-            here.join(_repeated(here.select("id", "x", "y"), ["x", "y"]).hint("merge"), ["x", "y"]).drop("x", "y"),
+            _few(here.join(_repeated(here.select("id", "x", "y"), ["x", "y"]).hint("merge"), ["x", "y"]).drop("x", "y")),
             f"doubling-{window << level}",
         )
         found.append(alive.where(_earlier(F.col("first"), F.col("id"))).select(
