@@ -5,12 +5,12 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions.text import clean_text_columns
-from daybook.operators import merge_on_read, tables
+from daybook.operators import merge_on_read, statistics, tables
 from daybook.operators.shape import cast_to_schema, vendor_names
 
 # Update types and delta modes.
@@ -24,6 +24,13 @@ def watermarks(target: DataFrame, columns: list[str]) -> dict[str, str | None]:
     return {c: row[c] for c in columns}
 
 
+def table_watermarks(spark: SparkSession, table: str, columns: list[str]) -> dict[str, str | None]:
+    """The same of a catalog table: from its statistics if it is tracked, else by a scan."""
+    if set(columns) <= set(statistics.tracked(spark, table)):
+        return statistics.watermarks(spark, table, columns)
+    return watermarks(spark.table(table), columns)
+
+
 def watermark_text(target: DataFrame, column: str) -> DataFrame:
     """One row: the largest value of a column, in 24-hour form."""
     return target.where(F.col(column).isNotNull()).agg(
@@ -32,14 +39,17 @@ def watermark_text(target: DataFrame, column: str) -> DataFrame:
 
 
 def newer_than_target(
-    source: DataFrame, target: DataFrame, fields: list[tuple[str, str]]
+    source: DataFrame, target: DataFrame, fields: list[tuple[str, str]],
+    marks: dict[str, str | None] | None = None,
 ) -> DataFrame:
     """T0: source rows beyond the target's largest value, in every delta field.
 
     The watermark is one row, fetched first: as a literal of the column's own type
-    it is pushed down to the source scan. An empty target loads everything.
+    it is pushed down to the source scan. An empty target loads everything. Known ``marks``,
+    such as those of :func:`table_watermarks`, save the scan of the target.
     """
-    marks = watermarks(target, [t for _, t in fields])
+    if marks is None:
+        marks = watermarks(target, [t for _, t in fields])
     conditions = [
         F.col(s) > F.lit(marks[t]).cast(target.schema[t].dataType)
         for s, t in fields if marks[t] is not None

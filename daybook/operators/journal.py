@@ -23,12 +23,12 @@ files. A table has one writer at a time.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.operators import catalog
+from daybook.operators import catalog, statistics
 from daybook.session import ensure_dynamic_overwrite
 
 FOLDER = "_replacements"
@@ -44,10 +44,10 @@ def replace(
     in its order. Returns the partitions written.
     """
     entry = begin(rows.sparkSession, table)
-    written = stage(rows, table, entry)
-    prepare(rows.sparkSession, table, entry, keys, written, emptied)
+    staged = stage(rows, table, entry)
+    prepare(rows.sparkSession, table, entry, keys, staged, emptied)
     finish(rows.sparkSession, table, entry)
-    return written
+    return staged.written
 
 
 def recover(spark: SparkSession, table: str) -> dict[str, str]:
@@ -73,36 +73,53 @@ def recover(spark: SparkSession, table: str) -> dict[str, str]:
 def begin(spark: SparkSession, table: str) -> str:
     """Step 1: the name of a new replacement, after what broke off before is in order."""
     recover(spark, table)
-    entry = uuid.uuid4().hex
+    entry = statistics.entry_name()
     catalog.write_text(spark, f"{_root(spark, table)}/{entry}/{INTENT}", json.dumps({"table": table}))
     return entry
 
 
-def stage(rows: DataFrame, table: str, entry: str) -> set[tuple[str, ...]]:
-    """Step 2: write the rows aside; the partitions that got rows.
+@dataclass(frozen=True)
+class Staged:
+    """Partitions that got rows, and their statistics if the table is tracked."""
+
+    written: set[tuple[str, ...]]
+    statistics: list[dict] | None
+
+
+def stage(rows: DataFrame, table: str, entry: str) -> Staged:
+    """Step 2: write the rows aside.
 
     A stage table that is external leaves its files when it is dropped. Files are cut like
-    the table's: by its partitions, and in its buckets if it has any.
+    the table's: by its partitions, and in its buckets if it has any. Statistics are taken
+    from the tracked columns of the files just written.
     """
     spark = rows.sparkSession
     ensure_dynamic_overwrite(spark)
     aside = _stage_table(table, entry)
     spark.sql(f"CREATE TABLE {aside} LIKE {table} LOCATION '{_root(spark, table)}/{entry}/rows'")
     # Rows of a bucket together, so that a day has few files for each; a hot one is cut up.
-    deal = catalog.bucket_columns(spark, table) or catalog.partition_columns(spark, table)
+    keys = catalog.partition_columns(spark, table)
+    deal = catalog.bucket_columns(spark, table) or keys
     rows.hint("rebalance", *deal).write.insertInto(aside, overwrite=True)
-    written = catalog.existing_partitions(spark, aside)
+    columns = statistics.tracked(spark, table)
+    staged = Staged(
+        catalog.existing_partitions(spark, aside),
+        statistics.measured(spark.table(aside), keys, columns) if columns else None,
+    )
     spark.sql(f"DROP TABLE {aside}")
-    return written
+    return staged
 
 
 def prepare(
-    spark: SparkSession, table: str, entry: str, keys: list[str], written: set[tuple[str, ...]],
+    spark: SparkSession, table: str, entry: str, keys: list[str], staged: Staged,
     emptied: Iterable[tuple[str, ...]] | None,
 ) -> None:
     """Step 3: the manifest, in one atomic rename."""
     gone = catalog.existing_partitions(spark, table) if emptied is None else set(emptied)
-    manifest = {"keys": keys, "written": sorted(written), "emptied": sorted(gone - written)}
+    manifest = {
+        "keys": keys, "written": sorted(staged.written), "emptied": sorted(gone - staged.written),
+        "statistics": staged.statistics,
+    }
     catalog.write_text(spark, f"{_root(spark, table)}/{entry}/{MANIFEST}", json.dumps(manifest))
 
 
@@ -117,9 +134,10 @@ def finish(spark: SparkSession, table: str, entry: str) -> None:
     for values, folder in folders.items():
         if values in existing:
             catalog.set_location(spark, table, keys, values, folder)
-    catalog.drop_partitions(
-        spark, table, keys, {tuple(v) for v in manifest["emptied"]} & existing
-    )
+    gone = {tuple(v) for v in manifest["emptied"]} & existing
+    catalog.drop_partitions(spark, table, keys, gone)
+    if manifest["statistics"] is not None:
+        statistics.record(spark, table, entry, manifest["statistics"] + statistics.emptied(sorted(gone)))
     spark.catalog.refreshTable(table)
     catalog.write_text(spark, f"{root}/{entry}/{DONE}", "{}")
     _sweep(spark, table, entry, manifest)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.functions import dates
-from daybook.operators import journal
+from daybook.operators import journal, statistics
 from daybook.operators.catalog import bucket_columns, partition_columns
 from daybook.operators.filters import open_ended
 from daybook.operators.keys import KEY_BUCKET, latest_per_key, repeated_key, with_key_bucket
@@ -43,8 +43,9 @@ def append(df: DataFrame, table: str) -> bool:
     if not df.columns:
         return False
     keys = bucket_columns(df.sparkSession, table) or partition_columns(df.sparkSession, table)
-    rows = align(df, table)
+    rows, written = statistics.observed(align(df, table), table)
     (rows.hint("rebalance", *keys) if keys else rows).write.insertInto(table)
+    written(statistics.APPENDED)
     return True
 
 
@@ -90,7 +91,9 @@ def full_refresh(df: DataFrame, table: str, staged: bool = False) -> bool:
         return True
     keys = partition_columns(spark, table)
     if not keys:
-        align(df, table).write.insertInto(table, overwrite=True)
+        rows, written = statistics.observed(align(df, table), table)
+        rows.write.insertInto(table, overwrite=True)
+        written(statistics.REPLACED)
         return True
     journal.replace(_as_stored(df, table, keys), table, keys)
     return True

@@ -300,6 +300,8 @@ ORACLE: dict[str, str] = {
     "distinct_partitions": with_views([], "select distinct date from d", DAYS),
     "delta_t0": f"""select * from orders where o_orderdate >
         (select max(o_orderdate) from orders where {ORDERS_OLD})""",
+    "delta_t0_from_statistics": """select * from orders where o_orderdate >
+        (select max(o_orderdate) from orders where o_orderdate < timestamp '1998-04-01')""",
     "delta_t1": "select * from events where ts >= timestamp '2024-01-24' and ts < timestamp '2024-01-25'",
     "delta_range": """select * from lineitem
         where l_shipdate >= timestamp '1997-01-01' and l_shipdate < timestamp '1998-01-01'""",

@@ -130,9 +130,7 @@ def import_tables(
             return jdbc.delta_condition(fields, begin, finish, source.kind)
         if config.delta_mode == "T1":
             return jdbc.delta_condition(fields, *jdbc.day_before(today), source.kind)
-        marks = incremental.watermarks(
-            spark.table(task.target_table), list(task.target_delta_fields)
-        )
+        marks = incremental.table_watermarks(spark, task.target_table, list(task.target_delta_fields))
         return " and ".join(
             jdbc.delta_condition([s], marks[t], None, source.kind)
             for s, t in zip(task.source_delta_fields, task.target_delta_fields)

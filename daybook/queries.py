@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from daybook import schemas
 from daybook.functions import dates, text
 from daybook.operators import (
-    filters, ids, incremental, intervals, journal, merge_on_read, shape, tables, wide,
+    filters, ids, incremental, intervals, journal, merge_on_read, shape, statistics, tables, wide,
 )
 from daybook.operators.joins import broadcast_when_small
 from daybook.plans import hr_views as hr
@@ -346,8 +346,8 @@ def partition_replace_recovered(spark: SparkSession, sf: str) -> DataFrame:
     journal.stage(_stale(fresh).withColumn("event_type", F.lit("lost")), target, journal.begin(spark, target))
     entry = journal.begin(spark, target)
     rows = fresh.where(F.col("date").isin([d for d, in window])).select(spark.table(target).columns)
-    written = journal.stage(rows, target, entry)
-    journal.prepare(spark, target, entry, ["date"], written, window)
+    staged = journal.stage(rows, target, entry)
+    journal.prepare(spark, target, entry, ["date"], staged, window)
     journal.recover(spark, target)
     return spark.table(target)
 
@@ -552,6 +552,21 @@ def delta_t0(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def delta_t0_from_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """T0 beyond a target that has lost its last years and got some months of them back."""
+    target = f"{scratch_database(spark, 'statistics')}.orders"
+    orders = tables.with_derived_partitions(hr.table(spark, sf, "orders"), "o_orderdate-year")
+    tables.full_overwrite(orders.where("year < 2000"), target, ["year"])
+    statistics.track(spark, target, ["o_orderdate", "o_orderkey"])
+    tables.replace_partitions(orders.where("year < 1998"), target, "year", [str(y) for y in range(1997, 2000)])
+    tables.append(orders.where("year = 1998 and month(o_orderdate) <= 3"), target)
+    marks = incremental.table_watermarks(spark, target, ["o_orderdate"])
+    return incremental.newer_than_target(
+        hr.table(spark, sf, "orders"), spark.table(target), [("o_orderdate", "o_orderdate")], marks
+    )
+
+
 @query
 def delta_t1(spark: SparkSession, sf: str) -> DataFrame:
     events = hr.table(spark, sf, "events")
