@@ -381,6 +381,15 @@ ORACLE: dict[str, str] = {
             page % 3 <> 1 as complete, count(*) as n_pages
         from (select event_id // 500 as page, cast(count(*) as int) as held from events group by 1)
         group by all""",
+    "page_quarantine": """select event_id // 500 as page, case when event_id // 500 % 5 = 0 then count(*) else 0 end as n_rows,
+            case event_id // 500 % 5 when 0 then 'loaded' when 1 then 'not valid JSON'
+                when 2 then 'another number of rows than its count' when 3 then 'values of other types'
+                else 'no array of rows' end as reason
+        from events group by event_id // 500""",
+    "page_schema_drift": """select event_id, case when event_id % 3 < 2 then strftime(ts, '%Y-%m-%d %H:%M:%S.%f') end as ts,
+            case when event_id % 3 < 2 or user_id % 2 = 1 then user_id end as user_id,
+            case when event_id % 3 > 0 then value end as value, case when event_id % 3 = 1 then event_type end as kind,
+            case when event_id % 3 = 2 and user_id % 2 = 0 then 'u' || user_id end as rescued from events""",
     "landing_to_table": "select doc_id as docid, text, lang from documents",
     "jdbc_slice_predicates": """select o_orderkey, 1 as n_slices,
         cast(case when o_custkey = 7 then 0 else cast(floor(abs(o_custkey - 499.75)) as bigint) % 10 end as int) as slice from orders""",

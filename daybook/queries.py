@@ -23,7 +23,7 @@ from daybook.operators.joins import broadcast_when_small
 from daybook.plans import hr_views as hr
 from daybook.plans import jobs
 from daybook.session import ensure_bucket_joins, scratch_database, workspace
-from daybook.sources import jdbc, pages
+from daybook.sources import drift, jdbc, pages, quarantine
 from daybook.streaming.current_day import stream_current_day
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -917,6 +917,55 @@ def page_count_check(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+PAGE = "(event_id - event_id % 500) div 500"
+
+
+@query
+def page_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per page: those of five kinds of pages that were loaded, and why the others were not."""
+    items = _event_items(spark, sf)
+    landing, side = workspace(spark, "quarantined-pages"), f"{scratch_database(spark, 'quarantine')}.side"
+    target = side.replace(".side", ".events")
+    quarantine.create_side_table(spark, side)
+    whole = F.to_json(F.struct("page", F.size("items").alias("count"), "items"), {"ignoreNullFields": "false"})
+    (
+        items.groupBy(F.expr(PAGE).alias("page")).agg(F.array_sort(F.collect_list(F.struct(*items.columns))).alias("items"))
+        .select(
+            F.when(F.col("page") % 5 == 1, F.substring(whole, 1, 200))
+            .when(F.col("page") % 5 == 2, F.regexp_replace(whole, '"count":', '"count":9'))
+            .when(F.col("page") % 5 == 3, F.regexp_replace(whole, '"event_id":', '"event_id":"no ","was":'))
+            .when(F.col("page") % 5 == 4, F.concat(F.lit('{"page":'), "page", F.lit(',"items":"none"}')))
+            .otherwise(whole).alias("value")
+        ).write.text(landing)
+    )
+    quarantine.load(
+        spark, landing, items.schema, lambda rows: tables.full_overwrite(rows, target), side, "events", max_share=0.9
+    )
+    good = spark.table(target).groupBy(F.expr(PAGE).cast("long").alias("page")).agg(F.count(F.lit(1)).alias("n_rows"))
+    bad = spark.table(side).select(
+        F.regexp_extract("page", '"page":([0-9]+)', 1).cast("long").alias("page"), F.lit(0).cast("long").alias("n_rows"), "reason"
+    )
+    return good.withColumn("reason", F.lit("loaded")).unionByName(bad)
+
+
+@query
+def page_schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads of events: the second brings new fields, the third loses one and retypes another."""
+    items = _event_items(spark, sf)
+    landing, target = workspace(spark, "drifting"), f"{scratch_database(spark, 'drift')}.events"
+    kind = F.col("event_id") % 3
+    first = items.where(kind == 0).select("event_id", "ts", "user_id")
+    second = items.where(kind == 1).select("event_id", "ts", "user_id", "value", F.col("event_type").alias("kind"))
+    third = items.where(kind == 2).select(
+        "event_id", "value", F.when(F.col("user_id") % 2 == 0, F.concat(F.lit("u"), "user_id"))
+        .otherwise(F.col("user_id").cast("string")).alias("user_id"))
+    tables.full_overwrite(first.limit(0), target)
+    for number, rows in enumerate((first, second, third)):
+        pages.land_pages(rows, f"{landing}/{number}", "event_id")
+        drift.load(spark, f"{landing}/{number}", target)
+    return spark.table(target).withColumn("rescued", F.col("rescued")["user_id"])
+
+
 @query
 def landing_to_table(spark: SparkSession, sf: str) -> DataFrame:
     items = hr.table(spark, sf, "documents").select(

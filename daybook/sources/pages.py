@@ -48,10 +48,7 @@ def read_pages(
             F.col(count).cast("string"),
         ))
     )
-    rows = pages.select(F.inline(whole)).select([
-        F.col(f"`{f.name}`").try_cast("boolean").alias(f.name) if _is_boolean(f) else F.col(f"`{f.name}`")
-        for f in item.fields
-    ])
+    rows = with_booleans(pages.select(F.inline(whole)), item)
     return rows.distinct() if distinct else rows
 
 
@@ -74,12 +71,23 @@ def _is_boolean(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.BooleanType)
 
 
-def _pages(spark: SparkSession, path: str, item: T.StructType, envelope: str, scrub: bool) -> DataFrame:
-    """The envelopes under a path, and the file each comes from; booleans still as text."""
-    as_text = T.StructType([
+def booleans_as_text(item: T.StructType) -> T.StructType:
+    return T.StructType([
         T.StructField(f.name, T.StringType()) if _is_boolean(f) else f for f in item.fields
     ])
-    schema = ENVELOPES[envelope][0](as_text)
+
+
+def with_booleans(rows: DataFrame, item: T.StructType) -> DataFrame:
+    """Booleans that were read as text; one that is neither true nor false is null."""
+    return rows.select([
+        F.col(f"`{f.name}`").try_cast("boolean").alias(f.name) if _is_boolean(f) else F.col(f"`{f.name}`")
+        for f in item.fields
+    ])
+
+
+def _pages(spark: SparkSession, path: str, item: T.StructType, envelope: str, scrub: bool) -> DataFrame:
+    """The envelopes under a path, and the file each comes from; booleans still as text."""
+    schema = ENVELOPES[envelope][0](booleans_as_text(item))
     if scrub:
         return spark.read.text(path).select(
             F.from_json(scrub_json_text(F.col("value")), schema, {"mode": "FAILFAST"}).alias("page"),
