@@ -294,10 +294,14 @@ def _earlier(first: Column, own: Column) -> Column:
 
 
 def _repeated(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Groups that hold two different ids, with the smallest one; combined before the shuffle."""
+    """Groups that hold two different ids, with the smallest one; combined before the shuffle.
+
+    They are few and are dealt once more, so that a join with them has a shuffle on either
+    side: only such a join is split where one group has very many rows.
+    """
     return rows.groupBy(*by).agg(
         F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("none"),
-    ).where("last > first or (none and first is not null)").select(*by, "first")
+    ).where("last > first or (none and first is not null)").select(*by, "first").repartition(*by)
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
