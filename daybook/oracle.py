@@ -274,6 +274,7 @@ ORACLE: dict[str, str] = {
     "partition_replace_one_day": replaced("date = '2024-01-24T00:00:00'"),
     "current_day_refresh": replaced("date = '2024-01-25T00:00:00'"),
     "current_day_refresh_stream": replaced("date = '2024-01-25T00:00:00'"),
+    "current_day_refresh_offsets": replaced("date = '2024-01-25T00:00:00'"),
     "current_day_refresh_two_pulls": replaced("date = '2024-01-25T00:00:00'"),
     "observed_partition_replace": with_views([], """select * from old
         where date not in (select date from fresh where date >= '2024-01-11T00:00:00')
@@ -377,6 +378,9 @@ ORACLE: dict[str, str] = {
             '%Y-%m-%d %H:%M:%S') as start_time from events""",
     "page_json_ingest": ITEMS,
     "page_json_ingest_get": ITEMS,
+    "paged_source": f"select *, substr(ts, 1, 10) as date from ({ITEMS})",
+    "paged_source_get": f"""select *, substr(ts, 1, 10) as date from ({ITEMS})
+        where substr(ts, 1, 10) between '2024-01-10' and '2024-01-20'""",
     "page_count_check": """select case page % 3 when 0 then held when 1 then held + 1 end as declared, held,
             page % 3 <> 1 as complete, count(*) as n_pages
         from (select event_id // 500 as page, cast(count(*) as int) as held from events group by 1)

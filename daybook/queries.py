@@ -17,14 +17,14 @@ from pyspark.sql import types as T
 from daybook import schemas
 from daybook.functions import dates, text
 from daybook.operators import (
-    filters, ids, incremental, intervals, journal, merge_on_read, shape, statistics, tables, wide,
+    catalog, filters, ids, incremental, intervals, journal, merge_on_read, shape, statistics, tables, wide,
 )
 from daybook.operators.joins import broadcast_when_small
 from daybook.plans import hr_views as hr
 from daybook.plans import jobs
 from daybook.session import ensure_bucket_joins, scratch_database, workspace
-from daybook.sources import drift, jdbc, pages, quarantine
-from daybook.streaming.current_day import stream_current_day
+from daybook.sources import drift, jdbc, paged, pages, quarantine
+from daybook.streaming.current_day import stream_current_day, stream_pulls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -379,6 +379,29 @@ def current_day_refresh_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(target)
 
 
+@query
+def current_day_refresh_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """The day refreshed by a stream of pulls, one of which lands late and one breaks off."""
+    target, fresh = _day_table(spark, sf, "offsets")
+    landing, state = workspace(spark, "offset-pulls"), workspace(spark, "offset-state")
+
+    def land(pull: int, rows: DataFrame) -> None:
+        pages.land_pages(rows, f"{landing}/pull={pull}", "event_id")
+
+    def run() -> None:
+        stream_pulls(spark, landing, fresh.schema, target, "date", TODAY, state).awaitTermination()
+
+    land(3, _stale(fresh))
+    run()
+    land(7, fresh)
+    land(8, _stale(fresh))
+    catalog.delete(spark, f"{landing}/pull=8/_SUCCESS")
+    run()
+    land(5, _stale(fresh))
+    run()
+    return spark.table(target)
+
+
 @query
 def current_day_refresh_two_pulls(spark: SparkSession, sf: str) -> DataFrame:
     """The day refreshed after each of three pulls; only the newest one counts."""
@@ -900,6 +923,27 @@ def page_json_ingest_get(spark: SparkSession, sf: str) -> DataFrame:
     return pages.read_pages(spark, f"{landing}/*", items.schema, envelope="get", distinct=True)
 
 
+def _paged(spark: SparkSession, sf: str, envelope: str) -> DataFrame:
+    items = _event_items(spark, sf).withColumn("date", F.substring("ts", 1, 10))
+    landing = workspace(spark, f"paged-{envelope}")
+    pages.land_requests(items, landing, "date", "event_id", envelope=envelope, page_rows=70)
+    paged.register(spark)
+    source = spark.read.format("paged").schema(items.schema).option("envelope", envelope)
+    return source.option("page_rows", 70).option("group_pages", 3).load(landing)
+
+
+@query
+def paged_source(spark: SparkSession, sf: str) -> DataFrame:
+    """Every day of the events, asked for page by page."""
+    return _paged(spark, sf, "post")
+
+
+@query
+def paged_source_get(spark: SparkSession, sf: str) -> DataFrame:
+    """The GET envelope; days outside the window are not asked for."""
+    return _paged(spark, sf, "get").where(F.col("date").between("2024-01-10", "2024-01-20"))
+
+
 @query
 def page_count_check(spark: SparkSession, sf: str) -> DataFrame:
     """Pages whose count is right, too large, or not there; read back as declared and held."""

@@ -132,6 +132,29 @@ def land_pages(
     )
 
 
+def land_requests(
+    df: DataFrame, path: str, key: str, *order_by: str, envelope: str = "post", page_rows: int = PAGE_ROWS
+) -> None:
+    """Write a frame as the answers of a paged source: ``<key>=<day>/page=<number>/``, from page 1.
+
+    Every page declares the rows of its whole day, as such a source does. Rows are numbered
+    over all days at once, so a day may be larger than a task.
+    """
+    _, count, array = ENVELOPES[envelope]
+    numbered = sequential_id(df, "_row", key, *order_by)
+    days = numbered.groupBy(F.col(key).alias("_day")).agg(
+        F.min("_row").alias("_first"), F.count(F.lit(1)).cast("int").alias("_total"))
+    paged = numbered.join(F.broadcast(days), F.col(key) == F.col("_day")).withColumn(
+        "page", F.expr(f"(_row - _first) div {page_rows} + 1"))
+    (
+        paged.groupBy("_day", "page", "_total").agg(F.collect_list(F.struct(*df.columns)).alias(array))
+        .select(F.col("_day").alias(key), "page", F.to_json(
+            F.struct(F.col("_total").alias(count), F.col(array)), {"ignoreNullFields": "false"}
+        ).alias("value"))
+        .write.partitionBy(key, "page").text(path)
+    )
+
+
 def landing_to_table(
     spark: SparkSession, path: str, item: T.StructType, table: str, envelope: str = "post",
     scrub: bool = False,
