@@ -294,14 +294,10 @@ def _earlier(first: Column, own: Column) -> Column:
 
 
 def _repeated(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Groups that hold two different ids, with the smallest one; combined before the shuffle.
-
-    They are few and are dealt once more, so that a join with them has a shuffle on either
-    side: only such a join is split where one group has very many rows.
-    """
+    """Groups that hold two different ids, with the smallest one; combined before the shuffle."""
     return rows.groupBy(*by).agg(
         F.min("id").alias("first"), F.max("id").alias("last"), F.max(F.col("id").isNull()).alias("none"),
-    ).where("last > first or (none and first is not null)").select(*by, "first").repartition(*by)
+    ).where("last > first or (none and first is not null)").select(*by, "first")
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
@@ -341,7 +337,10 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
         "doubling-base",
     )
     halves = base.select("row", "id", F.explode("keys").alias("key"))
-    met = halves.join(_repeated(halves, ["key"]).hint("merge"), "key").groupBy("row").agg(
+    # Groups that are read back are shuffled on either side of the join that follows, and only
+    # such a join is split where one group has very many rows.
+    again = staged(_few(_repeated(halves, ["key"])), "doubling-again")
+    met = halves.join(again.hint("merge"), "key").groupBy("row").agg(
         F.collect_list("key").alias("keys"),
         F.collect_list(F.when(_earlier(F.col("first"), F.col("id")), F.col("key"))).alias("later"),
     )
@@ -372,7 +371,8 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
         .mapInArrow(_unproved(window), f"doc binary, id {kind}, at int, x long, y long"),
         "doubling-rest",
     )
-    single = rest.join(_repeated(rest, ["x", "y"]).hint("merge"), ["x", "y"]).where(
+    twice = staged(_few(_repeated(rest, ["x", "y"])), "doubling-twice")
+    single = rest.join(twice.hint("merge"), ["x", "y"]).where(
         _earlier(F.col("first"), F.col("id"))
     ).select("doc", "at", (F.col("at") + window).alias("stop"))
     ranges = proofs.unionByName(single).groupBy("doc").agg(
