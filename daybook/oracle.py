@@ -403,6 +403,11 @@ ORACLE: dict[str, str] = {
     "job_audit": """select 'orders' as table_name, '1' as status, 'update success' as info, true as ended,
             count(*) as n_rows from orders
         union all select 'broken', '0', 'the source didn''t answer', false, null""",
+    "dependent_loads": """select 'lineitem' as table_name, '1' as status, count(*) as n_rows from lineitem
+        union all select 'orders', '1', count(*) from orders union all select 'customer', '1', count(*) from customer
+        union all select 'items', '1', count(*) from lineitem join orders on l_orderkey = o_orderkey
+        union all select 'buyers', '1', count(*) from orders join customer on o_custkey = c_custkey
+        union all select 'part', '0', null union all select 'open_items', '2', null""",
     "multi_table_load": """select 'customer' as table_name, '1' as status, count(*) as n_rows from customer
         union all select 'orders', '1', count(*) from orders union all select 'part', '1', count(*) from part
         union all select 'lineitem', '1', count(*) from lineitem union all select 'broken', '0', null""",

@@ -20,8 +20,8 @@ from daybook.operators import (
     catalog, filters, ids, incremental, intervals, journal, merge_on_read, shape, statistics, tables, wide,
 )
 from daybook.operators.joins import broadcast_when_small
+from daybook.plans import graph, jobs
 from daybook.plans import hr_views as hr
-from daybook.plans import jobs
 from daybook.session import ensure_bucket_joins, scratch_database, workspace
 from daybook.sources import drift, jdbc, paged, pages, quarantine
 from daybook.streaming.current_day import stream_current_day, stream_pulls
@@ -1099,3 +1099,32 @@ def multi_table_load(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(f"{db}.audit").select("table_name", "status").join(
         counts, "table_name", "left"
     )
+
+
+@query
+def dependent_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Loads that need each other's tables: one base table fails, what needs it is skipped."""
+    db = scratch_database(spark, "graph")
+    jobs.create_audit_table(spark, f"{db}.audit")
+    missing = hr.table(spark, sf, "part").select("p_partkey")
+
+    def copy(name: str) -> Callable[[], object]:
+        return lambda: tables.full_overwrite(hr.table(spark, sf, name), f"{db}.{name}")
+
+    def joined(name: str, left: str, right: str, on: str) -> Callable[[], object]:
+        return lambda: tables.full_overwrite(
+            spark.table(f"{db}.{left}").join(spark.table(f"{db}.{right}"), F.expr(on)), f"{db}.{name}")
+
+    tables.full_overwrite(hr.table(spark, sf, "part"), f"{db}.part")
+    graph.load_dependent(spark, f"{db}.audit", {
+        "open_items": graph.Load(joined("open_items", "items", "part", "l_partkey = p_partkey"), ["items", "part"]),
+        "items": graph.Load(joined("items", "lineitem", "orders", "l_orderkey = o_orderkey"), ["lineitem", "orders"]),
+        "buyers": graph.Load(joined("buyers", "orders", "customer", "o_custkey = c_custkey"), ["orders", "customer"]),
+        "lineitem": graph.Load(copy("lineitem")), "orders": graph.Load(copy("orders")), "customer": graph.Load(copy("customer")),
+        "part": graph.Load(lambda: tables.append(missing, f"{db}.part"), retries=1),
+    })
+    counts = reduce(DataFrame.unionByName, [
+        spark.table(f"{db}.{name}").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(name))
+        for name in ("lineitem", "orders", "customer", "items", "buyers")
+    ])
+    return spark.table(f"{db}.audit").select("table_name", "status").join(counts, "table_name", "left")
