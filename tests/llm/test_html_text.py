@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,65 @@ def test_long_page():
     assert main_text("<" * 100_000).startswith("<")
 
 
+@pytest.mark.parametrize("piece", [
+    "<a ", "</p>", "</div>", '<a "', "<!--", "<!x", "<p title='", '<a x="y', "<script", "<title>", "<b <i>", "<", "<div>",
+])
+def test_broken_markup_takes_linear_time(piece):
+    began = time.process_time()
+    main_text(piece * (1_000_000 // len(piece)))
+    assert time.process_time() - began < 5
+
+
+def test_many_unmatched_ends_in_deep_pages():
+    began = time.process_time()
+    assert main_text("<article>" + "<div>" * 100_000 + "deep" + "</p>" * 100_000 + " end") == "deep end"
+    assert time.process_time() - began < 5
+
+
+PROSE = f"<p>{GOOD}</p><p>{MORE}</p><p>{GOOD} And so on.</p>"
+
+
+@pytest.mark.parametrize("begin, end", [
+    ('<div class="content-sidebar-wrap">', "</div>"), ('<div id="content" class="no-sidebar">', "</div>"),
+    ('<section id="related-work">', "</section>"), ('<div class="notice-board-post">', "</div>"),
+    ('<form action="/" method="post">', "</form>"), ('<div role="form">', "</div>"),
+    ("<title-bar></title-bar><style-box>", "</style-box>"), ('<form><div class="has-sidebar">', "</div></form>"),
+])
+def test_a_container_of_the_whole_text_is_text(begin, end):
+    page = f"<body><nav><a href=/>Home</a></nav>{begin}{PROSE}{end}<footer>{GOOD} {MORE} {GOOD} {MORE}</footer></body>"
+    assert main_text(page) == f"{GOOD} {MORE} {GOOD} And so on."
+
+
+@pytest.mark.parametrize("begin, end", [
+    ('<div class="sidebar">', "</div>"), ('<form class="search">', "</form>"), ('<div id="comments">', "</div>"),
+    ("<aside>", "</aside>"), ('<div class="cookie-notice">', "</div>"), ('<div style="display: none">', "</div>"),
+])
+def test_other_containers_are_not(begin, end):
+    page = f"<body><div class=content>{PROSE}</div>{begin}<p>{MORE}</p><p>{GOOD}</p>{end}</body>"
+    assert main_text(page) == f"{GOOD} {MORE} {GOOD} And so on."
+
+
+def test_comments_are_never_text():
+    page = f"<body><p>{GOOD}</p><div class=comments>{PROSE * 9}</div></body>"
+    assert main_text(page) == GOOD
+
+
+def test_languages_without_known_stop_words():
+    text = "Пример текста на русском языке, который достаточно длинный. Он состоит из нескольких предложений! Да, это так."
+    menu = "<ul>" + "<li><a href=x>Меню</a></li>" * 5 + "</ul>"
+    assert len(text) < 120 and main_text(f"{menu}<div><p>{text * 2}</p><p>Да.</p></div>{menu}") == f"{text * 2} Да."
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p title='<b>'>x</p>", "x"), ("<article><p a=b <b>x</b>", "x"), ("<article><p>x<br/>y", "x y"),
+    ("<article><p title=\"it's\">x</p>", "x"), ("<article><p title=it's>x</p><p>y</p>", "x y"),
+    ("<article><title-bar>x</title-bar><p>y", "x y"), ("<article><script/>no</script><p>y", "y"),
+    ("<article><STYLE>no</Style ><p>y", "y"), ("<article><!doctype x><?php y><p>z", "z"),
+])
+def test_tags(page, text):
+    assert main_text(page) == text
+
+
 def reference(page):
     """The contents of the one article of a generated page, by plain substitution."""
     inner = re.search(r"<article>(.*?)(</article>|$)", page, re.S).group(1)
