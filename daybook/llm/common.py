@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.operators.joins import broadcast_when_small
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 #: Rows that one slice of a hot group holds, and the least number of slices.
@@ -38,7 +42,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 @cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="daybook-llm-")
+    folder = tempfile.mkdtemp(prefix="daybook-llm-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -55,6 +61,27 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_rows(docs: DataFrame, **keys: Column) -> DataFrame:
+    """Rows as one column ``_row`` beside keys, so that no key's name can clash with theirs.
+
+    Keys are expressions over the rows' own columns; ``select("_row.*")`` gives the rows back.
+    """
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    return docs.select(own, *[k.alias(n) for n, k in keys.items()])
+
+
+def without(docs: DataFrame, gone: DataFrame, **keys: Column) -> DataFrame:
+    """The rows whose keys are not among ``gone``, which has a column of each key's name.
+
+    Nulls equal each other. A list of measured small size is broadcast, so the rows stay
+    where they are; a longer one is joined by merge. The result is the same.
+    """
+    small, = broadcast_when_small(staged(gone.distinct(), "gone"))
+    small = small.select(*[F.col(k).alias(f"_gone_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in keys]
+    return whole_rows(docs, **keys).join(small, same, "left_anti").select("_row.*")
+
+
 def slices_for(rows: int) -> int:
     """Into how many slices a group is dealt, so that none outgrows a task at any size."""
     return max(MIN_SLICES, -(-rows // SLICE_ROWS))

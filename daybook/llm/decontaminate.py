@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import staged, text_chunks
+from daybook.llm.common import staged, text_chunks, without
 from daybook.llm.words import Words, words_of
 
 WINDOW = 10
@@ -260,8 +260,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents without any hit, with all their columns.
 
-    A document goes if a row with its id is hit. Rows with a null id are judged together.
+    A document goes if a row with its id is hit; rows with a null id are judged together, and
+    repeated rows alike. Without items, or without documents, nothing goes. Names of other
+    columns do not matter.
     """
     found = contamination(docs, items, id_col=id_col, **options)
-    hit = found.where("n_hit > 0").select(F.col(id_col).alias("_hit")).distinct()
-    return docs.join(hit, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")
+    return without(docs, found.where("n_hit > 0").select(F.col(id_col).alias("id")), id=F.col(id_col))

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import slices_for, staged, with_group_totals
+from daybook.llm.common import SLICE_ROWS, slices_for, staged, whole_rows, with_group_totals, without
+from daybook.operators.joins import broadcast_when_small
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -75,49 +76,55 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def _collisions(texts: DataFrame, keys: DataFrame, slices: int) -> DataFrame:
     """Hash and SHA-256 of texts that differ in their bytes from the one that stays.
 
-    Normally empty. Members of a group meet a copy of the first member's text in each
-    slice of the group, so no task compares a whole hot group.
+    Normally empty. Only texts of groups of more than one row are moved: the others are left
+    out beforehand where the list of the groups' hashes is small. Members of a hot group are
+    dealt over slices by their place, and meet a copy of the first member's text in each
+    slice, so no task compares a whole hot group, whatever its ids are.
     """
-    dealt = keys.withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
-    parts = dealt.groupBy("hash", "_slice").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "sha")).alias("first"),
-        F.count(F.lit(1)).alias("n"),
-    )
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "row", "sha")
     groups = staged(
-        parts.groupBy("hash").agg(
-            F.min("first").alias("first"), F.sum("n").alias("n"),
-            F.collect_list("_slice").alias("slices"),
-        ).where("n > 1").select("hash", "first", F.explode("slices").alias("_slice")),
+        keys.groupBy("hash").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("hash", "first", (F.col("n") > SLICE_ROWS).alias("hot")),
         "exact-groups",
     )
+    hashes, hot = broadcast_when_small(groups.select("hash"), groups.where("hot").select("hash", "hot"))
+    own = texts.join(hashes, "hash", "left_semi").withColumn("_place", F.monotonically_increasing_id())
+    slot = F.when(F.col("hot"), F.pmod("_place", F.lit(slices))).otherwise(0).cast("int")
     members = staged(
-        texts.withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
-        # The same plan at every size: texts of groups are too large to count on a broadcast.
-        .join(groups.hint("merge"), ["hash", "_slice"]),
-        "exact-members",
+        own.join(hot, "hash", "left").withColumn("_slice", slot).drop("hot", "_place"), "exact-members"
     )
+    every = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(F.array(F.lit(0)))
     sha = F.unhex(F.sha2(F.col("norm").cast("binary"), 256))
     kept = (
-        members.where(F.col("id").eqNullSafe(F.col("first.id")))
-        .where(sha == F.col("first.sha"))
+        members.join(groups.select("hash", "first").hint("merge"), "hash")
+        .where(F.col("id").eqNullSafe(F.col("first.id"))).where(sha == F.col("first.sha"))
         .groupBy("hash").agg(F.min("norm").alias("kept_norm"))
-        .join(groups.select("hash", "_slice"), "hash")
+        .join(groups.select("hash", F.explode(every).alias("_slice")), "hash")
     )
     return (
-        members.join(kept, ["hash", "_slice"])
+        members.join(kept.hint("merge"), ["hash", "_slice"])
         .where(F.col("norm") != F.col("kept_norm")).select("hash", sha.alias("sha")).distinct()
     )
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; see :func:`exact_duplicates`."""
+    """The rows that stay, with all their columns; see :func:`exact_duplicates`.
+
+    Of rows that repeat both the id and the text, null ids included, one stays. A null text
+    counts as empty. Without documents there are no rows. Names of other columns do not matter.
+    """
     found = exact_duplicates(docs, id_col, text_col)
-    # One text key for both sides: a null id is a value like any other.
-    key = F.concat(F.when(F.col(id_col).isNull(), "n").otherwise("v"),
-                   F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("_key")
-    stay = found.where("kept").select(key, F.unhex("text_sha256").alias("_sha"))
-    sha = F.unhex(F.sha2(normalised(F.col(text_col)).cast("binary"), 256)).alias("_sha")
-    return (
-        docs.select("*", key, sha).join(stay, ["_key", "_sha"], "left_semi")
-        .dropDuplicates(["_key", "_sha"]).select(*docs.columns)
+    states = staged(
+        found.groupBy(F.col(id_col).alias("id"), F.unhex("text_sha256").alias("sha")).agg(
+            F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")
+        ).where("not stays or n > 1"),
+        "exact-states",
     )
+    sha = F.unhex(F.sha2(normalised(F.col(text_col)).cast("binary"), 256))
+    keys = {"id": F.col(id_col), "sha": sha}
+    single = without(docs, states.select("id", "sha"), **keys)
+    again, = broadcast_when_small(states.where("stays").select("id", "sha"))
+    again = again.select(F.col("id").alias("_id"), F.col("sha").alias("_sha"))
+    same = [F.col("id").eqNullSafe(F.col("_id")), F.col("sha") == F.col("_sha")]
+    repeated = whole_rows(docs, **keys).join(again, same, "left_semi").dropDuplicates(["id", "sha"])
+    return single.unionByName(repeated.select("_row.*"))

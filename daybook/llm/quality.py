@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import staged
+from daybook.llm.common import staged, without
 
 #: The forest and the rule weights are fitted on at most about this many labelled rows.
 FIT_ROWS = 50_000
@@ -200,8 +200,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **opti
     """The documents that are predicted good, with all their columns.
 
     A document goes if a row with its id is predicted bad; rows with a null id are judged
-    together.
+    together, and repeated rows alike. A null or empty text is scored like any other. Without
+    documents there are no rows. Names of other columns do not matter.
     """
     found = quality_scores(docs, labels, id_col=id_col, **options)
-    bad = found.where("predicted = 0").select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    return without(docs, found.where("predicted = 0").select(F.col(id_col).alias("id")), id=F.col(id_col))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.bktree import spanning_links
-from daybook.llm.common import slices_for, staged, with_group_totals
+from daybook.llm.common import slices_for, staged, with_group_totals, without
 from daybook.llm.components import components
 
 BITS = 64
@@ -207,8 +207,12 @@ def keep_one(docs: DataFrame, shingle: int = 4, radius: int = 4, id_col: str = "
     """The document with the smallest id of each group, with all its columns.
 
     Ids are taken to name documents, as after exact dedup: a row stays if its id is its
-    component's. Rows with a null id cannot be told apart and all stay.
+    component's. Rows with a null id cannot be told apart and all stay. Repeated rows are
+    judged alike; without documents there are no rows. Names of other columns do not matter.
     """
     found = near_duplicates(docs, shingle, radius, id_col, text_col)
-    stay = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    return docs.join(stay, id_col, "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
+    # An id whose rows have different texts stays if one of them is the first of its group.
+    gone = found.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
+        F.max(F.col(id_col) == F.col("component_id")).alias("stays")
+    ).where(~F.col("stays")).select("id")
+    return without(docs, gone, id=F.col(id_col))

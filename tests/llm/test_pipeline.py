@@ -63,3 +63,50 @@ def test_last_stage_and_rows(spark, kept):
         assert next(iter(rows.values())).__fields__ == ["doc_id", "text", "lang", "source", "n_chars"]
     result = corpus_pipeline.run(spark, SF_DIR)
     assert {r.doc_id: r.pieces for r in result.collect()} == {i: r.pieces for i, r in kept[5].items()}
+
+
+ODD = ("doc_id long, text string, _key int, _sha int, _hit int, _bad int, _row int, id int, sha int, fp int, "
+       "_id int, _gone_id int, hash int, _slice int, first int, gone int")
+
+
+def odd_documents(spark):
+    """Null ids and texts, empty and long texts, repeated rows, and every name the stages use."""
+    prose = {r.doc_id: r.text for r in read_table(spark, SF_DIR, "documents").limit(40).collect()}
+    rows = [(i, t) for i, t in prose.items()] + [(i + 1000, t) for i, t in prose.items()]
+    rows += [(None, None), (None, None), (None, "some text"), (2000, None), (2001, ""), (2001, ""), (2002, "  \n"), (2003, "x" * 300_000)]
+    rows += [(2004, "word " * 60_000), (2005, prose[0]), (2005, prose[1])]
+    return spark.createDataFrame([(i, t, *range(14)) for i, t in rows], ODD)
+
+
+@pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
+@pytest.mark.parametrize("empty", [False, True])
+def test_odd_documents_through_every_stage(spark, stage, empty):
+    docs = odd_documents(spark)
+    docs = docs.where("false") if empty else docs
+    name, function = corpus_pipeline.STAGES[stage]
+    found = function(spark, docs, SF_DIR)
+    rows = found.collect()
+    if stage < len(corpus_pipeline.STAGES) - 1:
+        assert found.columns == docs.columns
+        assert all(tuple(r)[2:] == tuple(range(14)) for r in rows)
+    assert bool(rows) != empty
+    ids = [r.doc_id for r in rows]
+    if name == "exact dedup" and not empty:
+        texts = [re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "") for r in rows]
+        assert len(texts) == len(set(texts)) and min(i for i in ids if i is not None and i >= 2000) == 2000
+        assert {2001, 2005, 1001} & set(ids) == set()
+    if name == "simhash near-dedup" and not empty:
+        assert ids.count(None) == 3 and 2001 not in ids and 1001 not in ids
+    if name == "sentencepiece" and not empty:
+        assert len(rows) == docs.count()
+
+
+def test_the_whole_pipeline_on_odd_documents(spark, tmp_path):
+    for name in ("labels", "benchmark"):
+        read_table(spark, SF_DIR, name).write.parquet(f"{tmp_path}/odd/{name}.parquet")
+        read_table(spark, SF_DIR, name).where("false").write.parquet(f"{tmp_path}/empty/{name}.parquet")
+    odd_documents(spark).write.parquet(f"{tmp_path}/odd/documents.parquet")
+    odd_documents(spark).where("false").write.parquet(f"{tmp_path}/empty/documents.parquet")
+    found = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert len(found) > 10 and len({r.doc_id for r in found if r.doc_id is not None}) >= len(found) - 3
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
