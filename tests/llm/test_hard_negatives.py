@@ -1,0 +1,152 @@
+"""Hard negatives against a ranking of all rows; the intervals against all scores."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.llm import hard_negatives
+from daybook.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def brute(rows, is_anchor, n_pos=5, n_neg=10, floor=30, ceiling=90):
+    """Rows (id, vector, label) to (anchor, positive, rank, negative, scores), by full ranking."""
+    held = {}
+    for i, vector, label in rows:
+        if i is None or label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        ints = [math.floor(256 * float(np.float32(x))) for x in vector]
+        if all(abs(x) <= 1 << 26 for x in ints):
+            held.setdefault(i, []).append((label, ints))
+    held = {i: v[0] for i, v in held.items()}
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    out = []
+    for a, (label, query) in held.items():
+        if not is_anchor(a):
+            continue
+        ranked = sorted(((-dot(query, v), i, l) for i, (l, v) in held.items() if i != a))
+        for ps, p, _ in [r for r in ranked if r[2] == label][:n_pos]:
+            band = [r for r in ranked if r[2] != label and floor * -ps <= 100 * -r[0] <= ceiling * -ps][:n_neg]
+            out += [(a, p, k, i, -ps, -s) for k, (s, i, _) in enumerate(band, 1)]
+    return sorted(out)
+
+
+SCHEMA = "vec_id long, embedding array<float>, label int, id string, packed int, block int"
+
+
+def mined(spark, rows, every=10, **options):
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
+    return sorted(tuple(r) for r in hard_negatives.hard_negatives(
+        df, label=F.col("label"), anchor=F.col("vec_id") % every == 0, **options).collect())
+
+
+def clustered(n, dims, labels, seed=1, scale=0.3):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((labels, dims))
+    out = []
+    for i in range(n):
+        label = int(rng.integers(labels))
+        out.append((i, (scale * (centres[label] + centres[0] + rng.standard_normal(dims))).tolist(), label))
+    return out
+
+
+@pytest.mark.parametrize("dims", [1, 3, 64, 70, 130])
+@pytest.mark.parametrize("block_rows", [7, 1000])
+def test_against_a_full_ranking(spark, dims, block_rows):
+    rows = clustered(150, dims, 3, seed=dims)
+    got = mined(spark, rows, block_rows=block_rows)
+    assert got == brute(rows, lambda i: i % 10 == 0) and (dims == 1 or len(got) > 100)
+
+
+def test_packs_and_slices(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "PACK_ANCHORS", 2)
+    monkeypatch.setattr(hard_negatives, "PACKS_AT_ONCE", 2)
+    rows = clustered(120, 8, 4)
+    assert mined(spark, rows, every=3, block_rows=11) == brute(rows, lambda i: i % 3 == 0)
+
+
+def test_ties_and_copies(spark):
+    """A third of the rows is one vector; ties are broken by id."""
+    rows = [(i, [1.0, 0.5, 0.25] if i % 3 else [float(i % 5), 1.0, -0.5], i % 2) for i in range(90)]
+    got = mined(spark, rows, block_rows=16)
+    assert got == brute(rows, lambda i: i % 10 == 0) and got
+
+
+def test_rows_that_take_no_part(spark):
+    rows = clustered(60, 4, 2) + [
+        (100, None, 1), (110, [1.0, None, 0.0, 0.0], 1), (120, [1.0, float("nan"), 0.0, 0.0], 1), (130, [float("inf")] * 4, 1),
+        (140, [1.0] * 4, None), (None, [1.0] * 4, 1), (150, [3e5, 0.0, 0.0, 0.0], 1), (160, [], 1), (170, [0.5], 0),
+        (180, [1e38, 0.0, 0.0, 0.0], 0),
+    ]
+    got = mined(spark, rows)
+    assert got == brute(rows, lambda i: i % 10 == 0)
+    assert not {100, 110, 120, 130, 140, 150, 180} & {x for r in got for x in (r[0], r[1], r[3])}
+
+
+def test_repeated_ids_are_one_row(spark):
+    rows = clustered(60, 4, 2)
+    assert mined(spark, rows + rows[:30]) == mined(spark, rows)
+    twice = rows + [(0, [9.0, 9.0, 9.0, 9.0], 1 + rows[0][2])]
+    assert mined(spark, twice) == mined(spark, rows)  # the smaller label counts
+
+
+def test_large_components_stay_exact(spark):
+    """Scores beyond what floating point holds exactly."""
+    rng = np.random.default_rng(2)
+    rows = [(i, (rng.standard_normal(40) * 60_000).clip(-260_000, 260_000).astype(np.float32).tolist(), i % 2) for i in range(60)]
+    got = mined(spark, rows)
+    assert got == brute(rows, lambda i: i % 10 == 0) and max(r[4] for r in got) > 2 ** 50
+
+
+def test_nothing_to_mine(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(10, [1.0], 1)]) == []
+    assert mined(spark, [(10, [1.0], 1), (11, [1.0], 1)]) == []  # no other label
+    assert mined(spark, [(1, [1.0], 1), (2, [0.5], 2)]) == []  # no anchor
+    assert mined(spark, [(10, [1.0], 1), (11, [-1.0], 1), (12, [-0.5], 2)]) == []  # a negative score has no band
+
+
+def as_block(vectors, labels):
+    ints = np.floor(256 * np.asarray(vectors)).astype(np.int64)
+    words, aligned, rest = hard_negatives.codes(ints)
+    return ints, hard_negatives.Block({
+        "ids": np.arange(len(ints)).tobytes(), "labels": np.asarray(labels, np.int64).tobytes(),
+        "ints": ints.astype("<i4").tobytes(), "words": words.tobytes(), "aligned": aligned.tobytes(), "rest": rest.tobytes(),
+    }, ints.shape[1])
+
+
+def test_intervals_hold_every_score():
+    rows = clustered(2000, 64, 5, scale=0.1)
+    ints, block = as_block([r[1] for r in rows], [r[2] for r in rows])
+    for a in range(0, 2000, 100):
+        low, high = block.intervals(ints[a])
+        scores = ints @ ints[a]
+        assert (low <= scores).all() and (scores <= high).all()
+
+
+def test_near_rows_save_scoring_the_others():
+    """Ten near copies of each label; only a few of the other rows are scored with integers."""
+    rng = np.random.default_rng(4)
+    far = rng.standard_normal((5000, 64))
+    near = rng.standard_normal(64)
+    vectors = np.concatenate([far, near + 0.2 * rng.standard_normal((10, 64)), 0.8 * near + 0.2 * rng.standard_normal((20, 64))])
+    labels = np.concatenate([rng.integers(0, 2, 5000), np.zeros(10), np.ones(20)])
+    ints, block = as_block(vectors, labels)
+    ids, scores = hard_negatives.nearest_of_label(block, 5000, 0, ints[5000], 5)
+    assert set(ids) <= set(range(5001, 5010)) and 0 < block.scored < 500
+    block.scored = 0
+    (found, _), *_ = hard_negatives.negatives_in_bands(block, 0, ints[5000], scores, 10, 30, 90)
+    assert set(found) <= set(range(5010, 5030)) and len(found) == 10 and 0 < block.scored < 2000
+
+
+def test_query_against_brute_force(spark):
+    rows = [
+        (r.vec_id, r.embedding, (r.label + 1) % 10 if r.vec_id % 7 == 0 else r.label)
+        for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").collect()
+    ]
+    got = QUERIES["op13_hard_negatives"](spark, SF_DIR)
+    assert got.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, lambda i: i % 100 == 0)
