@@ -69,27 +69,31 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _step(weights, state, inputs):
-    """One step of the cell for all lanes: new state, and what the way back needs."""
+def _step(again, state, x):
+    """One step of the cell for all lanes, given their input: new state, and what the way back needs."""
     size = state.shape[1]
-    x, h = weights["gates"][inputs], state @ weights["again"]
-    both = _sigmoid(x[:, :2 * size] + h[:, :2 * size])
-    keep, reset = both[:, :size], both[:, size:]
-    new = np.tanh(x[:, 2 * size:] + reset * h[:, 2 * size:])
-    return new + keep * (state - new), (keep, reset, new, h[:, 2 * size:])
-
-
+    h = state @ again
+    both = x[:, :2 * size] + h[:, :2 * size]
+    _sigmoid(both)
+    keep, reset, h_new = both[:, :size], both[:, size:], h[:, 2 * size:]
+    new = reset * h_new
+    new += x[:, 2 * size:]
+    np.tanh(new, out=new)
+    state = state - new
+    state *= keep
+    state += new
+    return state, (keep, reset, new, h_new)
+
+
+#: Tokens whose class logits are looked at together: they stay in a core's own cache.
+CHUNK = 1024
 #: Logits that lie this close together need no maximum of their own in each row.
 SAFE_RANGE = 60.0
 
 
-def _softmax(states: np.ndarray, matrix: np.ndarray, target: np.ndarray, want_error: bool):
-    """Log probability of each target and, if wanted, target minus probabilities.
-
-    ``states`` has a last column of ones, ``matrix`` a last row of biases.
-    """
-    rows = np.arange(len(states))
-    logits = states @ matrix
+def _softmax(logits: np.ndarray, target: np.ndarray, want_error: bool):
+    """Log probability of each target and, if wanted, target minus probabilities; takes the logits."""
+    rows = np.arange(len(logits))
     top = logits.max()
     logits -= top if top - logits.min() < SAFE_RANGE else logits.max(axis=1, keepdims=True)
     found = logits[rows, target]
@@ -103,42 +107,57 @@ def _softmax(states: np.ndarray, matrix: np.ndarray, target: np.ndarray, want_er
     return found, logits
 
 
-def output(weights, shape: Shape, states, classes, words, gradient=None):
-    """Natural log probability of each token; with ``gradient``, adds that of their sum.
+def output(weights, shape: Shape, states, classes, words, gradient=None, scale: float = 1.0):
+    """Natural log probability of each token; with ``gradient``, adds ``scale`` times that of their sum.
 
     ``words`` is the head word of a token, or -1 in a tail class. Returns the log
-    probabilities and, with ``gradient``, the gradient for the states.
+    probabilities and, with ``gradient``, ``scale`` times the gradient for the states.
     """
-    size, learn = shape.state, gradient is not None
-    ones = np.ones((len(states), size + 1), states.dtype)
-    ones[:, :size] = states
-    matrix = np.vstack((weights["to_class"], weights["class_bias"]))
-    logs, error = _softmax(ones, matrix, classes, learn)
-    found = logs.astype(np.float64)
-    back = None
-    if learn:
-        added = ones.T @ error
-        gradient["to_class"] += added[:size]
-        gradient["class_bias"] += added[size]
-        back = error @ weights["to_class"].T
+    learn = gradient is not None
+    found = np.empty(len(states), np.float64)
+    back = np.empty_like(states) if learn else None
+    for first in range(0, len(states), CHUNK):
+        part = slice(first, first + CHUNK)
+        logits = states[part] @ weights["to_class"]
+        logits += weights["class_bias"]
+        found[part], error = _softmax(logits, classes[part], learn)
+        if learn:
+            error *= np.float32(scale)
+            gradient["to_class"] += states[part].T @ error
+            gradient["class_bias"] += error.sum(axis=0)
+            back[part] = error @ weights["to_class"].T
     order = np.argsort(classes, kind="stable")
     bounds = np.searchsorted(classes[order], np.arange(len(shape.head_bounds)))
-    matrix = np.vstack((weights["to_word"].T, weights["word_bias"]))
+    sorted_states, sorted_words = states[order], words[order]
     for k, (low, high) in enumerate(zip(shape.head_bounds, shape.head_bounds[1:])):
-        rows = order[bounds[k]:bounds[k + 1]]
-        if not len(rows) or high - low < 2:
+        first, last = bounds[k], bounds[k + 1]
+        if first == last or high - low < 2:
             continue
-        own = ones[rows]
-        logs, error = _softmax(own, matrix[:, low:high], words[rows] - low, learn)
+        own, matrix = sorted_states[first:last], weights["to_word"][low:high]
+        logits = own @ matrix.T
+        logits += weights["word_bias"][low:high]
+        logs, error = _softmax(logits, sorted_words[first:last] - low, learn)
+        rows = order[first:last]
         found[rows] += logs
         if learn:
-            added = error.T @ own
-            gradient["to_word"][low:high] += added[:, :size]
-            gradient["word_bias"][low:high] += added[:, size]
-            back[rows] += error @ weights["to_word"][low:high]
+            error *= np.float32(scale)
+            gradient["to_word"][low:high] += error.T @ own
+            gradient["word_bias"][low:high] += error.sum(axis=0)
+            back[rows] += error @ matrix
     return found, back
 
 
+class Rows:
+    """The rows of a large matrix that a gradient touches, and their values."""
+
+    def __init__(self):
+        self.at, self.values = np.empty(0, np.int64), None
+
+    def add(self, at: np.ndarray, values: np.ndarray) -> None:
+        """``at`` holds no row twice; called once for each window."""
+        self.at, self.values = at, values
+
+
 def window_gradient(weights, shape: Shape, state, inputs, starts, classes, words, live, gradient):
     """Truncated back-propagation over one window of steps x lanes; returns (log sum, state).
 
@@ -153,15 +172,12 @@ def window_gradient(weights, shape: Shape, state, inputs, starts, classes, words
         if begins[t]:
             state = np.where(starts[t][:, None], np.float32(0), state)
         before[t] = state
-        state, inner = _step(weights, state, inputs[t])
+        state, inner = _step(weights["again"], state, weights["gates"][inputs[t]])
         kept.append(inner)
-    scale = np.float32(1 / max(1, live.sum()))
-    part = {n: np.zeros_like(weights[n]) for n in ("to_class", "class_bias", "to_word", "word_bias")}
-    found, back = output(weights, shape, before[live], classes[live], words[live], part)
-    for name, value in part.items():
-        gradient[name] += value * scale
+    scale = 1 / max(1, live.sum())
+    found, back = output(weights, shape, before[live], classes[live], words[live], gradient, scale)
     into = np.zeros((steps, lanes, size), np.float32)
-    into[live] = back * scale
+    into[live] = back
     gates = np.empty((steps, lanes, 3 * size), np.float32)
     through = np.empty((steps, lanes, 3 * size), np.float32)
     later = np.zeros((lanes, size), np.float32)
@@ -183,31 +199,56 @@ def window_gradient(weights, shape: Shape, state, inputs, starts, classes, words
     order = np.argsort(flat, kind="stable")
     first = np.flatnonzero(np.diff(flat[order], prepend=-1))
     if len(first):
-        gradient["gates"][flat[order[first]]] += np.add.reduceat(values[order], first)
+        rows, sums = flat[order[first]], np.add.reduceat(values[order], first)
+        if isinstance(gradient["gates"], Rows):
+            gradient["gates"].add(rows, sums)
+        else:
+            gradient["gates"][rows] += sums
     return float(found.sum()), state
 
 
 class Trainer:
-    """Adagrad over windows, from given weights."""
+    """Adagrad over windows, from given weights.
+
+    A window touches few rows of the input vectors, which are most of the weights: the others
+    have no gradient, so only these rows are looked at.
+    """
 
     def __init__(self, vector: np.ndarray, shape: Shape, rate: float = RATE):
         self.vector, self.shape, self.rate = vector.copy(), shape, rate
         self.weights = split(self.vector, shape)
         self.squares = np.full(len(vector), 1e-6, np.float32)
+        self.square_rows = split(self.squares, shape)["gates"]
+        #: All other weights lie behind the input vectors.
+        self.rest = int(np.prod(shape.parts()["gates"]))
         self.gradient = np.zeros_like(self.vector)
         self.parts = split(self.gradient, shape)
         self.tokens = 0
 
     def window(self, state, inputs, starts, classes, words, live):
-        self.gradient[:] = 0
+        dense = self.gradient[self.rest:]
+        dense[:] = 0
+        self.parts["gates"] = rows = Rows()
         total, state = window_gradient(
             self.weights, self.shape, state, inputs, starts, classes, words, live, self.parts
         )
-        norm = float(np.sqrt(self.gradient @ self.gradient))
-        if norm > CLIP:
-            self.gradient *= np.float32(CLIP / norm)
-        self.squares += self.gradient * self.gradient
-        self.vector += np.float32(self.rate) * self.gradient / np.sqrt(self.squares)
+        norm = float(dense @ dense)
+        if rows.values is not None:
+            norm += float((rows.values * rows.values).sum())
+        factor = np.float32(CLIP / np.sqrt(norm)) if norm > CLIP * CLIP else None
+        if factor is not None:
+            dense *= factor
+        step = dense * dense
+        self.squares[self.rest:] += step
+        np.sqrt(self.squares[self.rest:], out=step)
+        np.divide(dense, step, out=step)
+        step *= np.float32(self.rate)
+        self.vector[self.rest:] += step
+        if rows.values is not None:
+            values = rows.values if factor is None else rows.values * factor
+            squares = self.square_rows[rows.at] + values * values
+            self.square_rows[rows.at] = squares
+            self.weights["gates"][rows.at] += np.float32(self.rate) * values / np.sqrt(squares)
         self.tokens += int(live.sum())
         return total, state
 
@@ -268,7 +309,7 @@ def score(weights, shape: Shape, offsets, inputs, classes, words, lanes: int, st
             if begins[t]:
                 state = np.where(start[t][:, None], np.float32(0), state)
             before[t] = state
-            state, _ = _step(weights, state, ids[t])
+            state, _ = _step(weights["again"], state, weights["gates"][ids[t]])
         live = place >= 0
         where = place[live]
         found[where] = output(weights, shape, before[live], classes[where], words[where])[0]
