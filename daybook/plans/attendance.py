@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from daybook import schemas
 from daybook.functions.text import normalize_code
-from daybook.operators import tables, wide
+from daybook.operators import journal, tables, wide
 from daybook.operators.filters import date_window, rename_headings, union_of_filters
 from daybook.plans.jobs import LoadResult, audited_load, create_audit_table, load_many
 from daybook.session import ensure_bucket_joins, ensure_skew_splits, estimated_bytes, size_shuffles
@@ -79,6 +79,15 @@ def create_tables(spark: SparkSession, db: str, buckets: int | None = None) -> N
     create_audit_table(spark, f"{db}.{AUDIT}")
 
 
+def recover_tables(spark: SparkSession, db: str) -> dict[str, dict[str, str]]:
+    """Finish or undo what a job that broke off has left in the partitioned tables, by table."""
+    found = {
+        f"{db}.{name}": journal.recover(spark, f"{db}.{name}")
+        for name, (_, key) in TABLES.items() if key and spark.catalog.tableExists(f"{db}.{name}")
+    }
+    return {table: entries for table, entries in found.items() if entries}
+
+
 def _landed(
     spark: SparkSession, landing: str, name: str, item: T.StructType, envelope: str = "post"
 ) -> DataFrame:

@@ -49,6 +49,7 @@ def parser() -> argparse.ArgumentParser:
     for name, job in JOBS.items():
         one = jobs.add_parser(name, help=job.__doc__)
         one.add_argument("--db", required=True)
+        one.add_argument("--buckets", type=int, help="buckets of a person, for large tables that are created")
         if name in ("base", "cards"):
             one.add_argument("--landing", required=True)
         if name == "backfill":
@@ -62,8 +63,10 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
-    """Create the tables that are missing, run the job, and return its exit status."""
-    attendance.create_tables(spark, args.db)
+    """Bring the tables into order, create those that are missing, run the job; its exit status."""
+    for table, entries in attendance.recover_tables(spark, args.db).items():
+        print(table, "recovered:", ", ".join(entries.values()))
+    attendance.create_tables(spark, args.db, args.buckets)
     results = JOBS[args.job](spark, args)
     for r in results:
         print(r.table, "failed: " + r.info if r.failed else r.info)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from daybook import schemas
 from daybook.functions.dates import day_text
-from daybook.operators import catalog, tables
+from daybook.operators import catalog, journal, tables
 from daybook.plans import attendance as plan
 from daybook.plans import cli
 from daybook.plans import hr_views as hr
@@ -169,3 +169,16 @@ def test_refreshes_keep_tables_in_buckets(spark, db, base, tmp_path):
         "shiftcode", F.upper("shiftcode"))
     found = spark.table(f"{db}.{plan.WIDE}").select(*expected.columns)
     assert found.count() == expected.count() > 0 and found.exceptAll(expected).count() == 0
+
+
+def test_jobs_begin_by_recovering_what_broke_off(spark, db, base, monkeypatch, capsys):
+    landing, _ = base
+    assert plan.recover_tables(spark, db) == {} == plan.recover_tables(spark, "no_such_database")
+    with monkeypatch.context() as m:
+        m.setattr(journal, "finish", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        assert plan.refresh_current_cards(spark, db, landing, TODAY).failed
+    assert spark.table(f"{db}.{plan.CARDS}").count() == 0
+    arguments = ["backfill", "--db", db, "--low", "2024-01-03", "--high", "2024-01-03"]
+    assert cli.run(spark, cli.parser().parse_args(arguments)) == 0
+    assert f"{db}.{plan.CARDS} recovered: finished" in capsys.readouterr().out
+    assert spark.table(f"{db}.{plan.CARDS}").count() > 0
