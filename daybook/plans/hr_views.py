@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.dates import date_series, day_key
+from daybook.session import estimated_bytes
 
 CARD_TYPES = ["click", "error"]
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+#: Bytes of stored people that one task repeats per day.
+PEOPLE_BYTES = 512 * 1024
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -86,13 +89,19 @@ def people(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:
-    """A full copy of the people per day, from the third day of the events on."""
+    """A full copy of the people per day, from the third day of the events on.
+
+    People are few bytes in few files, their copies are not: people are dealt to tasks before
+    they are repeated, by their size, so that no task makes and groups the days of them all.
+    """
     days = table(spark, sf, "events").agg(
         F.date_add(F.to_date(F.min("ts")), 2).alias("low"), F.to_date(F.max("ts")).alias("high")
     )
     low, high = days.select("low").scalar(), days.select("high").scalar()
+    each = people(spark, sf)
+    parts = max(spark.sparkContext.defaultParallelism, -(-estimated_bytes(each) // PEOPLE_BYTES))
     return (
-        people(spark, sf).withColumn("date", F.explode(date_series(low, high)))
+        each.repartition(parts).withColumn("date", F.explode(date_series(low, high)))
         .withColumn("date", day_key("date"))
     )
 

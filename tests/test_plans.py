@@ -41,6 +41,16 @@ def test_facts_are_shuffled_once_for_people_and_cards(spark, db):
     assert text.count("Exchange hashpartitioning") == 3
 
 
+def test_people_are_dealt_to_tasks_before_they_are_repeated(spark, monkeypatch):
+    people, days = hr.people(spark, SF), hr.table(spark, SF, "events").select(F.to_date("ts")).distinct().count() - 2
+    assert hr.snapshots(spark, SF).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(hr, "PEOPLE_BYTES", 200)
+    found = hr.snapshots(spark, SF)
+    assert found.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism > people.rdd.getNumPartitions()
+    assert found.count() == people.count() * days
+    assert found.select(people.columns).distinct().exceptAll(people.distinct()).count() == 0
+
+
 def test_date_window_prunes_partitions(spark, db):
     table = f"{db}.facts"
     tables.full_overwrite(hr.attendance(spark, SF), table, ["date"])
