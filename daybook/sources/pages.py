@@ -14,6 +14,10 @@ from daybook.operators.tables import full_overwrite
 
 # Fixed value: rows per page.
 PAGE_ROWS = 5000
+#: Pages of a day that are landed as a folder each; of a longer day, many share a file.
+FOLDER_PAGES = 20
+#: Rows of the pages that are landed together in one file.
+BLOCK_ROWS = 50_000
 #: What a folder that holds one pull of a table is called, before its number.
 PULL = "pull="
 
@@ -135,22 +139,33 @@ def land_pages(
 def land_requests(
     df: DataFrame, path: str, key: str, *order_by: str, envelope: str = "post", page_rows: int = PAGE_ROWS
 ) -> None:
-    """Write a frame as the answers of a paged source: ``<key>=<day>/page=<number>/``, from page 1.
+    """Write a frame as the answers of a paged source, from page 1 of each day.
 
     Every page declares the rows of its whole day, as such a source does. Rows are numbered
-    over all days at once, so a day may be larger than a task.
+    over all days at once, so a day may be larger than a task. A day of few pages has a folder
+    ``<key>=<day>/page=<number>/`` for each. Of a day with more than ``FOLDER_PAGES`` pages, those
+    of about ``BLOCK_ROWS`` rows lie in ``<key>=<day>/page=<first>-<last>/``, a line for each, in
+    order: its number, a tab and the document. So files grow with rows, not with pages.
     """
     _, count, array = ENVELOPES[envelope]
+    size = max(1, BLOCK_ROWS // page_rows)
     numbered = sequential_id(df, "_row", key, *order_by)
     days = numbered.groupBy(F.col(key).alias("_day")).agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).cast("int").alias("_total"))
     paged = numbered.join(F.broadcast(days), F.col(key) == F.col("_day")).withColumn(
-        "page", F.expr(f"(_row - _first) div {page_rows} + 1"))
+        "_page", F.expr(f"(_row - _first) div {page_rows} + 1"))
+    pages, block = f"((_total - 1) div {page_rows} + 1)", f"((_page - 1) div {size} * {size} + 1)"
+    folder = F.expr(
+        f"if({pages} <= {FOLDER_PAGES}, string(_page), "
+        f"concat({block}, '-', least({block} + {size - 1}, {pages})))")
+    document = F.to_json(F.struct(F.col("_total").alias(count), F.col(array)), {"ignoreNullFields": "false"})
+    number = F.when(F.col("_folder").contains("-"), F.concat(F.col("_page").cast("string"), F.lit("\t")))
     (
-        paged.groupBy("_day", "page", "_total").agg(F.collect_list(F.struct(*df.columns)).alias(array))
-        .select(F.col("_day").alias(key), "page", F.to_json(
-            F.struct(F.col("_total").alias(count), F.col(array)), {"ignoreNullFields": "false"}
-        ).alias("value"))
+        paged.withColumn("_folder", folder).repartition("_day", "_folder")
+        .groupBy("_day", "_folder", "_page", "_total").agg(F.collect_list(F.struct(*df.columns)).alias(array))
+        .sortWithinPartitions("_day", "_folder", "_page")
+        .select(F.col("_day").alias(key), F.col("_folder").alias("page"),
+                F.concat(F.coalesce(number, F.lit("")), document).alias("value"))
         .write.partitionBy(key, "page").text(path)
     )
 

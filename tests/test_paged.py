@@ -72,6 +72,41 @@ def test_other_days_are_not_asked_for(spark, source, tmp_path):
         source().where(F.col("id") > 0).collect()
 
 
+def test_pages_of_a_long_day_share_files_and_partitions(spark, source, tmp_path, monkeypatch):
+    """Line separators inside a value are no ends of pages; a group begins inside a block."""
+    monkeypatch.setattr(pages, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(paged, "PARTITIONS", 4)
+    paged.register(spark)  # a source travels with the values it is registered with
+    df = rows(spark, [1, 2], 100).withColumn("name", F.concat("name", F.lit("\u2028\n\x85\t\u00e9")))
+    df = df.where((F.col("date") == day(1)) | (F.col("id") < 10))
+    pages.land_requests(df, str(tmp_path / "in"), "date", "id", page_rows=3)
+    landed = tmp_path / "in" / f"date={day(1).replace(':', '%3A')}"
+    assert {f.name for f in landed.iterdir()} == {"page=1-10", "page=11-20", "page=21-30", "page=31-34"}
+    assert len(list(landed.glob("page=*/part*"))) == 4
+    assert {f.name for f in (tmp_path / "in" / f"date={day(2).replace(':', '%3A')}").iterdir()} == {"page=1", "page=2"}
+    for group in (1, 3, 50):
+        found = source(group_pages=group)
+        assert bag(found) == bag(df) and found.rdd.getNumPartitions() <= 4
+    monkeypatch.setattr(paged, "PARTITION_ROWS", 9)
+    paged.register(spark)
+    found = source(group_pages=2)
+    assert bag(found) == bag(df) and found.rdd.getNumPartitions() == 17
+    # A page that is gone from its block is found missing.
+    block = next((landed / "page=11-20").glob("part*"))
+    lines = block.read_bytes().split(b"\n")
+    block.write_bytes(b"\n".join(lines[:3] + lines[4:]))
+    with pytest.raises(Exception, match="pages 13 to 14 of 2024-01-01T00:00:00 hold 3 rows, but 6"):
+        source(group_pages=2).collect()
+
+
+def test_days_without_a_count_keep_partitions_of_their_own(monkeypatch):
+    monkeypatch.setattr(paged, "PARTITIONS", 1)
+    groups = [paged.PageGroup("a", 1, 9, None), paged.PageGroup("b", 1, 1, 2), paged.PageGroup("b", 2, 2, 1),
+              paged.PageGroup("c", 1, 9, None), paged.PageGroup("d", 1, 1, 1)]
+    assert [len(p.groups) for p in paged._dealt(groups)] == [1, 2, 1, 1]
+    assert paged._dealt([]) == []
+
+
 def test_only_the_days_asked_for_make_partitions(spark, source, tmp_path):
     pages.land_requests(rows(spark, [1, 2, 3]), str(tmp_path / "in"), "date", "id", page_rows=3)
     assert source(group_pages=50).where(F.col("date") == day(2)).rdd.getNumPartitions() == 1
