@@ -11,6 +11,7 @@ from daybook import schemas
 from daybook.functions.text import blank_to_null
 from daybook.operators.filters import date_window, known_members
 from daybook.operators.joins import HOT_ROWS, broadcast_when_small, left_join_spread
+from daybook.session import ensure_compiled_methods
 
 
 def org_dimension(
@@ -150,8 +151,10 @@ def wide_record(
     ``department_code`` is the person's current code, or a fact column that holds
     the code of the time. People are joined before cards, so that unknown members
     go before the cards fan out; both joins use the key (person, day), and the fact
-    is shuffled once for the two of them.
+    is shuffled once for the two of them. Rows this wide go beyond the methods that the
+    JVM compiles, so the session's limit for them is lowered.
     """
+    ensure_compiled_methods(facts.sparkSession)
     if window:
         facts = date_window(facts, *window)
         snapshots = date_window(snapshots, *window)

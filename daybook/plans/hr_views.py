@@ -93,17 +93,15 @@ def snapshots(spark: SparkSession, sf: str) -> DataFrame:
 
     People are few bytes in few files, their copies are not: people are dealt to tasks before
     they are repeated, by their size, so that no task makes and groups the days of them all.
+    The keys of the days are made once, not for every copy.
     """
-    days = table(spark, sf, "events").agg(
-        F.date_add(F.to_date(F.min("ts")), 2).alias("low"), F.to_date(F.max("ts")).alias("high")
-    )
-    low, high = days.select("low").scalar(), days.select("high").scalar()
+    low, high = F.date_add(F.to_date(F.min("ts")), 2), F.to_date(F.max("ts"))
+    days = table(spark, sf, "events").agg(F.transform(date_series(low, high), day_key).alias("days"))
     each = people(spark, sf)
     parts = max(spark.sparkContext.defaultParallelism, -(-estimated_bytes(each) // PEOPLE_BYTES))
-    return (
-        each.repartition(parts).withColumn("date", F.explode(date_series(low, high)))
-        .withColumn("date", day_key("date"))
-    )
+    # Dealt by place: the same rows to the same tasks, whatever columns are read of them.
+    dealt = each.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(parts, "_place").drop("_place")
+    return dealt.withColumn("date", F.explode(days.scalar()))
 
 
 def departments(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __spark_entry__ import queries
 from daybook.operators import filters, tables, wide
 from daybook.operators.filters import known_members, look_back
 from daybook.plans import hr_views as hr
-from daybook.session import ensure_bucket_joins
+from daybook.session import COMPILED_METHOD_BYTES, HUGE_METHOD, ensure_bucket_joins
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,6 +51,19 @@ def test_people_are_dealt_to_tasks_before_they_are_repeated(spark, monkeypatch):
     assert found.select(people.columns).distinct().exceptAll(people.distinct()).count() == 0
 
 
+def test_keys_of_days_are_made_before_people_are_repeated(spark):
+    optimized = hr.snapshots(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    above, generate, _ = optimized.partition("Generate explode")
+    assert generate and "date_format" not in above
+
+
+def test_wide_rows_are_not_left_to_the_interpreter(spark):
+    spark.conf.unset(HUGE_METHOD)
+    assert int(spark.conf.get(HUGE_METHOD)) > COMPILED_METHOD_BYTES
+    queries()["wide_record_current"](spark, SF)
+    assert int(spark.conf.get(HUGE_METHOD)) <= COMPILED_METHOD_BYTES
+
+
 def test_date_window_prunes_partitions(spark, db):
     table = f"{db}.facts"
     tables.full_overwrite(hr.attendance(spark, SF), table, ["date"])
