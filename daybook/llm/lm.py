@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,8 @@ STEPS = 24
 SCORE_LANES = 1024
 #: Bytes of text that are put into lanes together, a longer text alone.
 LANE_BYTES = 32 << 20
+#: The same in scoring, where a token takes some 80 bytes of a task; scores are the same with any number.
+SCORE_BYTES = 8 << 20
 #: Partial sums of weights that reach the driver.
 SUMS = 32
 #: Bytes of partial sums that reach the driver together, or one sum.
@@ -166,36 +169,29 @@ def _shape(plan: dict) -> dict:
             "classes": plan["classes"], "head_bounds": plan["bounds"]}
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
-    """Rows of about ``LANE_BYTES`` bytes of text: ids and texts."""
+def _groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[bytes]]]:
+    """Rows of about ``most`` bytes of text: ids and texts."""
     for batch in batches:
         ids, texts, size = [], [], 0
         for number, text in zip(batch.column("id"), batch.column("text")):
             ids.append(number.as_py())
             texts.append((text.as_py() or "").encode())
             size += len(texts[-1])
-            if size >= LANE_BYTES:
+            if size >= most:
                 yield ids, texts
                 ids, texts, size = [], [], 0
         if ids:
             yield ids, texts
 
 
-class _Known(dict):
-    """Row numbers of words; a word without one has row -1."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
 def _encoded(texts: list[bytes], plan: dict) -> tuple[np.ndarray, np.ndarray, list[dict[bytes, int]]]:
     """Rows of the plan's tables for all tokens, where each text ends, and its other words."""
-    number, tail_of = _Known(plan["known"]).__getitem__, plan["tail_of"]
+    number, tail_of = plan["known"].get, plan["tail_of"]
     other_rows = len(plan["known"]) - len(plan["bounds"]) + 1
     parts, offsets, others = [], [0], []
     for text in texts:
         words = _tokens(text)
-        rows = np.array(list(map(number, words)), np.int32)
+        rows = np.array(list(map(number, words, repeat(-1))), np.int32)
         other: dict[bytes, int] = {}
         for i in np.flatnonzero(rows < 0).tolist():
             word = words[i]
@@ -216,7 +212,7 @@ def _training(broadcast, weights):
         plan = broadcast.value
         shape = gru.Shape(**_shape(plan))
         trainer = gru.Trainer(weights.value, shape)
-        for _, texts in _groups(batches):
+        for _, texts in _groups(batches, LANE_BYTES):
             rows, offsets, _ = _encoded(texts, plan)
             gru.train(trainer, offsets, *_ids(plan, rows), LANES, STEPS)
         if trainer.tokens:
@@ -272,7 +268,7 @@ def _scoring(broadcast, weights):
         shape = gru.Shape(**_shape(plan))
         model = gru.split(weights.value, shape)
         tail_of = plan["tail_of"]
-        for ids, texts in _groups(batches):
+        for ids, texts in _groups(batches, SCORE_BYTES):
             rows, offsets, unknown = _encoded(texts, plan)
             logs = gru.score(model, shape, offsets, *_ids(plan, rows), SCORE_LANES, STEPS) / math.log(10)
             base, share = plan["logs"][rows, 0], plan["logs"][rows, 1]

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from daybook.llm import gru, lm
@@ -158,3 +159,25 @@ def test_head_covers_most_tokens(spark):
     plan = lm._plan(lm.word_counts(docs))
     assert plan["classes"] - len(plan["bounds"]) + 1 >= 48
     assert lm.STEPS >= 24 and lm.LANES <= 256
+
+
+def test_scoring_puts_a_bounded_number_of_tokens_into_lanes(spark, monkeypatch):
+    texts = [f"some words {i} of a text " * 4000 for i in range(160)]
+    plan = lm._plan(lm.word_counts(spark.createDataFrame([(texts[0],)], "text string")))
+    at_once = []
+
+    def scored(model, shape, offsets, *rest):
+        at_once.append(int(offsets[-1]))
+        return np.zeros(offsets[-1])
+
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    shape = gru.Shape(**lm._shape(plan))
+    weights = gru.initial(shape, plan["class_log"], plan["word_log"], 0)
+    monkeypatch.setattr(gru, "score", scored)
+    batch = pa.RecordBatch.from_pydict({"id": [str(i) for i in range(160)], "text": texts})
+    found = [n for out in lm._scoring(Held(plan), Held(weights))(iter([batch])) for n in out.column("n_tokens").to_pylist()]
+    assert found == [24001] * 160 and sum(at_once) == sum(found)
+    assert max(at_once) < 2_400_000
