@@ -69,38 +69,95 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _step(weights, state, inputs):
-    """One step of the cell for all lanes: new state, and what the way back needs."""
-    size = state.shape[1]
-    x, h = weights["gates"][inputs], state @ weights["again"]
-    both = _sigmoid(x[:, :2 * size] + h[:, :2 * size])
-    keep, reset = both[:, :size], both[:, size:]
-    new = np.tanh(x[:, 2 * size:] + reset * h[:, 2 * size:])
-    return new + keep * (state - new), (keep, reset, new, h[:, 2 * size:])
+def _step(weights, state, x, h):
+    """One step of the cell for all lanes, with the inputs' part of the gates in ``x``.
+
+    State and gates have a column for each lane, so that their parts lie together. Returns
+    the new state; ``x`` becomes keep, reset and new, and ``h`` the state's part.
+    """
+    size = len(state)
+    np.matmul(weights["again"].T, state, out=h)
+    x[:2 * size] += h[:2 * size]
+    _sigmoid(x[:2 * size])
+    keep, reset, new = x[:size], x[size:2 * size], x[2 * size:]
+    new += reset * h[2 * size:]
+    np.tanh(new, out=new)
+    state = state - new
+    state *= keep
+    state += new
+    return state
 
 
 #: Logits that lie this close together need no maximum of their own in each row.
 SAFE_RANGE = 60.0
+#: Tokens that a softmax takes together, over all classes and over the words of one class.
+CLASS_TILE = 64
+WORD_TILE = 32
+#: Values of a softmax that are held at once; they stay in the cache.
+HELD = 1 << 17
+
+
+def _narrow(numbers: np.ndarray, end: int) -> np.ndarray:
+    """Numbers below ``end`` in a type that sorts fastest."""
+    return numbers.astype(np.uint16) if end <= 1 << 16 else numbers
+
 
+def _first(ordered: np.ndarray) -> np.ndarray:
+    """Where a new value begins."""
+    return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))[:len(ordered)]
 
-def _softmax(states: np.ndarray, matrix: np.ndarray, target: np.ndarray, want_error: bool):
-    """Log probability of each target and, if wanted, target minus probabilities.
 
-    ``states`` has a last column of ones, ``matrix`` a last row of biases.
+def _softmax(tiles, of, matrix, bias, learn: bool):
+    """Log of the sum of exponentials for each row of each tile, and what learning needs.
+
+    ``tiles`` is tiles x rows x (state, one); a row of zeros is no token. Tile i has the
+    words ``matrix[of[i]]`` (words x state) and ``bias[of[i]]``, minus infinity where there
+    is none; ``of`` ascends. With ``learn`` also returns each row's mean of the matrix, and
+    the sum over all rows of (state, one) times each probability.
     """
-    rows = np.arange(len(states))
-    logits = states @ matrix
-    top = logits.max()
-    logits -= top if top - logits.min() < SAFE_RANGE else logits.max(axis=1, keepdims=True)
-    found = logits[rows, target]
-    np.exp(logits, out=logits)
-    total = logits @ np.ones(logits.shape[1], logits.dtype)
-    found -= np.log(total)
-    if not want_error:
-        return found, None
-    logits *= (-1 / total)[:, None]
-    logits[rows, target] += 1
-    return found, logits
+    width, size = matrix.shape[1:]
+    top = bias.max(axis=1, keepdims=True)
+    # States lie between -1 and 1, so this bounds all logits without looking at them.
+    low = np.where(np.isfinite(bias), bias, top).min(axis=1, keepdims=True)
+    safe = float((top - low).max() + 2 * (np.abs(matrix) @ np.ones(size, np.float32)).max()) < SAFE_RANGE
+    weight = np.exp(bias - top) if safe else np.isfinite(bias).astype(np.float32)
+    if learn:
+        turned = np.empty((len(matrix), width, size + 1), np.float32)
+        np.multiply(matrix, weight[:, :, None], out=turned[:, :, :size])
+        turned[:, :, size] = weight
+        means = np.empty((*tiles.shape[:2], size), np.float32)
+        added = np.zeros((len(matrix), size + 1, width), np.float32)
+    else:
+        turned = weight[:, :, None]
+    logs = np.empty(tiles.shape[:2], np.float32)
+    matrix = np.ascontiguousarray(matrix.transpose(0, 2, 1))
+    count = max(1, HELD // (tiles.shape[1] * width))
+    held = np.empty((min(count, len(tiles)), tiles.shape[1], width), np.float32)
+    for a in range(0, len(tiles), count):
+        rows, kinds = tiles[a:a + count], of[a:a + count] if len(matrix) > 1 else slice(None)
+        found = np.matmul(rows[:, :, :size], matrix[kinds], out=held[:len(rows)])
+        if safe:
+            shift = top[kinds]
+        else:
+            found += bias[kinds][:, None, :]
+            shift = found.max(axis=2)
+            found -= shift[:, :, None]
+        np.exp(found, out=found)
+        sums = found @ turned[kinds]
+        total = sums[:, :, -1]
+        logs[a:a + count] = np.log(total) + shift
+        if learn:
+            np.divide(sums[:, :, :size], total[:, :, None], out=means[a:a + count])
+            part = (rows / total[:, :, None]).transpose(0, 2, 1) @ found
+            first = _first(of[a:a + count])
+            size_of = np.diff(np.append(first, len(rows)))
+            added[of[a + first]] += part[first]
+            for low, more in zip(first[size_of > 1].tolist(), size_of[size_of > 1].tolist()):
+                added[of[a + low]] += part[low + 1:low + more].sum(axis=0)
+    if not learn:
+        return logs, None, None
+    added *= weight[:, None, :]
+    return logs, means, added
 
 
 def output(weights, shape: Shape, states, classes, words, gradient=None):
@@ -109,82 +166,126 @@ def output(weights, shape: Shape, states, classes, words, gradient=None):
     ``words`` is the head word of a token, or -1 in a tail class. Returns the log
     probabilities and, with ``gradient``, the gradient for the states.
     """
-    size, learn = shape.state, gradient is not None
-    ones = np.ones((len(states), size + 1), states.dtype)
-    ones[:, :size] = states
-    matrix = np.vstack((weights["to_class"], weights["class_bias"]))
-    logs, error = _softmax(ones, matrix, classes, learn)
-    found = logs.astype(np.float64)
-    back = None
+    size, learn, count, head = shape.state, gradient is not None, len(states), shape.head_bounds[-1]
+    # By class and, within it, by word: the head words of a class follow one another.
+    order = np.argsort(_narrow(np.where(words >= 0, words, head + classes), head + shape.classes), kind="stable")
+    classes, words = classes[order], words[order]
+    rows = np.zeros((-(-count // CLASS_TILE) * CLASS_TILE, size + 1), np.float32)
+    rows[:count, :size] = states[order]
+    rows[:count, size] = 1
+    states = rows[:count, :size]
+    own = weights["to_class"].T[classes]
+    logs, means, added = _softmax(
+        rows.reshape(-1, CLASS_TILE, size + 1), np.zeros(len(rows) // CLASS_TILE, np.intp),
+        np.ascontiguousarray(weights["to_class"].T)[None], weights["class_bias"][None], learn,
+    )
+    found = np.einsum("ij,ij->i", states, own) + weights["class_bias"][classes] - logs.ravel()[:count]
     if learn:
-        added = ones.T @ error
-        gradient["to_class"] += added[:size]
-        gradient["class_bias"] += added[size]
-        back = error @ weights["to_class"].T
-    order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(len(shape.head_bounds)))
-    matrix = np.vstack((weights["to_word"].T, weights["word_bias"]))
-    for k, (low, high) in enumerate(zip(shape.head_bounds, shape.head_bounds[1:])):
-        rows = order[bounds[k]:bounds[k + 1]]
-        if not len(rows) or high - low < 2:
-            continue
-        own = ones[rows]
-        logs, error = _softmax(own, matrix[:, low:high], words[rows] - low, learn)
-        found[rows] += logs
+        first = _first(classes)
+        met = np.add.reduceat(rows[:count], first)
+        gradient["to_class"] -= added[0, :size]
+        gradient["class_bias"] -= added[0, size]
+        gradient["to_class"][:, classes[first]] += met[:, :size].T
+        gradient["class_bias"][classes[first]] += met[:, size]
+        back = own - means.reshape(-1, size)[:count]
+
+    inside = int(np.count_nonzero(words >= 0))
+    if inside:
+        kinds, words = classes[:inside], words[:inside]
+        bounds = np.searchsorted(kinds, np.arange(len(shape.head_bounds)))
+        tiles = -(-np.diff(bounds) // WORD_TILE)
+        of = np.repeat(np.arange(len(tiles)), tiles)
+        # Each class begins a tile of its own.
+        slot = np.arange(inside) + ((np.cumsum(tiles) - tiles) * WORD_TILE - bounds[:-1])[kinds]
+        tiled = np.zeros((len(of) * WORD_TILE, size + 1), np.float32)
+        tiled[slot] = rows[:inside]
+        widths = np.diff(shape.head_bounds)
+        width = int(widths.max())
+        place = np.arange(head) + np.repeat(np.arange(len(widths)) * width - shape.head_bounds[:-1], widths)
+        matrix = np.zeros((len(widths) * width, size), np.float32)
+        matrix[place] = weights["to_word"]
+        bias = np.full(len(widths) * width, -np.inf, np.float32)
+        bias[place] = weights["word_bias"]
+        own = weights["to_word"][words]
+        logs, means, added = _softmax(
+            tiled.reshape(-1, WORD_TILE, size + 1), of,
+            matrix.reshape(-1, width, size), bias.reshape(-1, width), learn,
+        )
+        found[:inside] += np.einsum("ij,ij->i", states[:inside], own) + weights["word_bias"][words] - logs.ravel()[slot]
         if learn:
-            added = error.T @ own
-            gradient["to_word"][low:high] += added[:, :size]
-            gradient["word_bias"][low:high] += added[:, size]
-            back[rows] += error @ weights["to_word"][low:high]
-    return found, back
+            first = _first(words)
+            met = np.add.reduceat(rows[:inside], first)
+            added = added.transpose(0, 2, 1).reshape(-1, size + 1)[place]
+            gradient["to_word"] -= added[:, :size]
+            gradient["word_bias"] -= added[:, size]
+            gradient["to_word"][words[first]] += met[:, :size]
+            gradient["word_bias"][words[first]] += met[:, size]
+            back[:inside] += own - means.reshape(-1, size)[slot]
+
+    logs = np.empty(count, np.float64)
+    logs[order] = found
+    if not learn:
+        return logs, None
+    turned = np.empty_like(back)
+    turned[order] = back
+    return logs, turned
 
 
 def window_gradient(weights, shape: Shape, state, inputs, starts, classes, words, live, gradient):
-    """Truncated back-propagation over one window of steps x lanes; returns (log sum, state).
+    """Truncated back-propagation over one window of steps x lanes.
 
-    ``live`` masks tokens that exist. The gradient of the mean log probability is added.
+    The gradient of the mean log probability is added to the parts that ``gradient`` has.
+    ``live`` masks tokens that exist. Returns the log sum, the state, and the inputs whose
+    gates have a gradient, with that.
     """
     steps, lanes = inputs.shape
     size = shape.state
-    before = np.empty((steps, lanes, size), np.float32)
-    kept = []
+    before = np.empty((steps, size, lanes), np.float32)
+    x = np.ascontiguousarray(weights["gates"][inputs].transpose(0, 2, 1))
+    h = np.empty_like(x)
+    state = np.ascontiguousarray(state.T)
     begins = starts.any(axis=1)
     for t in range(steps):
         if begins[t]:
-            state = np.where(starts[t][:, None], np.float32(0), state)
+            state = np.where(starts[t], np.float32(0), state)
         before[t] = state
-        state, inner = _step(weights, state, inputs[t])
-        kept.append(inner)
+        state = _step(weights, state, x[t], h[t])
+    keep, reset, new, h_new = x[:, :size], x[:, size:2 * size], x[:, 2 * size:], h[:, 2 * size:]
     scale = np.float32(1 / max(1, live.sum()))
     part = {n: np.zeros_like(weights[n]) for n in ("to_class", "class_bias", "to_word", "word_bias")}
-    found, back = output(weights, shape, before[live], classes[live], words[live], part)
+    found, back = output(weights, shape, before.transpose(0, 2, 1)[live], classes[live], words[live], part)
     for name, value in part.items():
         gradient[name] += value * scale
     into = np.zeros((steps, lanes, size), np.float32)
     into[live] = back * scale
-    gates = np.empty((steps, lanes, 3 * size), np.float32)
-    through = np.empty((steps, lanes, 3 * size), np.float32)
-    later = np.zeros((lanes, size), np.float32)
-    turned = np.ascontiguousarray(weights["again"].T)
+    into = np.ascontiguousarray(into.transpose(0, 2, 1))
+    gates = np.empty((steps, 3 * size, lanes), np.float32)
+    through = np.empty((steps, 3 * size, lanes), np.float32)
+    later = np.zeros((size, lanes), np.float32)
+    to_keep = (before - new) * keep * (1 - keep)
+    to_new = (1 - keep) * (1 - new * new)
+    to_reset = h_new * reset * (1 - reset)
     for t in range(steps - 1, -1, -1):
-        keep, reset, new, h_new = kept[t]
         here, back_h = gates[t], through[t]
-        d_new = later * (1 - keep) * (1 - new * new)
-        here[:, :size] = later * (before[t] - new) * keep * (1 - keep)
-        here[:, size:2 * size] = d_new * h_new * reset * (1 - reset)
-        here[:, 2 * size:] = d_new
-        back_h[:] = here
-        back_h[:, 2 * size:] *= reset
-        later = later * keep + back_h @ turned + into[t]
+        np.multiply(later, to_keep[t], out=here[:size])
+        np.multiply(later, to_new[t], out=here[2 * size:])
+        np.multiply(here[2 * size:], to_reset[t], out=here[size:2 * size])
+        back_h[:2 * size] = here[:2 * size]
+        np.multiply(here[2 * size:], reset[t], out=back_h[2 * size:])
+        later *= keep[t]
+        later += weights["again"] @ back_h
+        later += into[t]
         if begins[t]:
-            later[starts[t]] = 0
-    gradient["again"] += before.reshape(-1, size).T @ through.reshape(-1, 3 * size)
-    flat, values = inputs.ravel(), gates.reshape(-1, 3 * size)
-    order = np.argsort(flat, kind="stable")
-    first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-    if len(first):
-        gradient["gates"][flat[order[first]]] += np.add.reduceat(values[order], first)
-    return float(found.sum()), state
+            later[:, starts[t]] = 0
+    gradient["again"] += (before @ through.transpose(0, 2, 1)).sum(axis=0)
+    flat = inputs.ravel()
+    order = np.argsort(_narrow(flat, shape.inputs), kind="stable")
+    flat = flat[order]
+    first = _first(flat)
+    values = np.add.reduceat(gates.transpose(0, 2, 1).reshape(-1, 3 * size)[order], first)
+    if "gates" in gradient:
+        gradient["gates"][flat[first]] += values
+    return float(found.sum()), np.ascontiguousarray(state.T), flat[first], values
 
 
 class Trainer:
@@ -194,20 +295,30 @@ class Trainer:
         self.vector, self.shape, self.rate = vector.copy(), shape, rate
         self.weights = split(self.vector, shape)
         self.squares = np.full(len(vector), 1e-6, np.float32)
+        self.gate_squares = split(self.squares, shape)["gates"]
         self.gradient = np.zeros_like(self.vector)
-        self.parts = split(self.gradient, shape)
+        self.parts = {n: part for n, part in split(self.gradient, shape).items() if n != "gates"}
         self.tokens = 0
 
     def window(self, state, inputs, starts, classes, words, live):
-        self.gradient[:] = 0
-        total, state = window_gradient(
+        total, state, met, some = window_gradient(
             self.weights, self.shape, state, inputs, starts, classes, words, live, self.parts
         )
-        norm = float(np.sqrt(self.gradient @ self.gradient))
+        # All other gates have no gradient and stay as they are.
+        after = self.gate_squares.size
+        rest = self.gradient[after:]
+        norm = float(np.sqrt(some.ravel() @ some.ravel() + rest @ rest))
         if norm > CLIP:
-            self.gradient *= np.float32(CLIP / norm)
-        self.squares += self.gradient * self.gradient
-        self.vector += np.float32(self.rate) * self.gradient / np.sqrt(self.squares)
+            some *= np.float32(CLIP / norm)
+            rest *= np.float32(CLIP / norm)
+        squares = self.gate_squares[met] + some * some
+        self.gate_squares[met] = squares
+        some *= np.float32(self.rate)
+        some /= np.sqrt(squares, out=squares)
+        self.weights["gates"][met] += some
+        self.squares[after:] += rest * rest
+        self.vector[after:] += np.float32(self.rate) * rest / np.sqrt(self.squares[after:])
+        rest[:] = 0
         self.tokens += int(live.sum())
         return total, state
 
@@ -257,19 +368,20 @@ def score(weights, shape: Shape, offsets, inputs, classes, words, lanes: int, st
     """Natural log probability of every token, each document read from its beginning."""
     found = np.zeros(int(offsets[-1]), np.float64)
     places, starts = in_lanes(offsets, lanes)
-    state = np.zeros((places.shape[1], shape.state), np.float32)
+    state = np.zeros((shape.state, places.shape[1]), np.float32)
     for place, start in windows(places, starts, steps):
-        state = state[:place.shape[1]]
-        before = np.empty((*place.shape, shape.state), np.float32)
+        state = np.ascontiguousarray(state[:, :place.shape[1]])
+        before = np.empty((len(place), *state.shape), np.float32)
         at = np.maximum(place, 0)
         ids = inputs[at]
         begins = start.any(axis=1)
+        h = np.empty((3 * shape.state, place.shape[1]), np.float32)
         for t in range(len(place)):
             if begins[t]:
-                state = np.where(start[t][:, None], np.float32(0), state)
+                state = np.where(start[t], np.float32(0), state)
             before[t] = state
-            state, _ = _step(weights, state, ids[t])
+            state = _step(weights, state, np.ascontiguousarray(weights["gates"][ids[t]].T), h)
         live = place >= 0
         where = place[live]
-        found[where] = output(weights, shape, before[live], classes[where], words[where])[0]
+        found[where] = output(weights, shape, before.transpose(0, 2, 1)[live], classes[where], words[where])[0]
     return found

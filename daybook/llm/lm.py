@@ -16,15 +16,15 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm import gru
-from daybook.llm.common import staged, text_chunks
+from daybook.llm.common import staged
 from daybook.llm.quality import held_out
 
 #: The token behind each text; no word can hold a space.
@@ -53,51 +53,89 @@ SCORE_LANES = 1024
 LANE_BYTES = 32 << 20
 #: The same in scoring, where a token takes some 80 bytes of a task; scores are the same with any number.
 SCORE_BYTES = 8 << 20
+#: Partial sums of weights that a task adds up.
+FAN = 16
 #: Partial sums of weights that reach the driver.
 SUMS = 32
 #: Bytes of partial sums that reach the driver together, or one sum.
-SUM_BYTES = 64 << 20
-
-
-def signature(word: bytes) -> int:
-    """A number below 301 that a word's spelling gives: its ending and its letters."""
-    last = word[-1]
-    if last >= 128 or chr(last).isalnum():
-        ending = 0
-    else:
-        ending = {46: 1, 44: 2}.get(last, 3 + last % 4)
-    for i, byte in enumerate(word):
-        if byte >= 128:
-            return ending * 43 + 27 + word[min(i + 1, len(word) - 1)] % 16
-    letters = word.rstrip(b".,;:!?#$%&*'\")")
-    letter = letters[-1] - 97 if letters and 97 <= letters[-1] <= 122 else 26
-    return ending * 43 + letter
-
-
-def _tokens(text: bytes) -> list[bytes]:
-    words = text.lower().split()  # bytes: lowers A-Z and splits at ASCII white space only
-    words.append(END)
-    return words
+SUM_BYTES = 16 << 20
+
+
+def _spelling_tables() -> tuple[np.ndarray, np.ndarray]:
+    """Of a byte: the kind of ending it makes, and whether it counts as a letter's punctuation."""
+    ending = 3 + np.arange(256) % 4
+    ending[[i for i in range(128) if chr(i).isalnum()] + [*range(128, 256)]] = 0
+    ending[[46, 44]] = 1, 2
+    punctuation = np.zeros(256, bool)
+    punctuation[list(b".,;:!?#$%&*'\")")] = True
+    return ending, punctuation
+
+
+ENDING, PUNCTUATION = _spelling_tables()
+
+
+def signatures(words: pa.Array) -> np.ndarray:
+    """For each word a number below 301 that its spelling gives: its ending and its letters."""
+    bounds = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[:bounds[-1]]
+    starts, ends = bounds[:-1], bounds[1:]
+    # The last byte that is no punctuation, and the first beyond ASCII, or a place outside the word.
+    letters = np.append(-1, np.flatnonzero(~PUNCTUATION[data]))
+    letter = letters[np.searchsorted(letters, ends) - 1]
+    beyond = np.append(np.flatnonzero(data >= 128), len(data))
+    high = beyond[np.searchsorted(beyond, starts)]
+    found = np.where(letter >= starts, data[letter], 0).astype(np.int32) - 97
+    found[(found < 0) | (found > 25)] = 26
+    inside = high < ends
+    found[inside] = 27 + data[np.minimum(high[inside] + 1, ends[inside] - 1)] % 16
+    return ENDING[data[ends - 1]] * 43 + found
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of texts one after another, A-Z lowered, and of which text each is."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))  # lowers and splits at ASCII only
+    words = found.flatten().cast(pa.binary())
+    text = np.repeat(np.arange(len(texts)), pc.list_value_length(found).to_numpy(zero_copy_only=False))
+    empty = pc.equal(pc.binary_length(words), 0)  # beside leading and trailing white space
+    if pc.any(empty).as_py():
+        words, text = words.filter(pc.invert(empty)), text[~empty.to_numpy(zero_copy_only=False)]
+    return words, text
+
+
+def _groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``most`` bytes of text; a longer text ends its group."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+        ends, first = np.cumsum(sizes, dtype=np.int64), 0
+        while first < len(ends):
+            before = ends[first - 1] if first else 0
+            last = min(int(np.searchsorted(ends, before + most)) + 1, len(ends))
+            yield batch.slice(first, last - first)
+            first = last
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("word", pa.binary()), ("spelling", pa.int32()), ("c", pa.int64())])
 
-    def counted() -> pa.RecordBatch:
-        found = list(counts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found, pa.binary()), pa.array(map(signature, found), pa.int32()),
-             pa.array(counts.values(), pa.int64())], schema=schema,
-        )
-
-    counts: Counter[bytes] = Counter()
-    for batch in batches:
-        for text in batch.column("text"):
-            counts.update(_tokens((text.as_py() or "").encode()))
-            if len(counts) > COUNTER_WORDS:
-                yield counted()
-                counts.clear()
-    yield counted()
+    def counted() -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        if len(held) > 1:
+            table = table.group_by("word", use_threads=False).aggregate([("c", "sum")]).rename_columns(["word", "c"])
+        for part in table.combine_chunks().to_batches():
+            spelling = pa.array(signatures(part.column("word")), pa.int32())
+            yield pa.RecordBatch.from_arrays([part.column("word"), spelling, part.column("c")], schema=schema)
+
+    held: list[pa.RecordBatch] = []
+    for batch in _groups(batches, SCORE_BYTES):
+        words, _ = _words(batch.column("text"))
+        counts = words.value_counts()
+        for word, c in ((counts.field("values"), counts.field("counts")), ([END], [len(batch)])):
+            held.append(pa.RecordBatch.from_arrays([pa.array(word, pa.binary()), pa.array(c, pa.int64())], ["word", "c"]))
+        if sum(map(len, held)) > COUNTER_WORDS:
+            yield from counted()
+            held.clear()
+    if held:
+        yield from counted()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -109,13 +147,21 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 def _plan(counts: DataFrame) -> dict:
     """What tasks need to know of the counts, as plain data, of ``KNOWN_WORDS`` words at most."""
-    total, distinct = counts.agg(F.sum("c"), F.count("c")).first()
-    by_spelling = {r["spelling"]: (r["n"], r["v"]) for r in counts.groupBy("spelling").agg(
-        F.sum("c").alias("n"), F.count("c").alias("v")).collect()}
-    top = counts.orderBy(F.desc("c"), "word").limit(KNOWN_WORDS).toArrow()
+    power = F.floor(F.log2("c"))
+    sums = counts.groupBy("spelling", power.alias("power")).agg(F.sum("c").alias("n"), F.count("c").alias("v")).collect()
+    total, distinct = sum(r["n"] for r in sums), sum(r["v"] for r in sums)
+    by_spelling: dict[int, tuple[int, int]] = {}
+    by_power: Counter[int] = Counter()
+    for r in sums:
+        n, v = by_spelling.get(r["spelling"], (0, 0))
+        by_spelling[r["spelling"]] = n + r["n"], v + r["v"]
+        by_power[r["power"]] += r["v"]
+    # Only words as frequent as the most frequent ones are sorted.
+    enough = [p for p in by_power if sum(v for q, v in by_power.items() if q >= p) >= KNOWN_WORDS]
+    top = counts.where(power >= max(enough, default=0)).orderBy(F.desc("c"), "word").limit(KNOWN_WORDS).toArrow()
     words, spellings, counted = (top[c].to_pylist() for c in ("word", "spelling", "c"))
 
-    covering = int(np.searchsorted(np.cumsum(np.array(counted, np.int64)), HEAD_SHARE * (total or 0))) + 1
+    covering = int(np.searchsorted(np.cumsum(np.array(counted, np.int64)), HEAD_SHARE * total)) + 1
     head = [i for i in range(min(max(HEAD_WORDS, covering), len(words)))]
     if END in words and words.index(END) not in head:
         head.append(words.index(END))
@@ -156,7 +202,7 @@ def _plan(counts: DataFrame) -> dict:
     rows += [(len(head) + k - first_tail, k, -1, 0.0, 0.0) for k in range(first_tail, classes)]
     table = np.array(rows, np.float64)
     return {
-        "total": total or 0, "distinct": distinct, "known": {w: i for i, w in enumerate(words)},
+        "total": total, "distinct": distinct, "known": {w: i for i, w in enumerate(words)},
         "ids": table[:, :3].astype(np.int32), "logs": table[:, 3:], "tail_of": tail_of, "head": len(head),
         "bounds": bounds, "classes": classes, "share": share,
         "class_log": np.log(np.maximum(class_n, 0.1)).astype(np.float32),
@@ -169,38 +215,29 @@ def _shape(plan: dict) -> dict:
             "classes": plan["classes"], "head_bounds": plan["bounds"]}
 
 
-def _groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[bytes]]]:
-    """Rows of about ``most`` bytes of text: ids and texts."""
-    for batch in batches:
-        ids, texts, size = [], [], 0
-        for number, text in zip(batch.column("id"), batch.column("text")):
-            ids.append(number.as_py())
-            texts.append((text.as_py() or "").encode())
-            size += len(texts[-1])
-            if size >= most:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-        if ids:
-            yield ids, texts
-
-
-def _encoded(texts: list[bytes], plan: dict) -> tuple[np.ndarray, np.ndarray, list[dict[bytes, int]]]:
-    """Rows of the plan's tables for all tokens, where each text ends, and its other words."""
-    number, tail_of = plan["known"].get, plan["tail_of"]
-    other_rows = len(plan["known"]) - len(plan["bounds"]) + 1
-    parts, offsets, others = [], [0], []
-    for text in texts:
-        words = _tokens(text)
-        rows = np.array(list(map(number, words, repeat(-1))), np.int32)
-        other: dict[bytes, int] = {}
-        for i in np.flatnonzero(rows < 0).tolist():
-            word = words[i]
-            rows[i] = other_rows + tail_of[signature(word)]
-            other[word] = other.get(word, 0) + 1
-        parts.append(rows)
-        offsets.append(offsets[-1] + len(rows))
-        others.append(other)
-    return np.concatenate(parts), np.array(offsets), others
+def _known(plan: dict) -> pa.Array:
+    return pa.array(list(plan["known"]), pa.binary())
+
+
+def _encoded(texts: pa.Array, plan: dict, known: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+    """Rows of the plan's tables for all tokens, where each text ends, and all other words.
+
+    These are the words that are not ``known``, with the text and the tail class of each.
+    """
+    words, text = _words(texts)
+    found = pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False)
+    offsets = np.append(0, np.cumsum(np.bincount(text, minlength=len(texts)) + 1))
+    rows = np.full(offsets[-1], plan["known"].get(END, -1), np.int32)
+    places = np.arange(len(text)) + text  # each text before adds its end
+    rows[places] = found
+    missing = found < 0
+    other, at, text = words.filter(pa.array(missing)), places[missing], text[missing]
+    if END not in plan["known"]:
+        other = pa.concat_arrays([other, pa.array([END] * len(texts), pa.binary())])
+        at, text = np.append(at, offsets[1:] - 1), np.append(text, np.arange(len(texts)))
+    kinds = np.array(plan["tail_of"], np.int32)[signatures(other)]
+    rows[at] = len(plan["known"]) - len(plan["bounds"]) + 1 + kinds
+    return rows, offsets, other, text, kinds
 
 
 def _ids(plan: dict, rows: np.ndarray) -> list[np.ndarray]:
@@ -212,8 +249,9 @@ def _training(broadcast, weights):
         plan = broadcast.value
         shape = gru.Shape(**_shape(plan))
         trainer = gru.Trainer(weights.value, shape)
-        for _, texts in _groups(batches, LANE_BYTES):
-            rows, offsets, _ = _encoded(texts, plan)
+        known = _known(plan)
+        for batch in _groups(batches, LANE_BYTES):
+            rows, offsets, *_ = _encoded(batch.column("text"), plan, known)
             gru.train(trainer, offsets, *_ids(plan, rows), LANES, STEPS)
         if trainer.tokens:
             yield pa.RecordBatch.from_arrays(
@@ -237,6 +275,15 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def fan_in(count: int, least: int) -> list[int]:
+    """Numbers of partial sums, level by level, from ``count`` down to ``least`` or fewer."""
+    levels = []
+    while count > least:
+        count = max(least, -(-count // FAN))
+        levels.append(count)
+    return levels
+
+
 def train_model(texts: DataFrame, plan: dict, broadcast) -> np.ndarray:
     """Weights after one pass over all texts (id, text), dealt to rounds by a hash of the id."""
     vector = gru.initial(gru.Shape(**_shape(plan)), plan["class_log"], plan["word_log"], SEED)
@@ -248,8 +295,10 @@ def train_model(texts: DataFrame, plan: dict, broadcast) -> np.ndarray:
     for number in range(ROUNDS):
         part = texts.where(F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(ROUNDS)) == number)
         trained = part.mapInArrow(_training(broadcast, spark.sparkContext.broadcast(vector)), kind)
-        # Partial sums, so that the driver adds a bounded number of vectors at any size.
-        sums = trained.repartition(parts).mapInArrow(_added, kind).collect()
+        # Partial sums, so that the driver and each task add a bounded number of vectors at any size.
+        for count in fan_in(part.rdd.getNumPartitions(), parts):
+            trained = trained.repartition(count).mapInArrow(_added, kind)
+        sums = trained.collect()
         tokens = sum(r["tokens"] for r in sums)
         if tokens:
             vector = (sum(np.frombuffer(r["sum"], np.float64) for r in sums) / tokens).astype(np.float32)
@@ -267,20 +316,24 @@ def _scoring(broadcast, weights):
         plan = broadcast.value
         shape = gru.Shape(**_shape(plan))
         model = gru.split(weights.value, shape)
-        tail_of = plan["tail_of"]
-        for ids, texts in _groups(batches, SCORE_BYTES):
-            rows, offsets, unknown = _encoded(texts, plan)
+        known = _known(plan)
+        for batch in _groups(batches, SCORE_BYTES):
+            rows, offsets, other, text, kinds = _encoded(batch.column("text"), plan, known)
             logs = gru.score(model, shape, offsets, *_ids(plan, rows), SCORE_LANES, STEPS) / math.log(10)
             base, share = plan["logs"][rows, 0], plan["logs"][rows, 1]
             sums = [np.add.reduceat(v, offsets[:-1]) for v in (base, logs + share)]
             counts = np.diff(offsets)
-            missing = np.array([sum(u.values()) for u in unknown])
+            missing = np.bincount(text, minlength=len(counts))
+            # Each other word of a text once, with the times it occurs there.
+            coded = other.dictionary_encode()
+            number, width = coded.indices.to_numpy(), max(1, len(coded.dictionary))
+            pairs, first, times = np.unique(text * width + number, return_index=True, return_counts=True)
+            bounds = pa.array(np.searchsorted(pairs // width, np.arange(len(counts) + 1)), pa.int32())
+            lists = [other.take(pa.array(first)), pa.array(kinds[first], pa.int32()), pa.array(times, pa.int32())]
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.string()), pa.array(counts), pa.array(counts - missing),
+                batch.column("id").cast(pa.string()), pa.array(counts), pa.array(counts - missing),
                 pa.array(sums[0]), pa.array(sums[1]),
-                pa.array([list(u) for u in unknown], schema.field("words").type),
-                pa.array([[tail_of[signature(w)] for w in u] for u in unknown], schema.field("kinds").type),
-                pa.array([list(u.values()) for u in unknown], schema.field("times").type),
+                *[pa.ListArray.from_arrays(bounds, values) for values in lists],
             ], schema=schema)
 
     return run

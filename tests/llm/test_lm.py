@@ -181,3 +181,83 @@ def test_scoring_puts_a_bounded_number_of_tokens_into_lanes(spark, monkeypatch):
     found = [n for out in lm._scoring(Held(plan), Held(weights))(iter([batch])) for n in out.column("n_tokens").to_pylist()]
     assert found == [24001] * 160 and sum(at_once) == sum(found)
     assert max(at_once) < 2_400_000
+
+
+ODD_TEXTS = [
+    None, "", " ", "\t", "  Two  words ", "A\x0bB\x0cc\r\nD\x1ce\x1ff\x00g", "é É 1é. x!!! ...,,, -?", "#9a) z_ A.\xa0b",
+    "İstanbul ＡＢＣ 𝄞 𝄞a", "only-here only-here", "a " * 50,
+]
+
+
+def plain_signature(word):
+    """The same number letter by letter."""
+    last = word[-1]
+    ending = 0 if last >= 128 or chr(last).isalnum() else {46: 1, 44: 2}.get(last, 3 + last % 4)
+    for i, byte in enumerate(word):
+        if byte >= 128:
+            return ending * 43 + 27 + word[min(i + 1, len(word) - 1)] % 16
+    letters = word.rstrip(b".,;:!?#$%&*'\")")
+    return ending * 43 + (letters[-1] - 97 if letters and 97 <= letters[-1] <= 122 else 26)
+
+
+@pytest.mark.parametrize("known_words", [3, 1000])
+def test_words_are_encoded_without_a_loop_over_tokens(spark, monkeypatch, known_words):
+    monkeypatch.setattr(lm, "KNOWN_WORDS", known_words)
+    monkeypatch.setattr(lm, "HEAD_WORDS", 2)
+    learned = [(t or "").replace("only-here", "") for t in ODD_TEXTS]
+    plan = lm._plan(lm.word_counts(spark.createDataFrame([(t,) for t in learned], "text string")))
+    split = [[*(t or "").encode().lower().split(), lm.END] for t in ODD_TEXTS]
+    tails = len(plan["known"]) - len(plan["bounds"]) + 1
+    expected = [[plan["known"].get(w, tails + plan["tail_of"][plain_signature(w)]) for w in words] for words in split]
+    texts = pa.array(["cut", *ODD_TEXTS], pa.string()).slice(1)
+    rows, offsets, other, text, kinds = lm._encoded(texts, plan, lm._known(plan))
+    assert [rows[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
+    found = sorted(zip(text.tolist(), other.to_pylist(), kinds.tolist()))
+    assert found == sorted((i, w, plan["tail_of"][plain_signature(w)])
+                           for i, words in enumerate(split) for w in words if w not in plan["known"])
+
+
+def test_counts_of_groups_add_up(monkeypatch):
+    monkeypatch.setattr(lm, "SCORE_BYTES", 10)
+    batch = pa.RecordBatch.from_arrays([pa.array(ODD_TEXTS, pa.string())], ["text"])
+    for most in (1, 400_000):
+        monkeypatch.setattr(lm, "COUNTER_WORDS", most)
+        found = Counter()
+        for part in lm._count(iter([batch])):
+            for word, spelling, c in zip(*(part.column(k).to_pylist() for k in range(3))):
+                assert spelling == plain_signature(word)
+                found[word] += c
+        assert found == Counter(w for t in ODD_TEXTS for w in [*(t or "").encode().lower().split(), lm.END])
+
+
+def test_softmax_of_a_window_takes_as_many_steps_with_many_classes(monkeypatch):
+    """All classes of a window go through a few products together, not one after another."""
+    calls, product = [], gru._softmax
+    monkeypatch.setattr(gru, "_softmax", lambda *a: calls.append(1) or product(*a))
+    words = np.arange(600) % 300
+    for width in (100, 3):
+        shape = gru.Shape(inputs=300, state=4, classes=300 // width, head_bounds=[*range(0, 301, width)])
+        vector = gru.initial(shape, np.zeros(300 // width, np.float32), np.zeros(300, np.float32), 1)
+        trainer = gru.Trainer(vector, shape)
+        gru.train(trainer, np.array([0, 600]), words, words // width, words, 1, 600)
+        assert len(calls) == 2 and trainer.tokens == 600
+        calls.clear()
+
+
+@pytest.mark.parametrize("size", [0.5, 40.0])
+def test_probabilities_of_large_weights(size):
+    """Logits far apart need a maximum for each row; the results are the same."""
+    shape, vector, *tokens = small_model()
+    vector = (vector * size / 0.5).astype(np.float32)
+    offsets = np.array([0, 9, 10, 17, 20])
+    found = gru.score(gru.split(vector, shape), shape, offsets, *tokens, 2, 4)
+    with np.errstate(over="ignore"):
+        assert np.allclose(found, direct(vector.astype(np.float64), shape, offsets, *tokens), rtol=1e-3, atol=1e-3)
+
+
+def test_sums_of_weights_are_added_in_levels():
+    """No task adds more than a bounded number of vectors, however many there are."""
+    for count in (1, 5, 32, 2000, 10**6):
+        levels = [count, *lm.fan_in(count, 5)]
+        assert levels[-1] <= 5
+        assert all(a <= lm.FAN * b for a, b in zip(levels, levels[1:]))
