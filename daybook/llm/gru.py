@@ -93,6 +93,8 @@ SAFE_RANGE = 60.0
 #: Tokens that a softmax takes together, over all classes and over the words of one class.
 CLASS_TILE = 64
 WORD_TILE = 32
+#: Tokens that are scored together, or those of one window.
+SCORE_TOKENS = 16_000
 #: Values of a softmax that are held at once; they stay in the cache.
 HELD = 1 << 17
 
@@ -149,6 +151,9 @@ def _softmax(tiles, of, matrix, bias, learn: bool):
         if learn:
             np.divide(sums[:, :, :size], total[:, :, None], out=means[a:a + count])
             part = (rows / total[:, :, None]).transpose(0, 2, 1) @ found
+            if len(matrix) == 1:
+                added[0] += part.sum(axis=0)
+                continue
             first = _first(of[a:a + count])
             size_of = np.diff(np.append(first, len(rows)))
             added[of[a + first]] += part[first]
@@ -262,9 +267,16 @@ def window_gradient(weights, shape: Shape, state, inputs, starts, classes, words
     gates = np.empty((steps, 3 * size, lanes), np.float32)
     through = np.empty((steps, 3 * size, lanes), np.float32)
     later = np.zeros((size, lanes), np.float32)
-    to_keep = (before - new) * keep * (1 - keep)
-    to_new = (1 - keep) * (1 - new * new)
-    to_reset = h_new * reset * (1 - reset)
+    rest = 1 - keep
+    to_keep = before - new
+    to_keep *= keep
+    to_keep *= rest
+    to_new = new * new
+    np.subtract(1, to_new, out=to_new)
+    to_new *= rest
+    to_reset = 1 - reset
+    to_reset *= reset
+    to_reset *= h_new
     for t in range(steps - 1, -1, -1):
         here, back_h = gates[t], through[t]
         np.multiply(later, to_keep[t], out=here[:size])
@@ -316,8 +328,11 @@ class Trainer:
         some *= np.float32(self.rate)
         some /= np.sqrt(squares, out=squares)
         self.weights["gates"][met] += some
-        self.squares[after:] += rest * rest
-        self.vector[after:] += np.float32(self.rate) * rest / np.sqrt(self.squares[after:])
+        squares = rest * rest
+        self.squares[after:] += squares
+        rest *= np.float32(self.rate)
+        rest /= np.sqrt(self.squares[after:], out=squares)
+        self.vector[after:] += rest
         rest[:] = 0
         self.tokens += int(live.sum())
         return total, state
@@ -369,19 +384,31 @@ def score(weights, shape: Shape, offsets, inputs, classes, words, lanes: int, st
     found = np.zeros(int(offsets[-1]), np.float64)
     places, starts = in_lanes(offsets, lanes)
     state = np.zeros((shape.state, places.shape[1]), np.float32)
+    # States wait for those of later windows, which have few lanes where a document is long.
+    states, where, waiting = [], [], 0
+
+    def put() -> None:
+        at = np.concatenate(where)
+        found[at] = output(weights, shape, np.concatenate(states), classes[at], words[at])[0]
+
     for place, start in windows(places, starts, steps):
         state = np.ascontiguousarray(state[:, :place.shape[1]])
         before = np.empty((len(place), *state.shape), np.float32)
-        at = np.maximum(place, 0)
-        ids = inputs[at]
+        x = np.ascontiguousarray(weights["gates"][inputs[np.maximum(place, 0)]].transpose(0, 2, 1))
+        h = np.empty(x.shape[1:], np.float32)
         begins = start.any(axis=1)
-        h = np.empty((3 * shape.state, place.shape[1]), np.float32)
         for t in range(len(place)):
             if begins[t]:
                 state = np.where(start[t], np.float32(0), state)
             before[t] = state
-            state = _step(weights, state, np.ascontiguousarray(weights["gates"][ids[t]].T), h)
+            state = _step(weights, state, x[t], h)
         live = place >= 0
-        where = place[live]
-        found[where] = output(weights, shape, before.transpose(0, 2, 1)[live], classes[where], words[where])[0]
+        states.append(before.transpose(0, 2, 1)[live])
+        where.append(place[live])
+        waiting += len(where[-1])
+        if waiting >= SCORE_TOKENS:
+            put()
+            states, where, waiting = [], [], 0
+    if waiting:
+        put()
     return found
