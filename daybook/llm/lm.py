@@ -95,7 +95,7 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of texts one after another, A-Z lowered, and of which text each is."""
     found = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))  # lowers and splits at ASCII only
     words = found.flatten().cast(pa.binary())
-    text = np.repeat(np.arange(len(texts)), pc.list_value_length(found).to_numpy(zero_copy_only=False))
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(found).to_numpy(zero_copy_only=False))
     empty = pc.equal(pc.binary_length(words), 0)  # beside leading and trailing white space
     if pc.any(empty).as_py():
         words, text = words.filter(pc.invert(empty)), text[~empty.to_numpy(zero_copy_only=False)]
@@ -251,7 +251,10 @@ def _training(broadcast, weights):
         trainer = gru.Trainer(weights.value, shape)
         known = _known(plan)
         for batch in _groups(batches, LANE_BYTES):
-            rows, offsets, *_ = _encoded(batch.column("text"), plan, known)
+            # Words take more room than their rows, so fewer are split at once.
+            parts = [_encoded(part.column("text"), plan, known)[:2] for part in _groups(iter([batch]), SCORE_BYTES)]
+            rows = np.concatenate([part for part, _ in parts])
+            offsets = np.append(0, np.cumsum(np.concatenate([np.diff(ends) for _, ends in parts])))
             gru.train(trainer, offsets, *_ids(plan, rows), LANES, STEPS)
         if trainer.tokens:
             yield pa.RecordBatch.from_arrays(
@@ -327,7 +330,7 @@ def _scoring(broadcast, weights):
             # Each other word of a text once, with the times it occurs there.
             coded = other.dictionary_encode()
             number, width = coded.indices.to_numpy(), max(1, len(coded.dictionary))
-            pairs, first, times = np.unique(text * width + number, return_index=True, return_counts=True)
+            pairs, first, times = np.unique(text.astype(np.int64) * width + number, return_index=True, return_counts=True)
             bounds = pa.array(np.searchsorted(pairs // width, np.arange(len(counts) + 1)), pa.int32())
             lists = [other.take(pa.array(first)), pa.array(kinds[first], pa.int32()), pa.array(times, pa.int32())]
             yield pa.RecordBatch.from_arrays([
